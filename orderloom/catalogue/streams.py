@@ -1 +1,240 @@
-"""Filled in below."""
+"""Streaming queries, run to the end of the given tables.
+
+Every stream reads files and writes files in the shared folder; what comes back
+is a batch frame over the written result. Windowed results hold the windows the
+watermark has closed, as the append mode defines.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from orderloom.catalogue import fixture
+from orderloom.catalogue.batch import MESSAGE_COLUMNS
+from orderloom.catalogue.fixture import BRONZE_SQL, EVENTS_CTE
+from orderloom.catalogue.registry import doubles, query, table
+from orderloom.functions.payload import as_message, unpack
+from orderloom.functions.times import MICROS
+from orderloom.operators.quality import repeated_ids
+from orderloom.session import work_area
+from orderloom.sources.messages import MESSAGE_FIELDS, folder_stream, value_text
+from orderloom.sources.synthetic import click_events
+from orderloom.streaming import bronze, windows
+from orderloom.streaming.runs import append_to_files, append_to_table, finish, table_stream
+
+
+def _topic(spark, events, key, columns, moment) -> str:
+    """A folder holding the rows as messages: binary key and value, timestamp."""
+    area = work_area(spark, "topic")
+    sent_at = F.to_timestamp(F.get_json_object("value", f"$.{moment}"))
+    as_message(events, F.col(key), columns).select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        sent_at.alias("timestamp"),
+    ).write.parquet(area)
+    return area
+
+
+def _order_topic(spark, sf_dir):
+    log = fixture.event_log(spark, sf_dir)
+    return folder_stream(spark, _topic(spark, log, "order_id", MESSAGE_COLUMNS, "ts"))
+
+
+def _given_events(spark, sf_dir):
+    """The `events` table as a stream, its time with zone as watermarks need it."""
+    schema = table(spark, sf_dir, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _written(spark, stream, purpose):
+    """Run the stream to its end into a folder, then read the folder."""
+    area = work_area(spark, purpose)
+    finish(append_to_files(stream, f"{area}/rows", f"{area}/checkpoint"))
+    return spark.read.schema(stream.schema).parquet(f"{area}/rows")
+
+
+def _schema(spark) -> str:
+    """A schema of its own, stored in the shared folder."""
+    name = f"loom_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{work_area(spark, 'schema')}'")
+    return name
+
+
+@query(
+    "T1 S7 S8 P7 F11",
+    f"""{BRONZE_SQL} SELECT event_id, event_type, ts, CAST(ts_seconds AS INTEGER) AS ts_seconds,
+          location_id, order_id, sequence, body, event_timestamp AS kafka_timestamp, event_timestamp
+        FROM bronze""",
+)
+def stream_bronze(spark, sf_dir):
+    """Messages to the bronze streaming table."""
+    return _written(spark, bronze.order_events(_order_topic(spark, sf_dir)), "stream-bronze")
+
+
+@query(
+    "T2 F12",
+    f"""{BRONZE_SQL} SELECT event_id, event_type, order_id, location_id, ts FROM bronze
+        WHERE event_type = 'order_created'""",
+)
+def stream_created_orders(spark, sf_dir):
+    return _written(spark, bronze.created_orders(_order_topic(spark, sf_dir)), "stream-created")
+
+
+@query(
+    "S9",
+    f"{BRONZE_SQL} SELECT event_type, count(*) AS events FROM bronze GROUP BY event_type",
+)
+def message_batch(spark, sf_dir):
+    """The same messages read as a batch, from the earliest to the latest."""
+    log = fixture.event_log(spark, sf_dir)
+    folder = _topic(spark, log, "order_id", MESSAGE_COLUMNS, "ts")
+    messages = spark.read.schema(MESSAGE_FIELDS).parquet(folder)
+    return bronze.order_events(messages).groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+def closed_windows(size: str, late: str, key: str, measures: str, source: str = "events") -> str:
+    """SQL for the windows that end before the newest event less the patience."""
+    return f"""
+        SELECT window_start, window_start + INTERVAL '{size}' AS window_end, {key}, {measures}
+        FROM (SELECT *, time_bucket(INTERVAL '{size}', ts) AS window_start FROM {source})
+        WHERE window_start + INTERVAL '{size}'
+              <= (SELECT date_trunc('milliseconds', max(ts)) FROM {source}) - INTERVAL '{late}'
+        GROUP BY window_start, {key}"""
+
+
+@query(
+    "T3 S12",
+    closed_windows(
+        "10 seconds", "0 seconds", "event_type",
+        "count(*) AS count, CAST(sum(event_id * 10) AS BIGINT) AS total_value",
+        "(SELECT ts, event_id, CASE WHEN event_id % 2 = 0 THEN 'click' ELSE 'view' END AS event_type FROM events)",
+    ),
+)
+def stream_type_totals(spark, sf_dir):
+    """Synthetic clicks counted every ten seconds."""
+    ticks = _given_events(spark, sf_dir).selectExpr("ts AS timestamp", "event_id AS value")
+    return _written(spark, windows.type_totals(click_events(ticks), late="0 seconds"), "stream-types")
+
+
+PRODUCTS_SQL = "(SELECT *, 'P' || CAST(user_id % 20 AS VARCHAR) AS product FROM events)"
+
+
+@query(
+    "T4 F2 P3",
+    closed_windows(
+        "30 seconds", "0 seconds", "product",
+        "count(*) AS event_count, round(sum(value * (event_id % 5 + 1)), 2) AS total_revenue", PRODUCTS_SQL,
+    ),
+)
+def stream_product_revenue(spark, sf_dir):
+    """Click messages to revenue per product every thirty seconds."""
+    clicks = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format("ts", MICROS).alias("timestamp"),
+        F.col("user_id").cast("string").alias("user_id"),
+        "event_type",
+        F.concat(F.lit("P"), (F.col("user_id") % 20).cast("string")).alias("product"),
+        F.col("value").alias("price"),
+        (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
+    )
+    folder = _topic(spark, clicks, "user_id", clicks.columns, "timestamp")
+    parsed = bronze.clicks(folder_stream(spark, folder))
+    counted = _written(spark, windows.product_revenue(parsed, late="0 seconds"), "stream-products")
+    return counted.withColumn("total_revenue", F.round("total_revenue", 2))
+
+
+@query("T5", closed_windows("5 minutes", "10 minutes", "event_type", "count(*) AS count"))
+def stream_type_counts(spark, sf_dir):
+    return _written(spark, windows.type_counts(_given_events(spark, sf_dir)), "stream-counts")
+
+
+@query(
+    "T6",
+    closed_windows(
+        "10 minutes", "1 hour", "category", "count(*) AS count",
+        "(SELECT ts, 'C' || CAST(user_id % 7 AS VARCHAR) AS category FROM events)",
+    ),
+)
+def stream_category_counts(spark, sf_dir):
+    events = _given_events(spark, sf_dir).select(
+        F.col("ts").alias("event_time"),
+        F.concat(F.lit("C"), (F.col("user_id") % 7).cast("string")).alias("category"),
+    )
+    return _written(spark, windows.category_counts(events), "stream-categories")
+
+
+@query(
+    "T7 T8 T9 T10 K9 D6",
+    "SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS ids, true AS exactly_once FROM orders",
+)
+def stream_exactly_once(spark, sf_dir):
+    """Sales appended to a table by hour, in two runs on one checkpoint."""
+    placed = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("event_id"),
+        F.lit("order_placed").alias("event_type"),
+        F.date_format("o_orderdate", MICROS).alias("timestamp"),
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
+        F.col("o_totalprice").alias("total"),
+    )
+    folder = _topic(spark, placed, "order_id", placed.columns, "timestamp")
+    hour = F.date_format("event_timestamp", "HH")
+    sales = bronze.sales(folder_stream(spark, folder)).withColumn("event_hour", hour)
+    target, checkpoint = f"{_schema(spark)}.sales", work_area(spark, "checkpoint")
+    for _ in range(2):
+        finish(append_to_table(sales, target, checkpoint, partition_by=["event_hour"]))
+    return repeated_ids(spark.table(target), "event_id")
+
+
+@query(
+    "T11 S15 K9",
+    f"""WITH {EVENTS_CTE} SELECT event_type, count(*) AS events, count(DISTINCT order_id) AS orders
+        FROM bronze WHERE order_id IS NOT NULL GROUP BY event_type""",
+)
+def stream_chain(spark, sf_dir):
+    """Two streaming tables, the second following the first."""
+    schema = _schema(spark)
+    first, second = f"{schema}.events", f"{schema}.events_with_order"
+    events = bronze.order_events(_order_topic(spark, sf_dir))
+    finish(append_to_table(events, first, work_area(spark, "checkpoint")))
+    following = bronze.with_orders(table_stream(spark, first))
+    finish(append_to_table(following, second, work_area(spark, "checkpoint")))
+    return (
+        spark.table(second)
+        .groupBy("event_type")
+        .agg(F.count("processed_at").alias("events"), F.countDistinct("order_id").alias("orders"))
+    )
+
+
+@query("K10 T8", "SELECT event_id, value FROM events")
+def stream_to_parquet(spark, sf_dir):
+    """Rows through a parquet sink, everything available taken once."""
+    rows = _given_events(spark, sf_dir).select("event_id", "value")
+    return _written(spark, rows, "stream-parquet")
+
+
+@query(
+    "A16 K9 S9",
+    """SELECT event_type, count(*) AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) / 100.0::DOUBLE AS total
+       FROM events WHERE event_type = 'purchase' GROUP BY event_type""",
+)
+def stream_purchase_total(spark, sf_dir):
+    """Messages of three fields to a table, then the purchases summed."""
+    shaped = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        "event_type",
+        F.col("value").alias("amount"),
+        F.date_format("ts", MICROS).alias("ts"),
+    )
+    stream = folder_stream(spark, _topic(spark, shaped, "event_id", shaped.columns, "ts"))
+    parsed = unpack(stream, value_text(), "event_id string, event_type string, amount decimal(10,2)")
+    target = f"{_schema(spark)}.purchases"
+    stamped = parsed.withColumn("processed_at", F.current_timestamp())
+    finish(append_to_table(stamped, target, work_area(spark, "checkpoint")))
+    totals = spark.sql(
+        f"""SELECT event_type, count(*) AS events, sum(amount) AS total FROM {target}
+            WHERE event_type = 'purchase' GROUP BY event_type"""
+    )
+    return doubles(totals, "total")
