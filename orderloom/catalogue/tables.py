@@ -1 +1,417 @@
-"""Filled in below."""
+"""Table queries: writes, row-level changes, versions, statistics, maintenance.
+
+Every table lies in the shared folder, under a schema or root of its own run.
+"""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from orderloom.catalogue.registry import doubles, mean_of_cents, money, query, sum_of_cents, table
+from orderloom.operators.joins import lookup
+from orderloom.operators.quality import reconcile
+from orderloom.operators.rows import add_columns
+from orderloom.plans import layers_sql
+from orderloom.session import work_area
+from orderloom.tables import ddl, maintenance
+from orderloom.tables.versions import VersionedTable
+
+DAYS = [datetime(2024, 3, d) for d in range(1, 13)]
+
+
+def _schema(spark) -> str:
+    name = f"loom_{uuid.uuid4().hex[:12]}"
+    ddl.create_schema(spark, name, work_area(spark, "schema"))
+    return name
+
+
+def _versioned(spark) -> VersionedTable:
+    return VersionedTable(spark, work_area(spark, "versions"))
+
+
+def _orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+    )
+
+
+# --- writes ------------------------------------------------------------------
+
+
+def _sale_rows(spark, sf_dir):
+    """Order lines as sale events."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
+        money("l_extendedprice").alias("total"),
+    )
+    placed = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    named = lookup(joined, parts, F.col("l_partkey") == F.col("p_partkey"), how="inner")
+    return named.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        "quantity",
+        (F.col("total") / F.col("quantity")).cast("double").alias("unit_price"),
+        "total",
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.current_timestamp().alias("ingested_at"),
+    )
+
+
+def _sale_layers(spark, sf_dir):
+    """Bronze, silver and gold tables of the order lines."""
+    schema = _schema(spark)
+    names = [f"{schema}.{layer}" for layer in ("bronze_sales", "silver_sales", "gold_customers")]
+    ddl.replace(_sale_rows(spark, sf_dir), names[0])
+    silver = layers_sql.silver_sales(spark, names[0], names[1])
+    gold = layers_sql.gold_customers(spark, names[1], names[2])
+    return spark.table(names[0]), silver, gold
+
+
+SALES_SQL = """WITH sales AS (
+  SELECT l_orderkey, l_partkey, l_extendedprice, o_custkey, o_orderdate
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey)"""
+
+
+@query(
+    "A14 K1 K4 F4 F5",
+    f"""{SALES_SQL} SELECT CAST(o_orderdate AS DATE) AS order_date, CAST(hour(o_orderdate) AS INTEGER) AS order_hour,
+          count(*) AS lines, count(DISTINCT l_orderkey) AS orders FROM sales GROUP BY 1, 2""",
+)
+def silver_sales(spark, sf_dir):
+    _, silver, _ = _sale_layers(spark, sf_dir)
+    return silver.groupBy("order_date", "order_hour").agg(
+        F.count("processed_at").alias("lines"), F.countDistinct("order_id").alias("orders")
+    )
+
+
+@query(
+    "A13 K4 O4",
+    f"""{SALES_SQL} SELECT CAST(o_custkey AS VARCHAR) AS customer_id, count(*) AS total_orders,
+          {sum_of_cents("l_extendedprice")} AS total_revenue, {mean_of_cents("l_extendedprice")} AS avg_order_value,
+          count(DISTINCT l_partkey) AS unique_products, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+        FROM sales GROUP BY o_custkey""",
+)
+def gold_customers(spark, sf_dir):
+    _, _, gold = _sale_layers(spark, sf_dir)
+    ranked = gold.drop("aggregated_at").orderBy(F.desc("total_revenue"))
+    return doubles(ranked, "total_revenue", "avg_order_value")
+
+
+@query(
+    "Q7 K13",
+    f"""{SALES_SQL} SELECT count(*) AS bronze_rows, count(*) AS silver_rows,
+          {sum_of_cents("l_extendedprice")} AS bronze_total, {sum_of_cents("l_extendedprice")} AS silver_total,
+          {sum_of_cents("l_extendedprice")} AS gold_total, true AS counts_match, true AS totals_match FROM sales""",
+)
+def sales_reconciliation(spark, sf_dir):
+    """The three stored layers against each other."""
+    return reconcile(*_sale_layers(spark, sf_dir), "total", "total_revenue")
+
+
+@query(
+    "A12 K4 D5",
+    f"""SELECT o_custkey AS customer_id, count(*) AS total_orders, {sum_of_cents("o_totalprice")} AS total_spent,
+          {mean_of_cents("o_totalprice")} AS avg_order_value, min(CAST(o_orderdate AS DATE)) AS first_order,
+          max(CAST(o_orderdate AS DATE)) AS last_order FROM orders GROUP BY o_custkey""",
+)
+def customer_summary(spark, sf_dir):
+    schema = _schema(spark)
+    placed = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("total"),
+        F.to_date("o_orderdate").alias("order_date"),
+    )
+    ddl.replace(placed, f"{schema}.orders")
+    summary = layers_sql.customer_summary(spark, f"{schema}.orders", f"{schema}.customer_summary")
+    return doubles(summary, "total_spent", "avg_order_value")
+
+
+@query(
+    "K5 K6 A15 F13 D3",
+    f"""SELECT count(*) AS total_orders, {sum_of_cents("value")} AS total_amount
+        FROM events WHERE event_type = 'purchase'""",
+)
+def raw_to_gold(spark, sf_dir):
+    """Raw JSON rows to orders to one row of totals, each step an INSERT."""
+    schema = _schema(spark)
+    raw, silver, gold = (f"{schema}.{n}" for n in ("raw_events", "orders", "order_summary"))
+    ddl.replace(
+        table(spark, sf_dir, "events").select(
+            F.col("event_id").cast("string").alias("event_id"),
+            F.when(F.col("event_type") == "purchase", "order").otherwise("click").alias("event_type"),
+            F.to_json(F.struct(F.concat(F.lit("o"), F.col("event_id").cast("string")).alias("order_id"),
+                               F.col("value").alias("amount"))).alias("raw_data"),
+        ),
+        raw,
+    )
+    ddl.create_table(spark, silver, "order_id string, amount double, processed_at timestamp")
+    ddl.create_table(
+        spark, gold, "total_orders bigint, total_amount double, avg_amount double, computed_at timestamp"
+    )
+    layers_sql.insert_orders_from_raw(spark, raw, silver)
+    layers_sql.insert_order_totals(spark, silver, gold)
+    return spark.table(gold).select("total_orders", F.round("total_amount", 2).alias("total_amount"))
+
+
+@query(
+    "K2 K8 K3",
+    """SELECT n_regionkey, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey
+       GROUP BY n_regionkey""",
+)
+def appended_and_copied(spark, sf_dir):
+    """Customers appended in two parts, the table copied, then counted."""
+    schema = _schema(spark)
+    customers = table(spark, sf_dir, "customer")
+    ddl.replace(customers.where("c_custkey % 2 = 0"), f"{schema}.customers")
+    ddl.append(customers.where("c_custkey % 2 = 1"), f"{schema}.customers")
+    copied = ddl.copy_table(spark, f"{schema}.customers", f"{schema}.customers_copy")
+    regions = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    joined = lookup(copied, regions, F.col("c_nationkey") == F.col("n_nationkey"), how="inner")
+    return joined.groupBy("n_regionkey").agg(F.count("*").alias("customers"))
+
+
+@query(
+    "D1 D2 D3 D7",
+    """SELECT 'orders' AS table_name, count(*) AS rows, false AS missing FROM orders
+       UNION ALL SELECT 'customer', count(*), false FROM customer
+       UNION ALL SELECT 'returns', 0, true""",
+)
+def table_inventory(spark, sf_dir):
+    """Tables a schema should hold, with rows; one of them was never made."""
+    schema = _schema(spark)
+    for name in ("orders", "customer"):
+        ddl.replace(table(spark, sf_dir, name), f"{schema}.{name}")
+    absent = ddl.missing_tables(spark, schema, ["orders", "customer", "returns"])
+    present = [
+        spark.table(f"{schema}.{n}").agg(F.count("*").alias("rows"))
+        .select(F.lit(n).alias("table_name"), "rows", F.lit(False).alias("missing"))
+        for n in ("orders", "customer")
+    ]
+    gone = absent.select(F.col("tableName").alias("table_name"), F.lit(0).cast("long").alias("rows"), F.lit(True).alias("missing"))
+    return present[0].unionByName(present[1]).unionByName(gone)
+
+
+@query(
+    "S16",
+    "SELECT count(*) AS table_rows, count(*) AS file_rows, true AS matches FROM lineitem",
+)
+def storage_reconciliation(spark, sf_dir):
+    name = f"{_schema(spark)}.lineitem"
+    ddl.replace(table(spark, sf_dir, "lineitem"), name)
+    return ddl.storage_matches(spark, name)
+
+
+# --- partitioning --------------------------------------------------------------
+
+
+@query(
+    "D4 D15",
+    "SELECT event_type, count(*) AS rows FROM events GROUP BY event_type",
+)
+def partitions_by_value(spark, sf_dir):
+    name = f"{_schema(spark)}.events"
+    ddl.write_partitioned(table(spark, sf_dir, "events"), name, ["event_type"])
+    return maintenance.partition_statistics(spark.table(name), "event_type")
+
+
+@query(
+    "D5 D15",
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1",
+)
+def partitions_by_day(spark, sf_dir):
+    """Days from the tenth on; the filter prunes partitions."""
+    name = f"{_schema(spark)}.events"
+    ddl.write_partitioned(table(spark, sf_dir, "events"), name, ddl.by_day("ts"))
+    recent = spark.table(name).where(F.col("day") >= F.lit("2024-01-10").cast("date"))
+    return maintenance.partition_statistics(recent, "day")
+
+
+@query(
+    "D6 D15",
+    "SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS rows FROM events GROUP BY 1",
+)
+def partitions_by_hour(spark, sf_dir):
+    name = f"{_schema(spark)}.events"
+    ddl.write_partitioned(table(spark, sf_dir, "events"), name, ddl.by_hour("ts"))
+    return maintenance.partition_statistics(spark.table(name), "hour")
+
+
+# --- row-level changes and versions ---------------------------------------------
+
+
+UPDATED_SQL = """SELECT * REPLACE (
+  CASE WHEN o_orderstatus = 'O' AND o_totalprice > 200000 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority)
+  FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders)"""
+
+
+@query("D9", UPDATED_SQL)
+def update_where(spark, sf_dir):
+    orders = _versioned(spark)
+    orders.overwrite(_orders(spark, sf_dir))
+    orders.update(
+        {"o_orderpriority": F.lit("1-URGENT")}, F.expr("o_orderstatus = 'O' AND o_totalprice > 200000")
+    )
+    return orders.current()
+
+
+@query(
+    "D8 D9 P16",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'completed' ELSE 'pending' END AS status FROM orders""",
+)
+def update_after_evolution(spark, sf_dir):
+    """A status column is added, filled for some rows, then for those still NULL."""
+    orders = _versioned(spark)
+    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    orders.overwrite(keys)
+    orders.overwrite(add_columns(orders.current(), status="string"))
+    orders.update({"status": F.lit("completed")}, F.expr("o_orderkey % 3 = 0"))
+    orders.update({"status": F.lit("pending")}, F.col("status").isNull())
+    return orders.current()
+
+
+MARKED = "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus"
+
+
+@query(
+    "D10",
+    f"""SELECT * FROM (SELECT o_orderkey, {MARKED} FROM orders)
+        WHERE NOT coalesce(o_orderstatus = 'F', false)""",
+)
+def delete_where(spark, sf_dir):
+    """Rows whose status is unknown are kept."""
+    orders = _versioned(spark)
+    orders.overwrite(table(spark, sf_dir, "orders").selectExpr("o_orderkey", MARKED))
+    orders.delete(F.col("o_orderstatus") == "F")
+    return orders.current()
+
+
+def _three_commits(spark, sf_dir) -> VersionedTable:
+    """Half of the orders, the other half appended, the open ones deleted."""
+    orders = _versioned(spark)
+    rows = _orders(spark, sf_dir)
+    orders.overwrite(rows.where("o_orderkey % 2 = 0"), at=DAYS[0])
+    orders.append(rows.where("o_orderkey % 2 = 1"), at=DAYS[1])
+    orders.delete(F.col("o_orderstatus") == "O", at=DAYS[2])
+    return orders
+
+
+FIVE = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+
+
+@query("D11", f"{FIVE} WHERE o_orderkey % 2 = 0")
+def as_of_version(spark, sf_dir):
+    return _three_commits(spark, sf_dir).as_of_version(1)
+
+
+@query("D12 K2", FIVE)
+def as_of_time(spark, sf_dir):
+    """Between the append and the delete."""
+    return _three_commits(spark, sf_dir).as_of_time(datetime(2024, 3, 2, 12))
+
+
+@query(
+    "D13",
+    """SELECT 1 AS version, 1 AS base, 'overwrite' AS operation, TIMESTAMP '2024-03-01' AS committed_at,
+         count(*) AS rows_written FROM orders WHERE o_orderkey % 2 = 0
+       UNION ALL SELECT 2, 1, 'append', TIMESTAMP '2024-03-02', count(*) FROM orders WHERE o_orderkey % 2 = 1
+       UNION ALL SELECT 3, 3, 'delete', TIMESTAMP '2024-03-03', count(*) FROM orders WHERE o_orderstatus <> 'O'""",
+)
+def version_history(spark, sf_dir):
+    return _three_commits(spark, sf_dir).history()
+
+
+@query(
+    "D8",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS tip_amount FROM orders""",
+)
+def schema_evolution(spark, sf_dir):
+    """A catalog table gets a column between two inserts; the older rows read NULL."""
+    name = f"{_schema(spark)}.orders"
+    source = table(spark, sf_dir, "orders")
+    ddl.replace(source.where("o_orderkey % 2 = 0").select("o_orderkey"), name)
+    ddl.add_column(spark, name, "tip_amount", "double")
+    later = source.where("o_orderkey % 2 = 1")
+    ddl.append(later.select("o_orderkey", F.col("o_totalprice").alias("tip_amount")), name)
+    return spark.table(name)
+
+
+# --- statistics and maintenance ---------------------------------------------------
+
+
+@query("D14", "SELECT 12::BIGINT AS files, count(*) AS rows, true AS sized FROM lineitem")
+def file_statistics(spark, sf_dir):
+    folder = work_area(spark, "files")
+    table(spark, sf_dir, "lineitem").repartition(12).write.parquet(folder)
+    files = maintenance.file_statistics(spark.read.parquet(folder))
+    return files.agg(
+        F.count("*").alias("files"), F.sum("rows").alias("rows"), (F.min("bytes") > 0).alias("sized")
+    )
+
+
+@query("D16", "SELECT 12::BIGINT AS files_before, true AS fewer, count(*) AS rows FROM lineitem")
+def compaction(spark, sf_dir):
+    folder = work_area(spark, "files")
+    table(spark, sf_dir, "lineitem").repartition(12).write.parquet(folder)
+    done = maintenance.compact(spark, folder, work_area(spark, "compacted"))
+    return done.select(
+        F.col("files_before").cast("long").alias("files_before"),
+        (F.col("files_after") < F.col("files_before")).alias("fewer"),
+        "rows",
+    )
+
+
+@query("D17", "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY o_orderstatus")
+def compaction_on_demand(spark, sf_dir):
+    """Three files are enough for the on-demand job; the rows stay what they were."""
+    folder = work_area(spark, "files")
+    table(spark, sf_dir, "orders").repartition(3).write.parquet(folder)
+    done = maintenance.compact_on_demand(spark, folder, work_area(spark, "compacted"), target_size_mb=64)
+    rewritten = spark.read.parquet(done.first()["folder"])
+    return rewritten.groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+
+
+@query(
+    "D18",
+    """SELECT o_orderstatus, count(*) AS rows, 3 AS expired, 7 AS newest FROM orders GROUP BY o_orderstatus""",
+)
+def expiry(spark, sf_dir):
+    """Seven daily versions, all old, the last two kept.
+
+    Versions four and five stay as well: the kept ones build on them. What is
+    left still reads as it was.
+    """
+    orders = _versioned(spark)
+    status = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
+    for day in range(3):
+        orders.overwrite(status.where(F.col("o_orderkey") % 3 == day), at=DAYS[day])
+    orders.overwrite(status.where("o_orderkey % 3 = 0"), at=DAYS[3])
+    orders.append(status.where("o_orderkey % 3 = 1"), at=DAYS[4])
+    orders.append(status.where("o_orderkey % 3 = 2"), at=DAYS[5])
+    orders.append(status.limit(0), at=DAYS[6])
+    gone = maintenance.expired_versions(orders.log(), DAYS[11], retain_last=2)
+    expired = gone.agg(F.count("*").cast("int")).scalar()
+    newest = orders.log().agg(F.max("version")).scalar()
+    counts = orders.current().groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+    return counts.select("o_orderstatus", "rows", expired.alias("expired"), newest.alias("newest"))
+
+
+@query("D19", "SELECT 4::BIGINT AS orphans, true AS listed_all, count(*) AS live_rows FROM orders")
+def orphans(spark, sf_dir):
+    """Files of an older version, once a newer one has taken over."""
+    folder = work_area(spark, "files")
+    rows = _orders(spark, sf_dir)
+    rows.repartition(4).write.parquet(f"{folder}/old")
+    rows.repartition(2).write.parquet(f"{folder}/new")
+    live = spark.read.parquet(f"{folder}/new")
+    found = maintenance.orphan_files(spark, folder, live, datetime(2100, 1, 1))
+    return found.agg(
+        F.count("*").alias("orphans"),
+        F.bool_and(F.col("path").contains("/old/")).alias("listed_all"),
+    ).select("*", live.agg(F.count("*")).scalar().alias("live_rows"))
