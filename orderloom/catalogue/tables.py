@@ -32,10 +32,12 @@ def _versioned(spark) -> VersionedTable:
     return VersionedTable(spark, work_area(spark, "versions"))
 
 
+COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+EARLY = "(o_orderdate < TIMESTAMP '1998-05-01')"
+
+
 def _orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
-    )
+    return table(spark, sf_dir, "orders").select(*COLUMNS)
 
 
 # --- writes ------------------------------------------------------------------
@@ -166,11 +168,11 @@ def raw_to_gold(spark, sf_dir):
        GROUP BY n_regionkey""",
 )
 def appended_and_copied(spark, sf_dir):
-    """Customers appended in two parts, the table copied, then counted."""
+    """Customers written by balance in two parts, the table copied, then counted."""
     schema = _schema(spark)
     customers = table(spark, sf_dir, "customer")
-    ddl.replace(customers.where("c_custkey % 2 = 0"), f"{schema}.customers")
-    ddl.append(customers.where("c_custkey % 2 = 1"), f"{schema}.customers")
+    ddl.replace(customers.where("c_acctbal >= 5000"), f"{schema}.customers")
+    ddl.append(customers.where("c_acctbal < 5000"), f"{schema}.customers")
     copied = ddl.copy_table(spark, f"{schema}.customers", f"{schema}.customers_copy")
     regions = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     joined = lookup(copied, regions, F.col("c_nationkey") == F.col("n_nationkey"), how="inner")
@@ -263,20 +265,19 @@ def update_where(spark, sf_dir):
 
 @query(
     "D8 D9 P16",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'completed' ELSE 'pending' END AS status FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'pending' END AS status FROM orders""",
 )
 def update_after_evolution(spark, sf_dir):
     """A status column is added, filled for some rows, then for those still NULL."""
     orders = _versioned(spark)
-    keys = table(spark, sf_dir, "orders").select("o_orderkey")
-    orders.overwrite(keys)
+    orders.overwrite(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
     orders.overwrite(add_columns(orders.current(), status="string"))
-    orders.update({"status": F.lit("completed")}, F.expr("o_orderkey % 3 = 0"))
+    orders.update({"status": F.lit("completed")}, F.col("o_orderstatus").isin("F"))
     orders.update({"status": F.lit("pending")}, F.col("status").isNull())
-    return orders.current()
+    return orders.current().drop("o_orderstatus")
 
 
-MARKED = "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus"
+MARKED = "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus END AS o_orderstatus"
 
 
 @query(
@@ -293,19 +294,19 @@ def delete_where(spark, sf_dir):
 
 
 def _three_commits(spark, sf_dir) -> VersionedTable:
-    """Half of the orders, the other half appended, the open ones deleted."""
+    """The early orders, the later ones appended, the open ones deleted."""
     orders = _versioned(spark)
-    rows = _orders(spark, sf_dir)
-    orders.overwrite(rows.where("o_orderkey % 2 = 0"), at=DAYS[0])
-    orders.append(rows.where("o_orderkey % 2 = 1"), at=DAYS[1])
+    placed = table(spark, sf_dir, "orders")
+    orders.overwrite(placed.where(EARLY).select(*COLUMNS), at=DAYS[0])
+    orders.append(placed.where(f"NOT {EARLY}").select(*COLUMNS), at=DAYS[1])
     orders.delete(F.col("o_orderstatus") == "O", at=DAYS[2])
     return orders
 
 
-FIVE = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+FIVE = f"SELECT {', '.join(COLUMNS)} FROM orders"
 
 
-@query("D11", f"{FIVE} WHERE o_orderkey % 2 = 0")
+@query("D11", f"{FIVE} WHERE {EARLY}")
 def as_of_version(spark, sf_dir):
     return _three_commits(spark, sf_dir).as_of_version(1)
 
@@ -318,9 +319,9 @@ def as_of_time(spark, sf_dir):
 
 @query(
     "D13",
-    """SELECT 1 AS version, 1 AS base, 'overwrite' AS operation, TIMESTAMP '2024-03-01' AS committed_at,
-         count(*) AS rows_written FROM orders WHERE o_orderkey % 2 = 0
-       UNION ALL SELECT 2, 1, 'append', TIMESTAMP '2024-03-02', count(*) FROM orders WHERE o_orderkey % 2 = 1
+    f"""SELECT 1 AS version, 1 AS base, 'overwrite' AS operation, TIMESTAMP '2024-03-01' AS committed_at,
+         count(*) AS rows_written FROM orders WHERE {EARLY}
+       UNION ALL SELECT 2, 1, 'append', TIMESTAMP '2024-03-02', count(*) FROM orders WHERE NOT {EARLY}
        UNION ALL SELECT 3, 3, 'delete', TIMESTAMP '2024-03-03', count(*) FROM orders WHERE o_orderstatus <> 'O'""",
 )
 def version_history(spark, sf_dir):
@@ -329,15 +330,15 @@ def version_history(spark, sf_dir):
 
 @query(
     "D8",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS tip_amount FROM orders""",
+    f"SELECT o_orderkey, CASE WHEN NOT {EARLY} THEN o_totalprice END AS tip_amount FROM orders",
 )
 def schema_evolution(spark, sf_dir):
     """A catalog table gets a column between two inserts; the older rows read NULL."""
     name = f"{_schema(spark)}.orders"
     source = table(spark, sf_dir, "orders")
-    ddl.replace(source.where("o_orderkey % 2 = 0").select("o_orderkey"), name)
+    ddl.replace(source.where(EARLY).select("o_orderkey"), name)
     ddl.add_column(spark, name, "tip_amount", "double")
-    later = source.where("o_orderkey % 2 = 1")
+    later = source.where(f"NOT {EARLY}")
     ddl.append(later.select("o_orderkey", F.col("o_totalprice").alias("tip_amount")), name)
     return spark.table(name)
 
@@ -390,11 +391,11 @@ def expiry(spark, sf_dir):
     orders = _versioned(spark)
     status = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
     for day in range(3):
-        orders.overwrite(status.where(F.col("o_orderkey") % 3 == day), at=DAYS[day])
-    orders.overwrite(status.where("o_orderkey % 3 = 0"), at=DAYS[3])
-    orders.append(status.where("o_orderkey % 3 = 1"), at=DAYS[4])
-    orders.append(status.where("o_orderkey % 3 = 2"), at=DAYS[5])
-    orders.append(status.limit(0), at=DAYS[6])
+        orders.overwrite(status, at=DAYS[day])
+    orders.overwrite(status.where("o_orderstatus = 'F'"), at=DAYS[3])
+    orders.append(status.where("o_orderstatus = 'O'"), at=DAYS[4])
+    orders.append(status.where("o_orderstatus = 'P'"), at=DAYS[5])
+    orders.append(status.where("o_orderstatus NOT IN ('F', 'O', 'P')"), at=DAYS[6])
     gone = maintenance.expired_versions(orders.log(), DAYS[11], retain_last=2)
     expired = gone.agg(F.count("*").cast("int")).scalar()
     newest = orders.log().agg(F.max("version")).scalar()

@@ -4,25 +4,37 @@ A plain window sends every row of a key to one task. Here a key's rows are cut
 into bounded stretches of its order; the stretches are summed up first (with
 map-side partial aggregation), a small window over the summaries gives what
 lies before each stretch, and the row-level window runs inside one stretch.
+
+A row's stretch is one struct column, its `cell`. Structs compare their fields
+with NULL equal to NULL, so a NULL key is a key like any other, and the join on
+the cell and the window over it share one shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # A unique integer key puts at most this many rows into one stretch.
 STRETCH = 1_000_000
 
 
-def _stretch(position: Column, width: int) -> Column:
-    return F.floor(position / width).cast("long")
+def _cells(rows: DataFrame, keys: list[str], position: str, width: int) -> DataFrame:
+    """Rows with their cell: the keys and the stretch of the position."""
+    stretch = F.expr(f"`{position}` div {width}").alias("stretch")
+    return rows.withColumn("cell", F.struct(*keys, stretch))
 
 
-def _before(order: str, *keys: str):
+def _before(order: str, *keys: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
+
+
 def running_orders(
     orders: DataFrame,
     key: str,
@@ -35,36 +47,31 @@ def running_orders(
 
     Rows of the same day share the running total, as in the default RANGE frame.
     The rank is unique: ties of a day are numbered by `unique_id`. A key has at
-    most one day summary per calendar day, a day at most one stretch summary per
-    `width` ids, a stretch at most `width` rows.
+    most one summary per calendar day, a day at most one per `width` ids, and a
+    cell at most `width` rows.
     """
-    rows = orders.withColumn("stretch", _stretch(F.col(unique_id), width))
-    stretches = rows.groupBy(key, day, "stretch").agg(
+    per_day = orders.groupBy(key, day).agg(
         F.count(F.lit(1)).alias("n"), F.sum(amount).alias("subtotal")
     )
-    days = (
-        stretches.groupBy(key, day)
-        .agg(F.sum("n").alias("n"), F.sum("subtotal").alias("subtotal"))
-        .select(
-            key,
-            day,
-            F.coalesce(F.sum("n").over(_before(day, key)), F.lit(0)).alias("day_offset"),
-            F.sum("subtotal")
-            .over(Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0))
-            .alias("running_total"),
-        )
-    )
-    offsets = stretches.select(
+    until_now = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
+    days = per_day.select(
         key,
         day,
-        "stretch",
-        F.coalesce(F.sum("n").over(_before("stretch", key, day)), F.lit(0)).alias("stretch_offset"),
-    ).join(days, on=[key, day])
-    place = F.row_number().over(Window.partitionBy(key, day, "stretch").orderBy(unique_id))
+        F.coalesce(F.sum("n").over(_before(day, key)), F.lit(0)).alias("day_offset"),
+        F.sum("subtotal").over(until_now).alias("running_total"),
+    )
+    rows = _cells(orders, [key, day], unique_id, width)
+    per_cell = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select("cell", "cell.*", "n")
+    earlier = F.coalesce(F.sum("n").over(_before("stretch", key, day)), F.lit(0))
+    cells = per_cell.select("cell", key, day, earlier.alias("cell_offset"))
+    offsets = cells.join(days, _same(cells, days, [key, day])).select(
+        "cell", (F.col("cell_offset") + F.col("day_offset")).alias("offset"), "running_total"
+    )
+    place = F.row_number().over(Window.partitionBy("cell").orderBy(unique_id))
     return (
-        rows.join(offsets, on=[key, day, "stretch"])
-        .withColumn("order_rank", place + F.col("stretch_offset") + F.col("day_offset"))
-        .drop("stretch", "stretch_offset", "day_offset")
+        rows.join(offsets, on="cell")
+        .withColumn("order_rank", place + F.col("offset"))
+        .drop("cell", "offset")
     )
 
 
@@ -73,26 +80,16 @@ def behind_running_max(
 ) -> DataFrame:
     """Events older than one that arrived before them under the same key.
 
-    `arrival` is a unique integer position; a NULL key is a key like any other.
-    Adds `latest_before`, the newest moment seen earlier.
+    `arrival` is a unique integer position. Adds `latest_before`, the newest
+    moment seen earlier.
     """
-    rows = events.withColumn("stretch", _stretch(F.col(arrival), width))
-    peaks = (
-        rows.groupBy(key, "stretch")
-        .agg(F.max(moment).alias("peak"))
-        .select(
-            F.col(key).alias("peak_key"),
-            F.col("stretch").alias("peak_stretch"),
-            F.max("peak").over(_before("stretch", key)).alias("peak_before"),
-        )
-    )
-    joined = rows.join(
-        peaks,
-        F.col(key).eqNullSafe(F.col("peak_key")) & (F.col("stretch") == F.col("peak_stretch")),
-    )
-    inside = F.max(moment).over(_before(arrival, key, "stretch"))
+    rows = _cells(events, [key], arrival, width)
+    peaks = rows.groupBy("cell").agg(F.max(moment).alias("peak")).select("cell", "cell.*", "peak")
+    earlier = peaks.select("cell", F.max("peak").over(_before("stretch", key)).alias("peak_before"))
+    inside = F.max(moment).over(_before(arrival, "cell"))
     return (
-        joined.withColumn("latest_before", F.greatest(F.col("peak_before"), inside))
+        rows.join(earlier, on="cell")
+        .withColumn("latest_before", F.greatest("peak_before", inside))
         .where(F.col(moment) < F.col("latest_before"))
-        .drop("stretch", "peak_key", "peak_stretch", "peak_before")
+        .drop("cell", "peak_before")
     )

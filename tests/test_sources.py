@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from orderloom.functions.payload import as_message, json_value, unpack
+from orderloom.functions.times import minutes_between, patterned_timestamp, weekend
+from orderloom.session import shared_root, work_area
+from orderloom.sources import files, messages
+
+
+def test_strict_and_tolerant_event_time(spark):
+    texts = ["2024-01-15T14:30:00", "2024-01-15T14:30:00.250000", "yesterday"]
+    log = spark.createDataFrame([(t,) for t in texts], "ts string")
+    good = files.with_event_time(log.where("ts <> 'yesterday'")).collect()
+    assert [r.event_timestamp for r in good] == [
+        datetime(2024, 1, 15, 14, 30), datetime(2024, 1, 15, 14, 30, 0, 250000),
+    ]
+    tolerant = files.with_event_time(log, tolerant=True).collect()
+    assert [r.event_timestamp for r in tolerant] == [g.event_timestamp for g in good] + [None]
+    with pytest.raises(PySparkException):
+        files.with_event_time(log).collect()
+
+
+def test_pattern_needs_six_fraction_digits(spark):
+    one = spark.createDataFrame([("2024-01-15T14:30:00",)], "t string")
+    with pytest.raises(PySparkException):
+        one.select(patterned_timestamp(F.col("t"))).collect()
+
+
+def test_first_existing_prefers_the_sample(spark, tmp_path):
+    sample, full = str(tmp_path / "sample"), str(tmp_path / "full")
+    spark.range(10).write.parquet(full)
+    assert files.first_existing(spark, [sample, full]).count() == 10
+    spark.range(3).write.parquet(sample)
+    assert files.first_existing(spark, [sample, full]).count() == 3
+    assert files.first_existing(spark, [sample, full], max_rows=2).count() == 2
+    with pytest.raises(AnalysisException):
+        files.first_existing(spark, [str(tmp_path / "no"), str(tmp_path / "neither")])
+
+
+def test_json_directory_with_and_without_schema(spark, tmp_path):
+    folder = str(tmp_path / "raw")
+    spark.range(5).selectExpr("id", "concat('n', id) AS name").write.json(folder)
+    given = files.json_directory(spark, folder, "id long, name string")
+    assert sorted(given.collect()) == sorted(files.json_directory(spark, folder).collect())
+
+
+def test_dimension_registers_a_view(spark, sf_dir):
+    files.dimension(spark, f"{sf_dir}/nation.parquet", view="dim_nation_view")
+    assert spark.sql("SELECT count(*) FROM dim_nation_view").first()[0] == 25
+
+
+def test_topic_options():
+    assert messages.topic_options("h:9092", "orders") == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "orders", "startingOffsets": "latest",
+    }
+    batch = messages.topic_options("h:9092", "orders", "earliest", "latest", False)
+    assert (batch["endingOffsets"], batch["failOnDataLoss"]) == ("latest", "false")
+
+
+def test_topics_need_the_kafka_jar(spark):
+    for read in (messages.topic_batch, messages.topic_stream):
+        with pytest.raises(AnalysisException, match="kafka"):
+            read(spark, "nowhere:1", "orders")
+
+
+def test_messages_keep_null_fields_and_round_trip(spark):
+    rows = spark.createDataFrame([(1, None, "x")], "id int, place int, body string")
+    sent = as_message(rows, F.col("id"), ["id", "place", "body"])
+    assert sent.first().value == '{"id":1,"place":null,"body":"x"}'
+    assert unpack(sent, F.col("value"), "id int, place int, body string").collect() == rows.collect()
+
+
+def test_json_value_is_null_on_junk(spark):
+    rows = spark.createDataFrame([('{"a": "7"}',), ('{"a": "x"}',), ("{",), (None,)], "j string")
+    got = [r[0] for r in rows.select(json_value(F.col("j"), "$.a", "int")).collect()]
+    assert got == [7, None, None, None]
+
+
+def test_weekend_and_minutes(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-06', DATE'2024-01-08')) AS d")
+    assert [r[0] for r in days.select(weekend(F.col("d"))).collect()] == [True, True, False]
+    span = spark.sql("SELECT TIMESTAMP'2024-01-01 00:01:30.9' AS b, TIMESTAMP'2024-01-01 00:00:00' AS a")
+    assert span.select(minutes_between(F.col("b"), F.col("a"))).first()[0] == 1.5
+
+
+def test_constant_select_and_inspection(spark, capsys):
+    one = spark.sql("SELECT current_timestamp() AS now, 'Spark is up' AS message")
+    assert one.first().message == "Spark is up"
+    one.select("message").show()
+    one.printSchema()
+    one.explain()
+    printed = capsys.readouterr().out
+    assert "Spark is up" in printed and "message: string" in printed and "Physical Plan" in printed
+
+
+def test_work_area_lies_in_the_folder_the_session_names(spark):
+    root = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_root(spark) == root
+    first, second = work_area(spark, "x"), work_area(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
