@@ -40,7 +40,8 @@ def add_column(spark: SparkSession, table: str, column: str, kind: str) -> None:
 
 
 def tables(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {schema}").select("tableName")
+    """Stored tables; the session's temporary views are listed with every schema."""
+    return spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").select("tableName")
 
 
 def missing_tables(spark: SparkSession, schema: str, expected: list[str]) -> DataFrame:

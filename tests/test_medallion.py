@@ -1,0 +1,132 @@
+"""The table build, its layers, and the declared form of it."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark import pipelines as dp
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.pipelines.graph_element_registry import (
+    GraphElementRegistry,
+    graph_element_registration_context,
+)
+from pyspark.pipelines.output import MaterializedView, StreamingTable, TemporaryView
+
+from orderloom.catalogue import fixture
+from orderloom.plans import gold
+from orderloom.plans.declarative import define_medallion
+from orderloom.plans.medallion import Medallion, validate
+from orderloom.session import work_area
+from orderloom.sources.messages import folder_stream
+
+TABLES = {
+    "bronze.dim_brands", "bronze.dim_categories", "bronze.dim_items", "bronze.dim_locations", "bronze.orders",
+    "silver.orders_enriched", "silver.order_lifecycle",
+    "gold.hourly_metrics", "gold.delivery_performance", "gold.brand_summary",
+}
+
+
+@pytest.fixture(scope="module")
+def built(spark, sf_dir):
+    medallion = Medallion(spark, f"m_{uuid.uuid4().hex[:10]}", work_area(spark, "medallion"))
+    counts = medallion.run(fixture.sources(spark, sf_dir))
+    return medallion, {r.table_name: r.row_count for r in counts.collect()}
+
+
+def test_ten_tables_with_rows(built):
+    _, counts = built
+    assert set(counts) == TABLES and min(counts.values()) > 0
+
+
+def test_a_second_run_replaces(built, spark, sf_dir):
+    medallion, counts = built
+    again = medallion.run(fixture.sources(spark, sf_dir), layer="gold")
+    assert {r.table_name: r.row_count for r in again.collect()} == {
+        n: c for n, c in counts.items() if n.startswith("gold.")
+    }
+
+
+def test_layers_agree(built):
+    medallion, counts = built
+    revenue = medallion.read("gold", "hourly_metrics").agg({"total_revenue": "sum"}).first()[0]
+    by_brand = medallion.read("gold", "brand_summary").agg({"total_revenue": "sum"}).first()[0]
+    created = gold.created(medallion.read("silver", "orders_enriched"))
+    assert revenue == pytest.approx(by_brand)
+    assert revenue == pytest.approx(created.agg({"order_total": "sum"}).first()[0])
+    finished = medallion.read("gold", "delivery_performance").agg({"completed_orders": "sum"}).first()[0]
+    assert finished == counts["silver.order_lifecycle"]
+
+
+def test_validation_finds_a_missing_table_before_any_job(built, spark):
+    medallion, _ = built
+    validate(medallion.read("gold", "brand_summary"))
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    with pytest.raises(AnalysisException, match="TABLE_OR_VIEW_NOT_FOUND"):
+        validate(gold.created(spark.table(f"{medallion.prefix}_bronze.missing_orders")))
+    assert tracker.getJobIdsForGroup(None) == before
+
+
+class Collected(GraphElementRegistry):
+    """What a runner would be told."""
+
+    def __init__(self):
+        self.outputs, self.flows = {}, []
+
+    def register_output(self, output):
+        self.outputs[output.name] = output
+
+    def register_flow(self, flow):
+        self.flows.append(flow)
+
+    def register_sql(self, sql_text, file_path):
+        raise AssertionError("no SQL files are used")
+
+
+def test_declared_tables_equal_the_built_ones(built, spark, sf_dir):
+    """Each declared plan, run in the order given, makes the same tables."""
+    medallion, _ = built
+    area = work_area(spark, "declared")
+    sources = fixture.sources(spark, sf_dir)
+    for name in ("categories", "brands", "items", "locations"):
+        getattr(sources, name).write.parquet(f"{area}/{name}")
+    sources.events.drop("event_timestamp").write.parquet(f"{area}/events")
+    prefix = f"d_{uuid.uuid4().hex[:10]}_"
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"CREATE SCHEMA {prefix}{layer} LOCATION '{area}/tables/{layer}'")
+
+    collected = Collected()
+    with graph_element_registration_context(collected):
+        define_medallion(
+            {n: f"{area}/{n}" for n in ("categories", "brands", "items", "locations")},
+            f"{area}/events",
+            messages=lambda: folder_stream(spark, f"{area}/topic"),
+            prefix=prefix,
+        )
+    kinds = {n.removeprefix(prefix): type(o) for n, o in collected.outputs.items()}
+    assert {n for n, k in kinds.items() if k is MaterializedView} == TABLES
+    assert kinds["bronze.orders_streaming"] is StreamingTable and kinds["created_orders"] is TemporaryView
+
+    spark.createDataFrame([], "key binary, value binary, timestamp timestamp").write.parquet(f"{area}/topic")
+    for flow in collected.flows:
+        plan = flow.func()
+        kind = kinds[flow.target.removeprefix(prefix)]
+        if kind is StreamingTable:
+            assert plan.isStreaming
+        elif kind is TemporaryView:
+            plan.createOrReplaceTempView(flow.target)
+        else:
+            plan.write.saveAsTable(flow.target)
+    for name in sorted(TABLES):
+        declared, stored = spark.table(prefix + name), medallion.read(*name.split("."))
+        assert declared.columns == stored.columns
+        assert declared.count() == stored.count()
+    exact = ["bronze.orders", "silver.orders_enriched", "silver.order_lifecycle"]
+    for name in exact:
+        assert spark.table(prefix + name).exceptAll(medallion.read(*name.split("."))).count() == 0
+
+
+def test_declarations_need_a_runner():
+    with pytest.raises(PySparkException):
+        dp.materialized_view(lambda: None, name="x")
