@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from orderloom.catalogue.registry import table
 from orderloom.plans.medallion import Sources
 from orderloom.schemas import EVENT_TYPES
-from orderloom.sources.files import with_event_time
+from orderloom.sources.files import spread, with_event_time
 
 STEPS = [t for t in EVENT_TYPES if t != "driver_ping"]
 
@@ -25,7 +25,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.posexplode(F.slice(F.lit(STEPS), 1, last_step.otherwise(3) + 1))
     copies = F.when((key % 41 == 0) & (step == 0), F.array(F.lit(0), F.lit(1)))
     expanded = (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"), "o_orderkey")
         .select("*", steps.alias("sequence", "event_type"))
         .withColumn("dup", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     )

@@ -16,6 +16,7 @@ from orderloom.operators.quality import reconcile
 from orderloom.operators.rows import add_columns
 from orderloom.plans import layers_sql
 from orderloom.session import work_area
+from orderloom.sources.files import spread
 from orderloom.tables import ddl, maintenance
 from orderloom.tables.versions import VersionedTable
 
@@ -45,7 +46,7 @@ def _orders(spark, sf_dir):
 
 def _sale_rows(spark, sf_dir):
     """Order lines as sale events."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         "l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total"),
     )

@@ -2,38 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
-
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's upper estimate of a frame's size; None where it is not exposed."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's own threshold; zero or less where broadcasts are off."""
-    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().strip()
-    number = setting.rstrip("bkmg")
-    if not number.lstrip("-").isdigit():
-        return DEFAULT_BROADCAST_BYTES
+def byte_setting(spark: SparkSession, key: str) -> int:
+    """A size option in bytes, whether given as a number or with a unit."""
+    setting = spark.conf.get(key).lower().strip()
+    number = setting.rstrip("bkmgt")
     unit = setting.removeprefix(number)[:1]
-    return int(number) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1)
+    return int(number) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(unit, 1)
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Hint a broadcast only for a side whose estimate is within the limit.
 
+    The session's own threshold is the limit unless one is given; below zero it
+    turns broadcasts off.
     A larger or unknown side keeps no hint: it is joined by shuffle, where AQE
     splits the partitions a hot key fills.
     """
     size = estimated_bytes(df)
-    limit = broadcast_limit(df) if limit is None else limit
+    if limit is None:
+        limit = byte_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
     return F.broadcast(df) if size is not None and size <= limit else df
 
 

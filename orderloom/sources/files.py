@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.times import iso_timestamp, tolerant_timestamp
+from orderloom.operators.joins import byte_setting, estimated_bytes
 
 
 def dimension(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
@@ -48,3 +49,17 @@ def json_directory(spark: SparkSession, path: str, schema: str | None = None) ->
     """JSON lines; give the schema to spare the inference pass over all files."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.json(path)
+
+
+def spread(df: DataFrame, unique_key: str) -> DataFrame:
+    """A small table over all cores, for work that costs far more than the scan.
+
+    A table too small to give every core a split would be worked on by one or two
+    tasks. One that is large enough has its splits and is not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    if size is None or size >= cores * byte_setting(spark, "spark.sql.files.maxPartitionBytes"):
+        return df
+    return df.repartition(cores, unique_key)

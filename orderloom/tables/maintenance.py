@@ -32,6 +32,17 @@ def file_statistics(df: DataFrame) -> DataFrame:
     )
 
 
+def listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet files of a folder by name, size and time; their contents are not read."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(folder)
+        .select("path", "length", "modificationTime")
+    )
+
+
 def partition_statistics(df: DataFrame, *columns: str) -> DataFrame:
     """Rows per partition; partition columns come from the paths, counts from the footers."""
     return df.groupBy(*columns).agg(F.count("*").alias("rows"))
@@ -51,23 +62,22 @@ def compact(
     not disturbed; moving them over is the caller's step. Returns one row: files
     before, files after, and the folder to read from now on.
     """
-    table = spark.read.parquet(source)
-    files, size = file_statistics(table).agg(F.count("*"), F.sum("bytes")).first()
+    files, size = listing(spark, source).agg(F.count("*"), F.sum("length")).first()
     chosen = source
     if files >= min_files:
-        wanted = max(1, math.ceil(size / target_bytes))
-        chosen = target
+        table = spark.read.parquet(source)
         if partition_by:
             # Each partition value gets its own files; a large one is split.
             packed = table.hint("rebalance", *partition_by)
             packed.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
         else:
+            wanted = max(1, math.ceil(size / target_bytes))
             table.coalesce(wanted).write.mode("overwrite").parquet(target)
-    after = file_statistics(spark.read.parquet(chosen))
-    return after.agg(
+        chosen = target
+    return spark.read.parquet(chosen).agg(
         F.lit(files).alias("files_before"),
-        F.count("*").alias("files_after"),
-        F.sum("rows").alias("rows"),
+        listing(spark, chosen).agg(F.count("*")).scalar().alias("files_after"),
+        F.count("*").alias("rows"),
         F.lit(chosen).alias("folder"),
     )
 
@@ -92,15 +102,8 @@ def expired_versions(log: DataFrame, older_than: datetime, retain_last: int = KE
 def orphan_files(spark: SparkSession, folder: str, live: DataFrame, older_than: datetime) -> DataFrame:
     """Parquet files in a folder that no live row comes from. Reports, never deletes.
 
-    `live` is a frame over the live files. The listing reads names, not contents.
+    `live` is a frame over the live files.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(folder)
-        .select("path", "modificationTime", "length")
-    )
     used = file_statistics(live).select(F.col("file_path").alias("path"))
-    aged = listing.where(F.col("modificationTime") < F.lit(older_than).cast("timestamp"))
+    aged = listing(spark, folder).where(F.col("modificationTime") < F.lit(older_than).cast("timestamp"))
     return aged.join(used, on="path", how="left_anti")

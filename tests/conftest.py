@@ -93,8 +93,11 @@ def events(spark):
 
 
 @pytest.fixture
-def places(spark):
-    return spark.createDataFrame([(1, "Lyon"), (2, "Turin")], "id long, city string")
+def places(spark, tmp_path):
+    """Stored, so that its size is known."""
+    path = str(tmp_path / "places")
+    spark.createDataFrame([(1, "Lyon"), (2, "Turin")], "id long, city string").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @pytest.fixture

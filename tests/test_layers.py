@@ -52,12 +52,30 @@ def test_pivot_and_conditional_minimum_agree(enriched):
     assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
 
 
-def test_milestones_shuffle_once(spark, sf_dir, plan_text):
-    from orderloom.catalogue.medallion import lifecycle
-
-    plan = plan_text(lifecycle(spark, sf_dir))
+def test_milestones_shuffle_once(enriched, plan_text):
+    plan = plan_text(silver.lifecycle(enriched))
     assert plan.count("Exchange hashpartitioning") == 1
-    assert "BroadcastHashJoin" in plan
+    assert "partial_min" in plan and "BroadcastHashJoin" in plan
+
+
+def test_body_is_parsed_once_and_only_where_needed(enriched, plan_text):
+    assert plan_text(enriched).count("from_json") == 1
+    assert "from_json" not in plan_text(silver.lifecycle(enriched))
+
+
+def test_narrow_chain_has_no_shuffle_and_prunes_its_scan(spark, sf_dir, plan_text):
+    from orderloom.catalogue import registered
+
+    plan = plan_text(registered()["narrow_chain"](spark, sf_dir))
+    assert "Exchange" not in plan
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,50000.0)]" in plan
+    assert "o_custkey" not in plan and "o_orderdate" not in plan
+
+
+def test_top_k_keeps_k_rows_per_task(spark, sf_dir, plan_text):
+    from orderloom.catalogue import registered
+
+    assert "TakeOrderedAndProject" in plan_text(registered()["latest_events"](spark, sf_dir))
 
 
 def test_hourly_counts_copies(enriched):
