@@ -1,9 +1,11 @@
-"""Running values per key, without ever putting a whole key into one task.
+"""Running values per key, without ever putting an unbounded key into one task.
 
-A plain window sends every row of a key to one task. Here a key's rows are cut
-into bounded stretches of its order; the stretches are summed up first (with
-map-side partial aggregation), a small window over the summaries gives what
-lies before each stretch, and the row-level window runs inside one stretch.
+A plain window sends every row of a key to one task. That is the cheapest plan
+for a key of bounded size, so keys of up to `width` rows take it. The rows of a
+hot key are cut into bounded stretches of its order instead: the stretches are
+summed up first (with map-side partial aggregation), a small window over the
+summaries gives what lies before each stretch, and the row-level window runs
+inside one stretch.
 
 A row's stretch is one struct column, its `cell`. Structs compare their fields
 with NULL equal to NULL, so a NULL key is a key like any other, and the join on
@@ -17,8 +19,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# A unique integer key puts at most this many rows into one stretch.
-STRETCH = 1_000_000
+# The most rows of one key, or of one stretch of it, that a task has to sort.
+WIDTH = 1_000_000
+
+
+def split_hot(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of keys with at most `limit` rows, and the rows of the others.
+
+    There are fewer than rows / limit hot keys, which bounds what is broadcast.
+    Without any, AQE drops the hot side before it is read.
+    """
+    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(counts.where(F.col("n") > limit).select("hot_key"))
+    same = F.col(key).eqNullSafe(F.col("hot_key"))
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
 def _cells(rows: DataFrame, keys: list[str], position: str, width: int) -> DataFrame:
@@ -27,8 +41,8 @@ def _cells(rows: DataFrame, keys: list[str], position: str, width: int) -> DataF
     return rows.withColumn("cell", F.struct(*keys, stretch))
 
 
-def _before(order: str, *keys: str) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _until(order: str, *keys: str, last: int = -1) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -41,28 +55,43 @@ def running_orders(
     day: str,
     unique_id: str,
     amount: str,
-    width: int = STRETCH,
+    width: int = WIDTH,
 ) -> DataFrame:
     """Adds `running_total` and `order_rank` per key in order of day.
 
     Rows of the same day share the running total, as in the default RANGE frame.
-    The rank is unique: ties of a day are numbered by `unique_id`. A key has at
-    most one summary per calendar day, a day at most one per `width` ids, and a
-    cell at most `width` rows.
+    The rank is unique: ties of a day are numbered by `unique_id`, an integer.
+    """
+    cold, hot = split_hot(orders, key, width)
+    by_key = Window.partitionBy(key)
+    simple = cold.select(
+        *orders.columns,
+        F.row_number().over(by_key.orderBy(day, unique_id)).cast("long").alias("order_rank"),
+        F.sum(amount).over(by_key.orderBy(day)).alias("running_total"),
+    )
+    return simple.unionByName(_running_in_cells(hot, key, day, unique_id, amount, width))
+
+
+def _running_in_cells(
+    orders: DataFrame, key: str, day: str, unique_id: str, amount: str, width: int
+) -> DataFrame:
+    """The same for hot keys.
+
+    A key has at most one summary per calendar day, a day at most one per `width`
+    ids, and a cell at most `width` rows.
     """
     per_day = orders.groupBy(key, day).agg(
         F.count(F.lit(1)).alias("n"), F.sum(amount).alias("subtotal")
     )
-    until_now = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     days = per_day.select(
         key,
         day,
-        F.coalesce(F.sum("n").over(_before(day, key)), F.lit(0)).alias("day_offset"),
-        F.sum("subtotal").over(until_now).alias("running_total"),
+        F.coalesce(F.sum("n").over(_until(day, key)), F.lit(0)).alias("day_offset"),
+        F.sum("subtotal").over(_until(day, key, last=0)).alias("running_total"),
     )
     rows = _cells(orders, [key, day], unique_id, width)
     per_cell = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select("cell", "cell.*", "n")
-    earlier = F.coalesce(F.sum("n").over(_before("stretch", key, day)), F.lit(0))
+    earlier = F.coalesce(F.sum("n").over(_until("stretch", key, day)), F.lit(0))
     cells = per_cell.select("cell", key, day, earlier.alias("cell_offset"))
     offsets = cells.join(days, _same(cells, days, [key, day])).select(
         "cell", (F.col("cell_offset") + F.col("day_offset")).alias("offset"), "running_total"
@@ -76,20 +105,28 @@ def running_orders(
 
 
 def behind_running_max(
-    events: DataFrame, key: str, arrival: str, moment: str, width: int = STRETCH
+    events: DataFrame, key: str, arrival: str, moment: str, width: int = WIDTH
 ) -> DataFrame:
     """Events older than one that arrived before them under the same key.
 
     `arrival` is a unique integer position. Adds `latest_before`, the newest
     moment seen earlier.
     """
+    cold, hot = split_hot(events, key, width)
+    simple = cold.withColumn("latest_before", F.max(moment).over(_until(arrival, key)))
+    marked = simple.unionByName(_newest_in_cells(hot, key, arrival, moment, width))
+    return marked.where(F.col(moment) < F.col("latest_before"))
+
+
+def _newest_in_cells(
+    events: DataFrame, key: str, arrival: str, moment: str, width: int
+) -> DataFrame:
     rows = _cells(events, [key], arrival, width)
     peaks = rows.groupBy("cell").agg(F.max(moment).alias("peak")).select("cell", "cell.*", "peak")
-    earlier = peaks.select("cell", F.max("peak").over(_before("stretch", key)).alias("peak_before"))
-    inside = F.max(moment).over(_before(arrival, "cell"))
+    earlier = peaks.select("cell", F.max("peak").over(_until("stretch", key)).alias("peak_before"))
+    inside = F.max(moment).over(_until(arrival, "cell"))
     return (
         rows.join(earlier, on="cell")
         .withColumn("latest_before", F.greatest("peak_before", inside))
-        .where(F.col(moment) < F.col("latest_before"))
         .drop("cell", "peak_before")
     )

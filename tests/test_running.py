@@ -10,7 +10,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from orderloom.operators.running import behind_running_max, running_orders
+from orderloom.operators.running import behind_running_max, running_orders, split_hot
 
 
 def hot_orders(seed: int, n: int):
@@ -49,7 +49,7 @@ def test_running_orders(spark, conf, width, broadcast):
     rows = hot_orders(width, 600)
     df = spark.createDataFrame(rows, "id long, customer int, day date, amount long")
     got = running_orders(df, "customer", "day", "id", "amount", width)
-    assert got.columns == ["id", "customer", "day", "amount", "running_total", "order_rank"]
+    assert set(got.columns) == {"id", "customer", "day", "amount", "running_total", "order_rank"}
     assert {r.id: (r.running_total, r.order_rank) for r in got.collect()} == expected_running(rows)
 
 
@@ -98,11 +98,28 @@ def test_running_orders_on_any_rows(spark, cells, width):
     assert {r.id: (r.running_total, r.order_rank) for r in got.collect()} == expected_running(rows)
 
 
-def test_no_window_spans_a_whole_key(spark, plan_text, conf):
-    """The row-level window is partitioned by the cell, on the join's own shuffle."""
+def test_split_hot_parts_the_rows(spark):
+    df = spark.createDataFrame([(i, [None, None, 1, 1, 1, 2][i % 6]) for i in range(60)], "id long, k int")
+    for limit, hot_keys in ((9, {None, 1, 2}), (10, {None, 1}), (20, {1}), (30, set())):
+        cold, hot = split_hot(df, "k", limit)
+        assert {r.k for r in hot.collect()} == hot_keys
+        assert cold.count() + hot.count() == 60 and cold.columns == df.columns
+
+
+def test_no_window_spans_a_hot_key(spark, plan_text, conf):
+    """Its row-level window is partitioned by the cell, on the join's own shuffle."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     df = spark.createDataFrame(hot_orders(1, 50), "id long, customer int, day date, amount long")
     plan = plan_text(running_orders(df, "customer", "day", "id", "amount"))
-    top_window = plan[plan.index("Window [row_number()") :]
-    before_join = top_window[: top_window.index("SortMergeJoin")]
+    hot_window = plan[plan.index("Window [row_number() windowspecdefinition(cell") :]
+    before_join = hot_window[: hot_window.index("SortMergeJoin")]
     assert "Exchange" not in before_join
+
+
+def test_without_hot_keys_the_rows_are_shuffled_once(spark):
+    """AQE finds the list of hot keys empty and drops their side."""
+    df = spark.createDataFrame(hot_orders(1, 300), "id long, customer int, day date, amount long")
+    result = running_orders(df, "customer", "day", "id", "amount")
+    result.collect()
+    final = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "cell" not in final
