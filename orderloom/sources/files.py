@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +56,13 @@ def json_directory(spark: SparkSession, path: str, schema: str | None = None) ->
 def spread(df: DataFrame, unique_key: str) -> DataFrame:
     """A small table over all cores, for work that costs far more than the scan.
 
-    A table too small to give every core a split would be worked on by one or two
-    tasks. One that is large enough has its splits and is not shuffled.
+    A table with splits for less than a quarter of the cores would leave the
+    others idle. One that is larger keeps its splits and is not shuffled.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = estimated_bytes(df)
-    if size is None or size >= cores * byte_setting(spark, "spark.sql.files.maxPartitionBytes"):
+    if size is None:
         return df
-    return df.repartition(cores, unique_key)
+    splits = math.ceil(size / byte_setting(spark, "spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores, unique_key) if splits * 4 <= cores else df

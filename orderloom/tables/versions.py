@@ -12,16 +12,18 @@ rewrites only the files a change touches.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.operators import rows
 
-LOG_FIELDS = "version int, base int, operation string, committed_at timestamp"
+LOG_FIELDS = "version int, base int, operation string, committed_at timestamp, columns string"
 
 
 @dataclass(frozen=True)
@@ -43,7 +45,14 @@ class VersionedTable:
 
     # --- writing -------------------------------------------------------------
 
-    def _commit(self, df: DataFrame, operation: str, at: datetime | None, base: int | None) -> int:
+    def _commit(
+        self,
+        df: DataFrame,
+        operation: str,
+        at: datetime | None,
+        base: int | None = None,
+        columns: StructType | None = None,
+    ) -> int:
         last = self.log().agg(F.max("version")).first()[0]
         version = 1 if last is None else last + 1
         df.write.mode("overwrite").parquet(f"{self.data}/version={version}")
@@ -52,33 +61,42 @@ class VersionedTable:
             F.lit(version if base is None else base).alias("base"),
             F.lit(operation).alias("operation"),
             (F.current_timestamp() if at is None else F.lit(at).cast("timestamp")).alias("committed_at"),
+            F.lit((columns or df.schema).json()).alias("columns"),
         )
         entry.write.mode("append").parquet(f"{self.root}/log")
         return version
 
     def overwrite(self, df: DataFrame, at: datetime | None = None) -> int:
-        return self._commit(df, "overwrite", at, None)
+        return self._commit(df, "overwrite", at)
 
     def append(self, df: DataFrame, at: datetime | None = None) -> int:
-        last = self.log().agg(F.max_by("base", "version")).first()[0]
-        return self._commit(df, "append", at, last)
+        """Add rows; columns the table lacks are added, NULL in the rows before."""
+        _, base, columns = self._newest(self.log())
+        known = {f.name: f.dataType for f in columns}
+        typed = df.withColumns({n: F.col(n).cast(known[n]) for n in df.columns if n in known})
+        wider = StructType(columns.fields + [f for f in df.schema if f.name not in known])
+        return self._commit(typed, "append", at, base, wider)
 
     def update(self, changes: dict[str, Column], condition: Column, at: datetime | None = None) -> int:
-        return self._commit(rows.set_where(self.current(), changes, condition), "update", at, None)
+        return self._commit(rows.set_where(self.current(), changes, condition), "update", at)
 
     def delete(self, condition: Column, at: datetime | None = None) -> int:
-        return self._commit(rows.drop_where(self.current(), condition), "delete", at, None)
+        return self._commit(rows.drop_where(self.current(), condition), "delete", at)
 
     # --- reading -------------------------------------------------------------
 
-    def _read(self, chosen: DataFrame) -> DataFrame:
-        """The rows of the newest version among the chosen log rows."""
-        found = chosen.agg(F.max("version"), F.max_by("base", "version")).first()
-        if found[0] is None:
+    def _newest(self, chosen: DataFrame) -> tuple[int, int, StructType]:
+        """Version, base and columns of the newest among the chosen log rows."""
+        found = chosen.orderBy(F.desc("version")).select("version", "base", "columns").first()
+        if found is None:
             raise ValueError(f"{self.root} has no such version")
-        version, base = found
+        return found["version"], found["base"], StructType.fromJson(json.loads(found["columns"]))
+
+    def _read(self, chosen: DataFrame) -> DataFrame:
+        """The columns come from the log, so no file is opened to find them."""
+        version, base, columns = self._newest(chosen)
         folders = [f"{self.data}/version={v}" for v in range(base, version + 1)]
-        return self.spark.read.option("mergeSchema", "true").parquet(*folders)
+        return self.spark.read.schema(columns).parquet(*folders)
 
     def current(self) -> DataFrame:
         return self._read(self.log())
@@ -94,7 +112,8 @@ class VersionedTable:
 
         The counts come from the parquet footers: no column is read.
         """
-        stored = self.spark.read.parquet(self.data).groupBy("version").agg(F.count("*").alias("rows_written"))
+        folders = self.spark.read.schema("version int").parquet(self.data)
+        stored = folders.groupBy("version").agg(F.count("*").alias("rows_written"))
         written = F.coalesce("rows_written", F.lit(0)).alias("rows_written")
         return (
             self.log()

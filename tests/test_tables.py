@@ -151,6 +151,9 @@ def test_append_adds_a_folder_and_keeps_the_base(spark, versioned):
     }
     assert versioned.as_of_version(1).columns == ["id"]
     assert [(r.version, r.base) for r in versioned.history().collect()] == [(1, 1), (2, 1)]
+    versioned.append(spark.createDataFrame([(7,)], "id int"))  # read as the long the table has
+    assert dict(versioned.current().dtypes) == {"id": "bigint", "note": "string"}
+    assert versioned.current().where("id = 7").count() == 1
 
 
 def test_a_commit_that_died_is_not_read(spark, versioned):
