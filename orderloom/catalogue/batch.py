@@ -11,13 +11,13 @@ from orderloom.catalogue.registry import doubles, mean_of_cents, money, query, s
 from orderloom.functions.payload import as_message
 from orderloom.operators.joins import lookup, missing_keys, shuffle_join
 from orderloom.operators.quality import profile
-from orderloom.operators.rows import one_per_key, present, since_day, top
+from orderloom.operators.rows import one_per_key, present, top
 from orderloom.operators.running import running_orders
 from orderloom.plans import sales
 from orderloom.plans.medallion import count_each
 from orderloom.session import work_area
 from orderloom.sources.files import dimension, first_existing, json_directory
-from orderloom.sources.messages import as_text
+from orderloom.sources.messages import EVENT_MESSAGE, as_text, replay
 from orderloom.sources.synthetic import click_events
 
 
@@ -114,11 +114,6 @@ MESSAGE_SQL = """json_object('event_id', event_id, 'event_type', event_type, 'ts
     'ts_seconds', ts_seconds, 'location_id', location_id, 'order_id', order_id,
     'sequence', sequence, 'body', body)"""
 
-MESSAGE_COLUMNS = [
-    "event_id", "event_type", "ts", "ts_seconds", "location_id", "order_id", "sequence", "body",
-]
-
-
 @query(
     "P19",
     f"""WITH {EVENTS_CTE} SELECT order_id AS key, CAST({MESSAGE_SQL} AS VARCHAR) AS value FROM bronze
@@ -126,8 +121,7 @@ MESSAGE_COLUMNS = [
 )
 def replay_messages(spark, sf_dir):
     """The log from day 1500 on, as keyed JSON messages."""
-    recent = since_day(fixture.event_log(spark, sf_dir), 1500)
-    return as_message(recent, F.col("order_id"), MESSAGE_COLUMNS)
+    return replay(fixture.event_log(spark, sf_dir), start_day=1500)
 
 
 @query(
@@ -136,7 +130,7 @@ def replay_messages(spark, sf_dir):
 )
 def raw_messages(spark, sf_dir):
     """Messages as a topic holds them, in binary, read back as text."""
-    messages = as_message(fixture.event_log(spark, sf_dir), F.col("order_id"), MESSAGE_COLUMNS)
+    messages = as_message(fixture.event_log(spark, sf_dir), F.col("order_id"), EVENT_MESSAGE)
     binary = messages.select(*(F.col(c).cast("binary").alias(c) for c in messages.columns))
     return as_text(binary)
 

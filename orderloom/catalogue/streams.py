@@ -12,14 +12,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from orderloom.catalogue import fixture
-from orderloom.catalogue.batch import MESSAGE_COLUMNS
 from orderloom.catalogue.fixture import BRONZE_SQL, EVENTS_CTE
 from orderloom.catalogue.registry import doubles, query, table
 from orderloom.functions.payload import as_message, unpack
 from orderloom.functions.times import MICROS
 from orderloom.operators.quality import repeated_ids
 from orderloom.session import work_area
-from orderloom.sources.messages import MESSAGE_FIELDS, folder_stream, value_text
+from orderloom.sources.messages import EVENT_MESSAGE, MESSAGE_FIELDS, folder_stream, value_text
 from orderloom.sources.synthetic import click_events
 from orderloom.streaming import bronze, windows
 from orderloom.streaming.runs import append_to_files, append_to_table, finish, table_stream
@@ -39,7 +38,7 @@ def _topic(spark, events, key, columns, moment) -> str:
 
 def _order_topic(spark, sf_dir):
     log = fixture.event_log(spark, sf_dir)
-    return folder_stream(spark, _topic(spark, log, "order_id", MESSAGE_COLUMNS, "ts"))
+    return folder_stream(spark, _topic(spark, log, "order_id", EVENT_MESSAGE, "ts"))
 
 
 def _given_events(spark, sf_dir):
@@ -90,7 +89,7 @@ def stream_created_orders(spark, sf_dir):
 def message_batch(spark, sf_dir):
     """The same messages read as a batch, from the earliest to the latest."""
     log = fixture.event_log(spark, sf_dir)
-    folder = _topic(spark, log, "order_id", MESSAGE_COLUMNS, "ts")
+    folder = _topic(spark, log, "order_id", EVENT_MESSAGE, "ts")
     messages = spark.read.schema(MESSAGE_FIELDS).parquet(folder)
     return bronze.order_events(messages).groupBy("event_type").agg(F.count("*").alias("events"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The two forms an event time comes in.
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,12 +50,24 @@ class Medallion:
         """Full overwrite: a run replaces what the last one left."""
         df.write.mode("overwrite").saveAsTable(self.name(layer, table))
 
+    def write_together(self, layer: str, frames: dict[str, DataFrame]) -> None:
+        """Tables that do not read each other, as jobs side by side."""
+        write = inheritable_thread_target(self.spark)(self.write)
+        with ThreadPoolExecutor(len(frames)) as pool:
+            for job in [pool.submit(write, layer, table, df) for table, df in frames.items()]:
+                job.result()
+
     def build_bronze(self, sources: Sources) -> None:
-        self.write("bronze", "dim_categories", sources.categories)
-        self.write("bronze", "dim_brands", sources.brands)
-        self.write("bronze", "dim_items", sources.items)
-        self.write("bronze", "dim_locations", sources.locations)
-        self.write("bronze", "orders", sources.events)
+        self.write_together(
+            "bronze",
+            {
+                "dim_categories": sources.categories,
+                "dim_brands": sources.brands,
+                "dim_items": sources.items,
+                "dim_locations": sources.locations,
+                "orders": sources.events,
+            },
+        )
 
     def build_silver(self) -> None:
         events = self.read("bronze", "orders")
@@ -63,11 +77,16 @@ class Medallion:
 
     def build_gold(self) -> None:
         enriched = self.read("silver", "orders_enriched")
-        self.write("gold", "hourly_metrics", gold.hourly_metrics(enriched))
         finished = self.read("silver", "order_lifecycle")
-        self.write("gold", "delivery_performance", gold.delivery_performance(finished))
         brands = self.read("bronze", "dim_brands")
-        self.write("gold", "brand_summary", gold.brand_summary(enriched, brands))
+        self.write_together(
+            "gold",
+            {
+                "hourly_metrics": gold.hourly_metrics(enriched),
+                "delivery_performance": gold.delivery_performance(finished),
+                "brand_summary": gold.brand_summary(enriched, brands),
+            },
+        )
 
     def run(self, sources: Sources, layer: str | None = None) -> DataFrame:
         """Build all layers, or one of them from its stored inputs; returns row counts."""

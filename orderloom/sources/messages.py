@@ -9,6 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.functions.payload import as_message
+from orderloom.operators.rows import since_day
+
+# The fields of a replayed event, in the order its JSON has them.
+EVENT_MESSAGE = [
+    "event_id", "event_type", "ts", "ts_seconds", "location_id", "order_id", "sequence", "body",
+]
+
 MESSAGE_FIELDS = "key binary, value binary, timestamp timestamp"
 
 
@@ -58,3 +66,9 @@ def as_text(messages: DataFrame) -> DataFrame:
 
 def value_text() -> Column:
     return F.col("value").cast("string")
+
+
+def replay(events: DataFrame, start_day: int = 0) -> DataFrame:
+    """The log from a day on as messages keyed by order, in the order they happened."""
+    recent = since_day(events, start_day).orderBy("ts_seconds", "sequence")
+    return as_message(recent, F.col("order_id"), EVENT_MESSAGE)

@@ -23,7 +23,10 @@ def click_events(ticks: DataFrame) -> DataFrame:
 
 
 def sale_events(ticks: DataFrame) -> DataFrame:
-    """Ticks as placed orders; the event id is random, the rest follows `value`."""
+    """Ticks as placed orders; the event id is random, the rest follows `value`.
+
+    Fixed values: prefixes, product and price.
+    """
     value = F.col("value")
     priced = ticks.select(
         F.expr("uuid()").alias("event_id"),

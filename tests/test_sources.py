@@ -75,6 +75,13 @@ def test_messages_keep_null_fields_and_round_trip(spark):
     assert unpack(sent, F.col("value"), "id int, place int, body string").collect() == rows.collect()
 
 
+def test_replay_is_in_event_order_from_a_day_on(events):
+    sent = [unpacked.event_id for unpacked in unpack(messages.replay(events), F.col("value"), "event_id string").collect()]
+    assert len(sent) == 16 and sent[:3] == ["A-0", "A-0", "A-1"] and sent[-1] == "B-1"
+    later = messages.replay(events, start_day=2).collect()
+    assert {r.key for r in later} == {"B", "C", "D", "E", "G", None}
+
+
 def test_json_value_is_null_on_junk(spark):
     rows = spark.createDataFrame([('{"a": "7"}',), ('{"a": "x"}',), ("{",), (None,)], "j string")
     got = [r[0] for r in rows.select(json_value(F.col("j"), "$.a", "int")).collect()]

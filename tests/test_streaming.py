@@ -4,9 +4,11 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from orderloom.functions.payload import as_message
+from orderloom.functions.times import iso_timestamp, tolerant_timestamp
 from orderloom.operators.quality import repeated_ids
 from orderloom.session import work_area
 from orderloom.sources.messages import as_text, folder_stream
@@ -143,6 +145,46 @@ def test_restart_adds_only_what_is_new(spark, tmp_path):
     assert {tuple(r) for r in partition_statistics(spark.table(name), "hour").collect()} == {("12", 70), ("13", 30)}
 
 
+def test_a_query_stopped_between_files_goes_on(spark, tmp_path):
+    """Stopped after some of its files, started again: every row once, none lost."""
+    folder = str(tmp_path / "in")
+    schema = "event_id long, ts timestamp"
+    for n in range(12):
+        put(spark, folder, f"f{n:02d}", [(100 * n + i, BEGIN) for i in range(50)], schema)
+    out = work_area(spark, "stopped")
+
+    def start(interval):
+        stream = folder_stream(spark, files(folder), schema, files_per_batch=1)
+        return append_to_files(stream, f"{out}/rows", f"{out}/checkpoint", interval=interval)
+
+    first = watch(start("1 second"), seconds=4, every=0.2)
+    assert 0 < sum(r["rows"] for r in first) < 600
+    finish(start(None))
+    stored = spark.read.schema(schema).parquet(f"{out}/rows")
+    assert repeated_ids(stored, "event_id").first().asDict() == {"rows": 600, "ids": 600, "exactly_once": True}
+
+
+def test_a_failed_batch_leaves_nothing_behind(spark, tmp_path):
+    """A job that dies on one file repeats that batch only, once it can."""
+    folder = str(tmp_path / "in")
+    schema = "event_id long, ts string"
+    put(spark, folder, "a", [(1, "2024-01-01T00:00:00")], schema)
+    put(spark, folder, "b", [(2, "2024-01-01T00:00:01"), (3, "never")], schema)
+    out = work_area(spark, "failed")
+    raw = folder_stream(spark, files(folder), schema, files_per_batch=1)
+
+    def start(parse):
+        stream = raw.withColumn("event_timestamp", parse(F.col("ts")))
+        return append_to_files(stream, f"{out}/rows", f"{out}/checkpoint")
+
+    with pytest.raises(StreamingQueryException):
+        finish(start(iso_timestamp))
+    assert spark.read.parquet(f"{out}/rows").count() == 1
+    finish(start(tolerant_timestamp))
+    stored = spark.read.parquet(f"{out}/rows")
+    assert {(r.event_id, r.event_timestamp is None) for r in stored.collect()} == {(1, False), (2, False), (3, True)}
+
+
 def test_chained_tables_follow_each_other(spark, tmp_path):
     folder = str(tmp_path / "in")
     schema = "order_id string, n int"

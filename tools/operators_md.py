@@ -63,7 +63,7 @@ P15 where
 P16 functions.times.weekend
 P17 functions.times.weekend, sources.synthetic.click_events
 P18 plans.sales.taxed
-P19 operators.rows.since_day, functions.payload.as_message
+P19 sources.messages.replay
 J1 operators.joins.lookup
 J2 plans.gold.brand_summary
 J3 plans.gold.brand_orders_by_path
