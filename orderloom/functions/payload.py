@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,18 @@ def unpack(df: DataFrame, text: Column, ddl: str, *keep: Column | str) -> DataFr
     return parsed.select("payload.*", *(c for c in parsed.columns if c != "payload"))
 
 
+def parse_named(text: Column, fields: dict[str, str]) -> Column:
+    """from_json, for texts that can name one of the fields; NULL for the others.
+
+    Most events carry other keys only, and starting the parser costs more than
+    searching the text. A backslash may hide a name in an escape, so such a text
+    is parsed as well; the fields come out as from_json alone would give them.
+    """
+    named = reduce(lambda a, b: a | b, (text.contains(part) for part in (*fields, "\\")))
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
+    return F.when(named, F.from_json(text, ddl))
+
+
 def json_value(text: Column, path: str, as_type: str) -> Column:
     """One JSON path; junk reads as NULL instead of failing the job."""
     return F.get_json_object(text, path).try_cast(as_type)

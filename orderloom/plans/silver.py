@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.payload import parse_named
 from orderloom.functions.times import calendar_features, minutes_between
 from orderloom.operators.joins import lookup
 from orderloom.operators.rows import present
@@ -27,9 +28,8 @@ def enrich(events: DataFrame, locations: DataFrame, money: str = "double") -> Da
     fields, an unknown or NULL location a NULL city. Copies are kept.
     """
     usable = present(events, "event_id", "order_id", "event_timestamp")
-    parsed = usable.select(
-        *EVENT_COLUMNS, F.from_json("body", body_fields(money)).alias("payload")
-    )
+    payload = parse_named(F.col("body"), body_fields(money))
+    parsed = usable.select(*EVENT_COLUMNS, payload.alias("payload"))
     featured = parsed.select(
         *EVENT_COLUMNS,
         *(F.col(f"payload.{key}").alias(name) for key, name in BODY_COLUMNS.items()),

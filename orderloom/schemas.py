@@ -53,16 +53,20 @@ CREATED_FIELDS = (
 )
 
 
-def body_fields(money: str = "double") -> str:
-    """DDL of the event body; `money` is the type of the order total.
+def body_fields(money: str = "double") -> dict[str, str]:
+    """Keys of the event body and their types; `money` is the type of the total.
 
     With a decimal type sums do not depend on the order rows arrive in.
     Fixed values: the JSON keys, `lng` included.
     """
-    return (
-        f"brand_id int, item_ids string, total {money}, "
-        "lat double, lng double, driver_id string"
-    )
+    return {
+        "brand_id": "int",
+        "item_ids": "string",
+        "total": money,
+        "lat": "double",
+        "lng": "double",
+        "driver_id": "string",
+    }
 
 
 # Body key -> column of the enriched events.

@@ -69,6 +69,9 @@ def value_text() -> Column:
 
 
 def replay(events: DataFrame, start_day: int = 0) -> DataFrame:
-    """The log from a day on as messages keyed by order, in the order they happened."""
-    recent = since_day(events, start_day).orderBy("ts_seconds", "sequence")
+    """The log from a day on as messages keyed by order, in the order they happened.
+
+    The event id, last in the order, lets a crowded second span several tasks.
+    """
+    recent = since_day(events, start_day).orderBy("ts_seconds", "sequence", "event_id")
     return as_message(recent, F.col("order_id"), EVENT_MESSAGE)

@@ -3,10 +3,12 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from orderloom.functions.payload import as_message, json_value, unpack
+from orderloom.functions.payload import as_message, json_value, parse_named, unpack
 from orderloom.functions.times import minutes_between, patterned_timestamp, weekend
 from orderloom.session import shared_root, work_area
 from orderloom.sources import files, messages
@@ -75,6 +77,23 @@ def test_messages_keep_null_fields_and_round_trip(spark):
     assert unpack(sent, F.col("value"), "id int, place int, body string").collect() == rows.collect()
 
 
+PIECES = st.sampled_from(
+    ["{", "}", '"', "'", ",", ":", " ", "\\u0061", "\\", "[", "]", "null", "7", "1.5", "x",
+     '"a"', "'a'", '"b":', '"la": ', '"a": 3', "'b': 'y'", '{"a": ', '"c": {"a": 1}', '"\\u0061": 9']
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(PIECES, max_size=9).map("".join), min_size=1, max_size=60))
+def test_parse_named_equals_from_json(spark, texts):
+    whole = [f"{{{t}}}" for t in texts]
+    rows = spark.createDataFrame([(t,) for t in texts + whole] + [(None,)], "body string")
+    plain = F.from_json("body", "a int, b string")
+    quick = parse_named(F.col("body"), {"a": "int", "b": "string"})
+    differing = rows.where(~(quick["a"].eqNullSafe(plain["a"]) & quick["b"].eqNullSafe(plain["b"])))
+    assert differing.collect() == []
+
+
 def test_replay_is_in_event_order_from_a_day_on(events):
     sent = [unpacked.event_id for unpacked in unpack(messages.replay(events), F.col("value"), "event_id string").collect()]
     assert len(sent) == 16 and sent[:3] == ["A-0", "A-0", "A-1"] and sent[-1] == "B-1"
