@@ -4,17 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+import orderloom
 from orderloom.session import work_area
 
 # A-Z to a-z, every other byte as it is.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application, as --py-files would."""
+    context = spark.sparkContext
+    if getattr(context, "_orderloom_shipped", False):
+        return spark
+    home = Path(orderloom.__file__).parent
+    handle, archive = tempfile.mkstemp(prefix="orderloom-", suffix=".zip")
+    with os.fdopen(handle, "wb") as to, zipfile.ZipFile(to, "w") as z:
+        for file in sorted(home.rglob("*.py")):
+            z.write(file, str(file.relative_to(home.parent)))
+    context.addPyFile(archive)
+    context._orderloom_shipped = True
+    return spark
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table to the shared folder and read it again: lineage ends here."""
     path = work_area(df.sparkSession, purpose)

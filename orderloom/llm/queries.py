@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import fm_index, packing, pii_crf, setsketch, site_bayes, slots
+from orderloom.llm import class_lm, fm_index, norm_topk, packing, pii_crf, setsketch, site_bayes, slots, suffix_levels, tag_paths
+from orderloom.llm.common import ship
 from orderloom.llm.sql import SQL
 from orderloom.session import apply_engine_conf
 
@@ -16,7 +17,7 @@ QUERIES: dict[str, Plan] = {}
 
 
 def query(plan: Plan) -> Plan:
-    QUERIES[plan.__name__] = lambda spark, sf_dir: plan(apply_engine_conf(spark), sf_dir)
+    QUERIES[plan.__name__] = lambda spark, sf_dir: plan(ship(apply_engine_conf(spark)), sf_dir)
     return plan
 
 
@@ -24,21 +25,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.digest(pii_crf.find(table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_bayes.digest(site_bayes.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+@query
+def op7_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.digest(suffix_levels.without_repeats(table(spark, sf_dir, "documents")))
+
+
 @query
 def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_index.digest(fm_index.locate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
