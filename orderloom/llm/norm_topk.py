@@ -46,7 +46,7 @@ def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact a @ b.T; in doubles where every sum fits in 53 bits, else in Python's integers."""
+    """Exact a @ b.T: in doubles where every sum fits in 53 bits, in Python's integers beyond 63, cut to 64 bits."""
     bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if bound < 2**53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)

@@ -24,7 +24,8 @@ TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
 LENGTH, STRIDE = 96, 48
 HIDDEN, EMBED = 16, 12
 SAMPLE_DOCS = 400  # documents whose text and base spans train the model
-EPOCHS, BATCH, RATE = 5, 48, 0.012
+STEPS, BATCH, RATE = 380, 48, 0.012
+WINDOWS = 2400  # with written forms put in, at least
 SURE = 0.8  # least mean posterior of a span's tags
 TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 
@@ -189,7 +190,7 @@ def viterbi(scores: np.ndarray, step: np.ndarray) -> np.ndarray:
     return tags
 
 
-def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = EPOCHS, seed: int = 11) -> dict:
+def train(windows: list[tuple[str, list[tuple[str, int, int]]]], steps: int = STEPS, seed: int = 11) -> dict:
     """Fit the model to labelled windows by the CRF's likelihood, with Adam."""
     w = initial(seed)
     if not windows:
@@ -206,9 +207,9 @@ def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
                 y[k, s] = tag
     rng = np.random.default_rng(seed)
     m1, m2, n = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
-    for epoch in range(epochs):
+    while n < steps:
         order = rng.permutation(len(x))
-        for s in range(0, len(x), BATCH):
+        for s in range(0, min(len(x), (steps - n) * BATCH), BATCH):
             xb, yb = x[order[s : s + BATCH]], y[order[s : s + BATCH]].T
             scores, h, tf, tb = emissions(w, xb, keep=True)
             place, pairs, _ = posteriors(scores, w["step"])
@@ -223,7 +224,7 @@ def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
             lstm_back(w, "f", xb.T, tf, dh[:, :, :HIDDEN], grad)
             lstm_back(w, "b", xb.T[::-1], tb, dh[::-1, :, HIDDEN:], grad)
             n += 1
-            rate = RATE * (1 - epoch / epochs)
+            rate = RATE * (1 - (n - 1) / steps)
             for k, g in grad.items():
                 g = np.clip(g / len(xb), -1, 1)
                 m1[k] = 0.9 * m1[k] + 0.1 * g
@@ -258,13 +259,14 @@ def written(rng: np.random.Generator) -> tuple[str, str | None]:
 def labelled(texts: list[str], seed: int = 5) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """Windows with base spans of real texts, and of real text with written forms put in."""
     rng, out = np.random.default_rng(seed), []
+    each = max(6, -(-WINDOWS // max(1, len(texts))))
     for text in texts:
         spans = base_spans(text)
         for m in list(TRIGGER.finditer(text))[:40:8]:
             s = max(0, m.start() - int(rng.integers(10, 70)))
             inside = [(k, max(a, s) - s, min(b, s + LENGTH) - s) for k, a, b in spans if a < s + LENGTH and b > s]
             out.append((text[s : s + LENGTH], inside))
-        for _ in range(6):
+        for _ in range(each):
             s = int(rng.integers(0, max(1, len(text) - LENGTH)))
             around = text[s : s + LENGTH].split(" ")
             at = int(rng.integers(0, len(around) + 1))
@@ -290,14 +292,14 @@ def load(raw: bytes) -> dict:
         return dict(z)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, epochs: int = EPOCHS) -> dict:
+def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> dict:
     """Train in one task on a bounded sample: texts that hold a trigger, chosen by hash."""
     chosen = docs.filter(F.col("text").rlike(TRIGGER.pattern)).select(F.substring("text", 1, 20000).alias("text"))
     chosen = chosen.orderBy(F.xxhash64("text"), "text").limit(sample)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for b in batches for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([save(train(labelled(texts), epochs))], pa.binary())], ["weights"])
+        yield pa.RecordBatch.from_arrays([pa.array([save(train(labelled(texts), steps))], pa.binary())], ["weights"])
 
     row = chosen.coalesce(1).mapInArrow(task, "weights binary").first()
     return load(row["weights"]) if row else initial()

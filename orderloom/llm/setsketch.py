@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import LOWER, mix64, stored, utf8
@@ -374,9 +374,14 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def one_of_each(docs: DataFrame, same: Column | None = None) -> DataFrame:
-    """The documents that `near_duplicates` keeps; columns as given."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents that `near_duplicates` keeps; columns as given. Of rows that repeat id and text one stays."""
     names = docs.columns
-    out = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
+    kept = stored(kept, "kept")
+    pick = lambda ids: docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    several = kept.filter("rows > 1")
+    out = pick(kept)
+    if several.take(1):  # only then do texts travel a second time
+        out = pick(kept.filter("rows = 1")).unionByName(pick(several).dropDuplicates(["doc_id", "text"]))
     return out.select(*[F.col(f"`{c}`") for c in names])

@@ -202,13 +202,23 @@ def content_paths(blocks: list[tuple[Node, str]]) -> set[tuple[str, ...]]:
     return {p for p, f in zip(paths, fused, strict=True) if f >= mean - 0.5 * spread - 1e-9}
 
 
+def whole_markup(html: str) -> str:
+    """A page without the comment or tag that its end cuts off."""
+    start = html.rfind("<!--")
+    if start >= 0 and html.find("-->", start) < 0:
+        html = html[:start]
+    while (start := html.rfind("<")) >= 0 and html.find(">", start) < 0 and re.match(r"[A-Za-z/!?]", html[start + 1 : start + 2]):
+        html = html[:start]
+    return html
+
+
 def extract(html: str | None) -> str:
     """The main text of one page; empty where there is none."""
     if not html:
         return ""
     reader = Reader()
     try:
-        reader.feed(html)
+        reader.feed(whole_markup(html))
         reader.close()
     except (AssertionError, RecursionError):  # the parser gives up on some broken declarations
         pass

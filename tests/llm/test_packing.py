@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from orderloom.llm import packing
+from orderloom.llm.queries import registered
+from tokenizers import Tokenizer
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def round_trip(pieces, rows, tokenizer):
+    """Every id in exactly one piece, sequences without gaps and within the window."""
+    want = sorted((str(i), ids_of(tokenizer, t)) for i, t in rows)
+    documents, sequences = {}, {}
+    for r in pieces:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length > 0
+        documents.setdefault(r.doc_id, []).append((r.start, ids, r.doc_tokens))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    got = []
+    for i, parts in documents.items():
+        parts.sort(key=lambda x: x[0])
+        at, held = 0, []
+        for start, ids, total in parts:
+            if start == 0 and held:
+                got.append((str(i), held))
+                held = []
+            held = held + ids
+            at = len(held)
+            assert at <= total
+        got.append((str(i), held))
+    if len(documents) == len(rows):
+        assert sorted(got) == want
+    assert sum(r.length for r in pieces) == sum(len(x) for _, x in want)
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    return sum(r.length for r in pieces) / max(1, len(sequences)) / packing.WINDOW
+
+
+def test_given_documents(spark, sf_dir, table, tokenizer):
+    rows = [(r.doc_id, r.text) for r in table("documents").collect()]
+    fill = round_trip(packing.pack_documents(table("documents")).collect(), rows, tokenizer)
+    assert fill > 0.95
+    got = registered()["op9_differencing"](spark, sf_dir).collect()
+    texts = dict(rows)
+    for r in got[:200]:
+        ids = np.array(ids_of(tokenizer, texts[r.doc_id])[r.start : r.start + r.length], "<u4")
+        assert r.ids_crc32 == zlib.crc32(ids.tobytes())
+
+
+def test_odd_rows(docs_of, odd_texts, tokenizer):
+    rows = [*odd_texts, (9, "<|endoftext|> x"), (10, "é ́x Å\x1c\x1f\x85 　 Σ ς \U0001f600"), (11, "don't we'll I'D 123abc,,,  ...")]
+    for split in (1, 4):
+        round_trip(packing.pack_documents(docs_of(rows, split)).collect(), rows, tokenizer)
+    assert packing.pack_documents(docs_of(rows).limit(0)).collect() == []
+
+
+def test_a_task_run_again_gives_the_same(table):
+    first, again = (sorted(map(tuple, packing.pack_documents(table("documents")).collect())) for _ in range(2))
+    assert first == again
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=40))
+def test_words_encode_as_texts_do(text):
+    e = packing.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert e.encode([text.encode("utf-8", "ignore")])[0].tolist() == ids_of(e.tokenizer, text.encode("utf-8", "ignore").decode())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 2048), min_size=1, max_size=80))
+def test_windows_hold_everything_once(sizes):
+    sets = packing.pack(sizes)
+    assert sorted(i for s in sets for i in s) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in s) <= 2048 for s in sets)
+
+
+def test_differencing_beats_the_largest_first():
+    """The textbook case: 8 7 6 5 4 in two sets differ by 2 by differencing, by 4 greedily."""
+    sets = packing.difference([8, 7, 6, 5, 4], 2)
+    assert sorted(sum([8, 7, 6, 5, 4][i] for i in s) for s in sets) == [14, 16]
+    sizes = np.random.default_rng(0).integers(50, 513, 400).tolist()
+    sums = [sum(sizes[i] for i in s) for s in packing.difference(sizes, 60)]
+    assert max(sums) - min(sums) < 0.03 * np.mean(sums)

@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import numpy as np
+from orderloom.llm import site_bayes
+from orderloom.llm.queries import registered
+
+
+def test_held_out_accuracy(spark, table):
+    """Fit on the labels of odd ids, judge the others."""
+    docs, labels = table("documents"), table("labels")
+    model = site_bayes.fit(docs, labels.filter("doc_id % 3 > 0"))
+    rows = docs.join(labels.filter("doc_id % 3 = 0"), "doc_id").collect()
+    evidence = np.array([site_bayes.evidence(model, r.text.encode()) for r in rows])
+    p = 1 / (1 + np.exp(-(evidence + model["rate"])))
+    good = np.array([r.quality for r in rows])
+    assert ((p[:, 0] > 0.5) == good).mean() > 0.9
+
+
+def test_given_documents_keep_the_clean(spark, sf_dir, table):
+    got = {r.doc_id: r for r in registered()["op6_site_bayes"](spark, sf_dir).collect()}
+    assert len(got) == table("documents").count()
+    clean = [r.doc_id for r in table("labels").filter("quality = 1 AND toxic = 0").collect()]
+    assert np.mean([got[i].kept for i in clean]) > 0.97
+    bad = [r.doc_id for r in table("labels").filter("quality = 0").collect()]
+    assert np.mean([got[i].kept for i in bad]) < 0.2
+
+
+def test_sparse_sites_shrink_toward_their_host_and_the_corpus(spark):
+    """A path with one document stays near its host, one with many follows its own."""
+    rows = [("h1", "big", 0.0)] * 400 + [("h1", "tiny", 0.0)] + [("h2", "x", 1.0)] * 400 + [("h3", "new", 0.0)]
+    known = spark.createDataFrame([(i, h, p, 0.0, 0.0, g, 0.0) for i, (h, p, g) in enumerate(rows)],
+                                  "doc_id long, host string, path string, good_llr double, toxic_llr double, good double, toxic double")
+    prior = {(r.host, r.path): r.good_prior for r in site_bayes.site_priors(known, {"rate": np.zeros(2)}).collect()}
+    assert prior["h1", "big"] < 0.05 and prior["h2", "x"] > 0.95
+    assert 0 < prior["h1", "big"] < prior["h3", "new"] < prior["h2", "x"]
+    assert prior["h1", "tiny"] < 0.2
+
+
+def test_priors_by_hand(spark):
+    """The shrinkage formula on two hosts, against plain arithmetic."""
+    rows = [("a", "p", 1.0)] * 3 + [("a", "q", 0.0)] + [("b", "p", 0.0)] * 4
+    known = spark.createDataFrame([(i, h, p, 0.0, 0.0, g, 0.0) for i, (h, p, g) in enumerate(rows)],
+                                  "doc_id long, host string, path string, good_llr double, toxic_llr double, good double, toxic double")
+    got = {(r.host, r.path): r.good_prior for r in site_bayes.site_priors(known, {"rate": np.zeros(2)}).collect()}
+    rate, spread, size = 3 / 8, np.var([3 / 4, 0]), 4
+    k = min(1000, max(2, rate * (1 - rate) / max(spread - rate * (1 - rate) / size, 1e-9) - 1))
+    host = {"a": (3 + k * rate) / (4 + k), "b": (0 + k * rate) / (4 + k)}
+    for (h, p), n, y in ((("a", "p"), 3, 3), (("a", "q"), 1, 0), (("b", "p"), 4, 0)):
+        assert abs(got[h, p] - (y + k * host[h]) / (n + k)) < 1e-12
+
+
+def test_odd_rows(spark, docs_of, odd_texts):
+    rows = [*odd_texts, (9, "fine words"), (9, "fine words")]
+    docs = docs_of(rows)
+    labels = spark.createDataFrame([(4, 1, 0), (4, 0, 0), (5, 0, 1), (None, 1, 1), (8, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    got = site_bayes.judge(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.good_posterior <= 1 for r in got)
+    kept = site_bayes.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert site_bayes.judge(docs.limit(0), labels).collect() == []
+    assert site_bayes.keep_good(docs.limit(0), labels).collect() == []
+
+
+def test_without_labels_everything_stays(docs_of, odd_texts, table):
+    docs = docs_of(odd_texts)
+    assert all(r.kept for r in site_bayes.judge(docs, table("labels").limit(0)).collect())
+    assert site_bayes.keep_good(docs, table("labels").limit(0)).count() == len(odd_texts)
+
+
+def test_stage_keeps_what_the_query_keeps(spark, sf_dir, table):
+    query = {r.doc_id for r in registered()["op6_site_bayes"](spark, sf_dir).filter("kept").collect()}
+    assert {r.doc_id for r in site_bayes.keep_good(table("documents"), table("labels")).collect()} == query

@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+from orderloom.llm import slots
+from orderloom.llm.queries import registered
+
+
+def law_holds(got, rows, shards=8, slack=0.01):
+    assert len(got) == len(rows)
+    want = sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in got), key=str) == want
+    places = {}
+    for r in got:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+        places.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    total = np.zeros(shards)
+    for r in got:
+        total[r.shard] += r["size"]
+    assert total.max() - total.min() <= max(slack * total.mean(), max(r["size"] for r in got))
+    return total
+
+
+def test_given_documents(spark, sf_dir, table):
+    rows = [(r.doc_id, r.text) for r in table("documents").collect()]
+    total = law_holds(registered()["op4_slots"](spark, sf_dir).collect(), rows)
+    assert total.max() - total.min() <= 0.02 * total.mean()
+
+
+def test_odd_rows(docs_of, odd_texts):
+    rows = [*odd_texts, (9, "x"), (9, "x"), (9, "x")]
+    law_holds(slots.shard(docs_of(rows)).collect(), rows)
+    assert slots.shard(docs_of(rows).limit(0)).collect() == []
+
+
+def test_equal_texts_spread(docs_of):
+    rows = [(i, "the same copy") for i in range(4000)]
+    law_holds(slots.shard(docs_of(rows)).collect(), rows, slack=0.02)
+
+
+def test_rebalancing_edits_the_map(spark):
+    """A new version moves few slots, leaves old versions as they are, and evens out the bytes."""
+    rng = np.random.default_rng(0)
+    size = rng.integers(500, 1500, 512)
+    sizes = lambda s: spark.createDataFrame([(i, int(x)) for i, x in enumerate(s)], "virtual_slot int, bytes long")
+    one = slots.slot_map(sizes(size), 8, 512)
+    grown = size.copy()
+    grown[:40] *= 3
+    two = slots.slot_map(sizes(grown), 8, 512, one)
+    rows = {(r.version, r.virtual_slot): r.shard for r in two.collect()}
+    assert {v for v, _ in rows} == {1, 2, 3}
+    assert {(r.version, r.virtual_slot): r.shard for r in one.collect()}.items() <= rows.items()
+    last, before = (np.array([rows[v, s] for s in range(512)]) for v in (3, 2))
+    assert (last != before).sum() < 120
+    total = np.bincount(last, grown, 8)
+    assert total.max() - total.min() <= 1e-3 * total.mean()
+
+
+def test_even_handles_slots_heavier_than_a_shard():
+    size = np.array([1000.0] + [1.0] * 20)
+    got = slots.even(np.arange(21) % 4, size, 4)
+    total = np.bincount(got, size, 4)
+    assert total.max() == 1000 and total.min() >= 6
+    assert list(slots.even(np.zeros(0, int), np.zeros(0), 4)) == []
