@@ -16,19 +16,22 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.common import binaries, slices, utf8
+from orderloom.llm.common import binaries, slices
 
 WINDOW = 2048
 PIECE = 512  # rests are cut to this, so that windows come out near equal
 GROUP = 64  # windows that one group fills
 END = 1
-WORDS_KEPT = 400_000  # cached encodings of a worker; beyond, it starts anew
-BATCH_BYTES = 8 << 20
+PARTS_KEPT = 600_000  # encodings that a worker keeps; beyond, it starts anew
+JOINED = 2000  # words that are encoded as one text
+BATCH_BYTES = 12 << 20
+_SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # ASCII, without the apostrophe of contractions
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -39,45 +42,89 @@ class Encoder:
     """Token ids of texts, a word at a time.
 
     The tokenizer normalises and splits within white space only, so the ids of a text
-    are those of its words one after the other; each word is encoded once per worker.
+    are those of its words one after the other. Signs that follow an ASCII letter are a
+    token group of their own, so a word with signs at its end is two parts, and ASCII
+    parts are the same in either case. Each part is encoded once per worker.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.clear()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.parts = Table()
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, parts: list[str]) -> None:
+        """Words of letters only are one group each: many go in one text and part at the ends."""
+        new = list(set(parts).difference(self.parts.place))
+        plain = [k for k, t in enumerate(new) if t.isalpha()]
+        order, sizes, flat = [], [], []
+        for s in range(0, len(plain), JOINED):
+            some = plain[s : s + JOINED]
+            ids = np.array(self.ids([" ".join([new[k] for k in some])])[0], np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                order += some
+                sizes.append(np.diff(ends, prepend=0))
+                flat.append(ids)
+        rest = sorted(set(range(len(new))).difference(order))
+        found = self.ids([new[k] for k in rest])
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
+        self.parts.add([new[k] for k in order + rest], np.concatenate(sizes), np.concatenate(flat))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text and the end id; null is the empty text."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        cores = pc.ascii_rtrim(words, characters=_SIGNS)
+        cores = pc.if_else(pc.match_substring_regex(cores, "[A-Za-z]$"), cores, words)
+        cut = pc.not_equal(pc.binary_length(words), pc.binary_length(cores)).to_numpy(zero_copy_only=False)
+        tails = [w[len(c) :] for w, c in zip(words.filter(cut).to_pylist(), cores.filter(cut).to_pylist(), strict=True)]
+        cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores).dictionary_encode()
+        names = cores.dictionary.to_pylist()
+        if len(self.parts.place) > PARTS_KEPT:
+            self.parts = Table()
+        self.learn([*names, *tails, ""])
+        place = self.parts.place
+        at = np.full((len(words), 2), place[""], np.int64)
+        at[:, 0] = np.fromiter(map(place.__getitem__, names), np.int64, len(names))[cores.indices.to_numpy()]
+        at[cut, 1] = np.fromiter(map(place.__getitem__, tails), np.int64, len(tails))
+        sizes, flat = self.parts.gather(at.ravel())
+        whole = Table()
+        whole.add([], sizes.reshape(-1, 2).sum(1), flat)
+        sizes, flat = whole.gather(coded.indices.to_numpy())
+        counts = np.asarray(pc.list_value_length(split))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        end = np.array([END], np.uint32)
+        return [np.concatenate([flat[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+class Table:
+    """Strings and their ids, end to end."""
 
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def learn(self, words: list[bytes]) -> None:
-        new = list(set(words).difference(self.place))
-        if not new:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+        self.flat = np.zeros(0, np.uint32)
+
+    def add(self, new: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
         base = len(self.place)
         self.place.update(zip(new, range(base, base + len(new)), strict=True))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))])
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text and the end id."""
-        if len(self.place) > WORDS_KEPT:
-            self.clear()
-        split = [t.split() for t in texts]
-        words = [w for ws in split for w in ws]
-        self.learn(words)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        size = self.size[at]
-        ends = np.cumsum(size)
-        flat = self.ids[np.repeat(self.first[at] - (ends - size), size) + np.arange(int(size.sum()))]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
-        end = np.array([END], np.uint32)
-        return [np.concatenate([flat[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of several entries, and their ids one after the other."""
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        return sizes, self.flat[np.repeat(self.first[at] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -91,25 +138,35 @@ def encoder(path: str) -> Encoder:
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Positions of `sizes` in `windows` sets of near-equal sum, by differencing."""
-    if windows == 1:
-        return [list(range(len(sizes)))]
+    n = len(sizes)
+    sums: list[np.ndarray] = []
     heap = []
     for i, size in enumerate(sizes):
-        sums = np.zeros(windows, np.int64)
-        sums[0] = size
-        heap.append((-size, i, sums, [[i]] + [[] for _ in range(windows - 1)]))
+        first = np.zeros(windows, np.int64)
+        first[0] = size
+        sums.append(first)
+        heap.append((-size if windows > 1 else 0, i))
     heapq.heapify(heap)
-    count = len(sizes)
+    merges = []
     while len(heap) > 1:
-        _, _, a, held_a = heapq.heappop(heap)
-        _, _, b, held_b = heapq.heappop(heap)
-        sums = a + b[::-1]  # both fall, so the fullest meets the emptiest
-        held = [x + y for x, y in zip(held_a, reversed(held_b), strict=True)]
-        order = np.argsort(-sums, kind="stable")
-        sums = sums[order]
-        count += 1
-        heapq.heappush(heap, (-int(sums[0] - sums[-1]), count, sums, [held[k] for k in order]))
-    return heap[0][3]
+        (_, a), (_, b) = heapq.heappop(heap), heapq.heappop(heap)
+        both = sums[a] + sums[b][::-1]  # both fall, so the fullest meets the emptiest
+        order = np.argsort(-both, kind="stable")
+        sums[a] = sums[b] = both[:0]
+        sums.append(both[order])
+        merges.append((a, b, order))
+        heapq.heappush(heap, (int(sums[-1][-1] - sums[-1][0]), n + len(merges) - 1))
+    # from the last merge down: which window of the whole each window of a part became
+    window = [np.arange(windows)] * (n + len(merges))
+    for k in range(len(merges) - 1, -1, -1):
+        a, b, order = merges[k]
+        own = np.empty(windows, np.int64)
+        own[order] = window[n + k]
+        window[a], window[b] = own, own[::-1]
+    out: list[list[int]] = [[] for _ in range(windows)]
+    for i in range(n):
+        out[window[i][0]].append(i)
+    return out
 
 
 def pack(sizes: list[int], capacity: int = WINDOW) -> list[list[int]]:
@@ -157,7 +214,7 @@ def packer(path: str, capacity: int, piece: int, group: int):
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 done = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(utf8(part.column("text"))), strict=True):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text")), strict=True):
                     whole = len(ids) // capacity * capacity
                     done += [(doc_id, s, ids[s : s + capacity], len(ids)) for s in range(0, whole, capacity)]
                     for s in range(whole, len(ids), piece):

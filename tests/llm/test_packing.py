@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,7 +84,9 @@ def test_a_task_run_again_gives_the_same(table):
 @given(st.text(max_size=40))
 def test_words_encode_as_texts_do(text):
     e = packing.encoder(public_tokenizers.path("word_bpe_49k.json"))
-    assert e.encode([text.encode("utf-8", "ignore")])[0].tolist() == ids_of(e.tokenizer, text.encode("utf-8", "ignore").decode())
+    text = text.encode("utf-8", "ignore").decode()
+    assert e.encode(pa.array([text, "x" + text + "y", text + ","]))[1].tolist() == ids_of(e.tokenizer, "x" + text + "y")
+    assert e.encode(pa.array([text]))[0].tolist() == ids_of(e.tokenizer, text)
 
 
 @settings(max_examples=100, deadline=None)
