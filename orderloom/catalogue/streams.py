@@ -1,8 +1,10 @@
 """Streaming queries, run to the end of the given tables.
 
 Every stream reads files and writes files in the shared folder; what comes back
-is a batch frame over the written result. Windowed results hold the windows the
-watermark has closed, as the append mode defines.
+is a batch frame over the written result. Windows without a watermark are updated
+batch by batch and lose no row. Windows with one come out when the watermark has
+closed them, as the append mode defines: the newest, and rows later than the
+patience allows, are held back.
 """
 
 from __future__ import annotations
@@ -14,38 +16,47 @@ from pyspark.sql import functions as F
 from orderloom.catalogue import fixture
 from orderloom.catalogue.fixture import BRONZE_SQL, EVENTS_CTE
 from orderloom.catalogue.registry import doubles, query, table
-from orderloom.functions.payload import as_message, unpack
+from orderloom.functions.payload import unpack
 from orderloom.functions.times import MICROS
 from orderloom.operators.quality import repeated_ids
 from orderloom.session import work_area
 from orderloom.sources.messages import EVENT_MESSAGE, MESSAGE_FIELDS, folder_stream, value_text
 from orderloom.sources.synthetic import click_events
 from orderloom.streaming import bronze, windows
-from orderloom.streaming.runs import append_to_files, append_to_table, finish, table_stream
+from orderloom.streaming.runs import append_to_files, append_to_table, finish, last_values, table_stream, update_files
+from orderloom.tables.ddl import by_hour
 
 
-def _topic(spark, events, key, columns, moment) -> str:
+# A topic's folder is read in batches of so many files, so no batch takes all of a long log.
+FILES_PER_BATCH = 256
+
+
+def _topic(spark, events, key, columns, moment, folder=None) -> str:
     """A folder holding the rows as messages: binary key and value, timestamp."""
-    area = work_area(spark, "topic")
-    sent_at = F.to_timestamp(F.get_json_object("value", f"$.{moment}"))
-    as_message(events, F.col(key), columns).select(
-        F.col("key").cast("binary").alias("key"),
-        F.col("value").cast("binary").alias("value"),
+    area = folder or work_area(spark, "topic")
+    sent_at = F.to_timestamp(F.col(moment))
+    value = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    events.select(
+        F.col(key).cast("string").cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
         sent_at.alias("timestamp"),
-    ).write.parquet(area)
+    ).write.mode("append").parquet(area)
     return area
 
 
 def _order_topic(spark, sf_dir):
     log = fixture.event_log(spark, sf_dir)
-    return folder_stream(spark, _topic(spark, log, "order_id", EVENT_MESSAGE, "ts"))
+    return folder_stream(spark, _topic(spark, log, "order_id", EVENT_MESSAGE, "ts"), files_per_batch=FILES_PER_BATCH)
+
+
+def given_stream(spark, sf_dir, name):
+    """A given table as a stream, whether it is one file or a folder of them."""
+    return folder_stream(spark, f"{sf_dir}/{name}.parquet", table(spark, sf_dir, name).schema, FILES_PER_BATCH)
 
 
 def _given_events(spark, sf_dir):
     """The `events` table as a stream, its time with zone as watermarks need it."""
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    return given_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _written(spark, stream, purpose):
@@ -55,6 +66,13 @@ def _written(spark, stream, purpose):
     return spark.read.schema(stream.schema).parquet(f"{area}/rows")
 
 
+def _updated(spark, stream, keys, purpose):
+    """Run an aggregating stream to its end in update mode; the last value of every key."""
+    area = work_area(spark, purpose)
+    finish(update_files(stream, f"{area}/rows", f"{area}/checkpoint"))
+    return last_values(spark, f"{area}/rows", stream.schema, keys)
+
+
 def _schema(spark) -> str:
     """A schema of its own, stored in the shared folder."""
     name = f"loom_{uuid.uuid4().hex[:12]}"
@@ -83,7 +101,7 @@ def stream_created_orders(spark, sf_dir):
 
 
 @query(
-    "S9",
+    "T1",
     f"{BRONZE_SQL} SELECT event_type, count(*) AS events FROM bronze GROUP BY event_type",
 )
 def message_batch(spark, sf_dir):
@@ -94,20 +112,24 @@ def message_batch(spark, sf_dir):
     return bronze.order_events(messages).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
-def closed_windows(size: str, late: str, key: str, measures: str, source: str = "events") -> str:
-    """SQL for the windows that end before the newest event less the patience."""
+def windows_sql(size: str, key: str, measures: str, source: str = "events", closed: str = "") -> str:
+    """SQL for tumbling windows; `closed` leaves those that end within it of the newest event."""
+    where = f"""WHERE window_start + INTERVAL '{size}'
+              <= (SELECT date_trunc('milliseconds', max(ts)) FROM {source}) - INTERVAL '{closed}'""" if closed else ""
     return f"""
         SELECT window_start, window_start + INTERVAL '{size}' AS window_end, {key}, {measures}
         FROM (SELECT *, time_bucket(INTERVAL '{size}', ts) AS window_start FROM {source})
-        WHERE window_start + INTERVAL '{size}'
-              <= (SELECT date_trunc('milliseconds', max(ts)) FROM {source}) - INTERVAL '{late}'
+        {where}
         GROUP BY window_start, {key}"""
 
 
+WINDOW = ["window_start", "window_end"]
+
+
 @query(
     "T3 S12",
-    closed_windows(
-        "10 seconds", "0 seconds", "event_type",
+    windows_sql(
+        "10 seconds", "event_type",
         "count(*) AS count, CAST(sum(event_id * 10) AS BIGINT) AS total_value",
         "(SELECT ts, event_id, CASE WHEN event_id % 2 = 0 THEN 'click' ELSE 'view' END AS event_type FROM events)",
     ),
@@ -115,7 +137,7 @@ def closed_windows(size: str, late: str, key: str, measures: str, source: str =
 def stream_type_totals(spark, sf_dir):
     """Synthetic clicks counted every ten seconds."""
     ticks = _given_events(spark, sf_dir).selectExpr("ts AS timestamp", "event_id AS value")
-    return _written(spark, windows.type_totals(click_events(ticks), late="0 seconds"), "stream-types")
+    return _updated(spark, windows.type_totals(click_events(ticks)), [*WINDOW, "event_type"], "stream-types")
 
 
 PRODUCTS_SQL = "(SELECT *, 'P' || CAST(user_id % 20 AS VARCHAR) AS product FROM events)"
@@ -123,8 +145,8 @@ PRODUCTS_SQL = "(SELECT *, 'P' || CAST(user_id % 20 AS VARCHAR) AS product FROM
 
 @query(
     "T4 F2 P3",
-    closed_windows(
-        "30 seconds", "0 seconds", "product",
+    windows_sql(
+        "30 seconds", "product",
         "count(*) AS event_count, round(sum(value * (event_id % 5 + 1)), 2) AS total_revenue", PRODUCTS_SQL,
     ),
 )
@@ -140,24 +162,26 @@ def stream_product_revenue(spark, sf_dir):
         (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
     )
     folder = _topic(spark, clicks, "user_id", clicks.columns, "timestamp")
-    parsed = bronze.clicks(folder_stream(spark, folder))
-    counted = _written(spark, windows.product_revenue(parsed, late="0 seconds"), "stream-products")
+    parsed = bronze.clicks(folder_stream(spark, folder, files_per_batch=FILES_PER_BATCH))
+    counted = _updated(spark, windows.product_revenue(parsed), [*WINDOW, "product"], "stream-products")
     return counted.withColumn("total_revenue", F.round("total_revenue", 2))
 
 
-@query("T5", closed_windows("5 minutes", "10 minutes", "event_type", "count(*) AS count"))
+@query("T5", windows_sql("5 minutes", "event_type", "count(*) AS count", closed="10 minutes"))
 def stream_type_counts(spark, sf_dir):
+    """The windows that end ten minutes or more before the newest event."""
     return _written(spark, windows.type_counts(_given_events(spark, sf_dir)), "stream-counts")
 
 
 @query(
     "T6",
-    closed_windows(
-        "10 minutes", "1 hour", "category", "count(*) AS count",
-        "(SELECT ts, 'C' || CAST(user_id % 7 AS VARCHAR) AS category FROM events)",
+    windows_sql(
+        "10 minutes", "category", "count(*) AS count",
+        "(SELECT ts, 'C' || CAST(user_id % 7 AS VARCHAR) AS category FROM events)", closed="1 hour",
     ),
 )
 def stream_category_counts(spark, sf_dir):
+    """The windows that end an hour or more before the newest event."""
     events = _given_events(spark, sf_dir).select(
         F.col("ts").alias("event_time"),
         F.concat(F.lit("C"), (F.col("user_id") % 7).cast("string")).alias("category"),
@@ -166,25 +190,47 @@ def stream_category_counts(spark, sf_dir):
 
 
 @query(
-    "T7 T8 T9 T10 K9 D6",
-    "SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS ids, true AS exactly_once FROM orders",
+    "T8 T9 T10 K9",
+    "SELECT count(*) AS rows, count(DISTINCT event_id) AS ids, count(*) = count(DISTINCT event_id) AS exactly_once FROM events",
 )
 def stream_exactly_once(spark, sf_dir):
-    """Sales appended to a table by hour, in two runs on one checkpoint."""
-    placed = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("event_id"),
+    """Sales appended to a table, half of the files at first, all in a second run on one checkpoint."""
+    target, _ = _sales_table(spark, sf_dir)
+    return repeated_ids(spark.table(target), "event_id")
+
+
+@query(
+    "T7 D15",
+    "SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, count(*) AS rows, round(sum(value), 2) AS total FROM events GROUP BY 1",
+)
+def stream_hourly(spark, sf_dir):
+    """The same table by its hourly partitions."""
+    target, _ = _sales_table(spark, sf_dir)
+    by_hour = spark.table(target).groupBy("hour")
+    return by_hour.agg(F.count("*").alias("rows"), F.round(F.sum("total"), 2).alias("total"))
+
+
+def _sales_table(spark, sf_dir):
+    """A stream of sales into a table partitioned by hour, in two runs; the second gets new rows."""
+    placed = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
         F.lit("order_placed").alias("event_type"),
-        F.date_format("o_orderdate", MICROS).alias("timestamp"),
-        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
-        F.col("o_totalprice").alias("total"),
+        F.date_format("ts", MICROS).alias("timestamp"),
+        F.concat(F.lit("O"), F.col("event_id").cast("string")).alias("order_id"),
+        F.col("value").alias("total"),
     )
-    folder = _topic(spark, placed, "order_id", placed.columns, "timestamp")
-    hour = F.date_format("event_timestamp", "HH")
-    sales = bronze.sales(folder_stream(spark, folder)).withColumn("event_hour", hour)
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    folder = _topic(spark, placed.where(half), "order_id", placed.columns, "timestamp")
     target, checkpoint = f"{_schema(spark)}.sales", work_area(spark, "checkpoint")
-    for _ in range(2):
-        finish(append_to_table(sales, target, checkpoint, partition_by=["event_hour"]))
-    return repeated_ids(spark.table(target), "event_id")
+
+    def run():
+        sales = bronze.sales(folder_stream(spark, folder, files_per_batch=FILES_PER_BATCH))
+        sales = sales.withColumns(by_hour("event_timestamp")).repartition("hour")
+        return finish(append_to_table(sales, target, checkpoint, partition_by=["hour"]))
+
+    first = run()
+    _topic(spark, placed.where(~half), "order_id", placed.columns, "timestamp", folder)
+    return target, (first, run())
 
 
 @query(
@@ -215,7 +261,7 @@ def stream_to_parquet(spark, sf_dir):
 
 
 @query(
-    "A16 K9 S9",
+    "A16 K9",
     """SELECT event_type, count(*) AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) / 100.0::DOUBLE AS total
        FROM events WHERE event_type = 'purchase' GROUP BY event_type""",
 )

@@ -7,18 +7,20 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.catalogue.registry import doubles, mean_of_cents, money, query, sum_of_cents, table
 from orderloom.operators.joins import lookup
 from orderloom.operators.quality import reconcile
-from orderloom.operators.rows import add_columns
+from orderloom.operators import changes
+from orderloom.operators.changes import change
+from orderloom.operators.rows import add_columns, drop_where, set_where
 from orderloom.plans import layers_sql
 from orderloom.session import work_area
-from orderloom.sources.files import spread
 from orderloom.tables import ddl, maintenance
-from orderloom.tables.versions import VersionedTable
 
 DAYS = [datetime(2024, 3, d) for d in range(1, 13)]
 
@@ -29,10 +31,6 @@ def _schema(spark) -> str:
     return name
 
 
-def _versioned(spark) -> VersionedTable:
-    return VersionedTable(spark, work_area(spark, "versions"))
-
-
 COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 EARLY = "(o_orderdate < TIMESTAMP '1998-05-01')"
 
@@ -46,7 +44,7 @@ def _orders(spark, sf_dir):
 
 def _sale_rows(spark, sf_dir):
     """Order lines as sale events."""
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total"),
     )
@@ -67,14 +65,13 @@ def _sale_rows(spark, sf_dir):
     )
 
 
-def _sale_layers(spark, sf_dir):
-    """Bronze, silver and gold tables of the order lines."""
+def _sale_layers(spark, sf_dir, gold: bool = True):
+    """Bronze, silver and, where asked for, gold tables of the order lines."""
     schema = _schema(spark)
     names = [f"{schema}.{layer}" for layer in ("bronze_sales", "silver_sales", "gold_customers")]
     ddl.replace(_sale_rows(spark, sf_dir), names[0])
-    silver = layers_sql.silver_sales(spark, names[0], names[1])
-    gold = layers_sql.gold_customers(spark, names[1], names[2])
-    return spark.table(names[0]), silver, gold
+    layers = [spark.table(names[0]), layers_sql.silver_sales(spark, names[0], names[1])]
+    return [*layers, layers_sql.gold_customers(spark, names[1], names[2])] if gold else layers
 
 
 SALES_SQL = """WITH sales AS (
@@ -88,7 +85,7 @@ SALES_SQL = """WITH sales AS (
           count(*) AS lines, count(DISTINCT l_orderkey) AS orders FROM sales GROUP BY 1, 2""",
 )
 def silver_sales(spark, sf_dir):
-    _, silver, _ = _sale_layers(spark, sf_dir)
+    _, silver = _sale_layers(spark, sf_dir, gold=False)
     return silver.groupBy("order_date", "order_hour").agg(
         F.count("processed_at").alias("lines"), F.countDistinct("order_id").alias("orders")
     )
@@ -119,7 +116,7 @@ def sales_reconciliation(spark, sf_dir):
 
 
 @query(
-    "A12 K4 D5",
+    "A12 K4",
     f"""SELECT o_custkey AS customer_id, count(*) AS total_orders, {sum_of_cents("o_totalprice")} AS total_spent,
           {mean_of_cents("o_totalprice")} AS avg_order_value, min(CAST(o_orderdate AS DATE)) AS first_order,
           max(CAST(o_orderdate AS DATE)) AS last_order FROM orders GROUP BY o_custkey""",
@@ -137,7 +134,7 @@ def customer_summary(spark, sf_dir):
 
 
 @query(
-    "K5 K6 A15 F13 D3",
+    "K6 A15 D3",
     f"""SELECT count(*) AS total_orders, {sum_of_cents("value")} AS total_amount
         FROM events WHERE event_type = 'purchase'""",
 )
@@ -181,7 +178,7 @@ def appended_and_copied(spark, sf_dir):
 
 
 @query(
-    "D1 D2 D3 D7",
+    "D2 D3",
     """SELECT 'orders' AS table_name, count(*) AS rows, false AS missing FROM orders
        UNION ALL SELECT 'customer', count(*), false FROM customer
        UNION ALL SELECT 'returns', 0, true""",
@@ -201,6 +198,39 @@ def table_inventory(spark, sf_dir):
     return present[0].unionByName(present[1]).unionByName(gone)
 
 
+@query(
+    "K5 D7 D3",
+    """SELECT * FROM (VALUES ('r_name', 'string', 'MANAGED'), ('r_regionkey', 'bigint', 'MANAGED')) AS c(col_name, data_type, table_type),
+       (SELECT count(*) + 1 AS rows, CAST(max(r_regionkey) + 1 AS BIGINT) AS newest FROM region)""",
+)
+def described_table(spark, sf_dir):
+    """A table of the regions, one more added by value, described, counted, dropped."""
+    name = f"{_schema(spark)}.regions"
+    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    ddl.create_table(spark, name, "r_regionkey bigint, r_name string")
+    ddl.append(regions, name)
+    last = regions.agg(F.max("r_regionkey")).first()[0]
+    ddl.insert_values(spark, name, f"({last + 1}, 'ELSEWHERE')")
+    facts = ddl.describe(spark, name).select("col_name", "data_type").withColumn("table_type", F.lit(ddl.table_type(spark, name)))
+    counted = spark.table(name).agg(F.count("*").alias("rows"), F.max("r_regionkey").alias("newest")).first()
+    ddl.drop_table(spark, name)
+    return facts.withColumns({c: F.lit(counted[c]).cast("bigint") for c in ("rows", "newest")})
+
+
+@query("D1 D2", "SELECT count(*) AS rows, true AS listed, true AS gone FROM nation")
+def schema_life(spark, sf_dir):
+    """A schema is made, listed, filled and dropped with what it holds."""
+    name = _schema(spark)
+    ddl.replace(table(spark, sf_dir, "nation"), f"{name}.nation")
+    rows = spark.table(f"{name}.nation").count()
+    listed = ddl.schemas(spark).where(F.col("namespace") == name).count() == 1 and ddl.tables(spark, name).count() == 1
+    ddl.drop_schema(spark, name)
+    left = ddl.schemas(spark).where(F.col("namespace") == name)
+    return left.agg((F.count("*") == 0).alias("gone")).select(
+        F.lit(rows).cast("bigint").alias("rows"), F.lit(listed).alias("listed"), "gone"
+    )
+
+
 @query(
     "S16",
     "SELECT count(*) AS table_rows, count(*) AS file_rows, true AS matches FROM lineitem",
@@ -246,7 +276,14 @@ def partitions_by_hour(spark, sf_dir):
     return maintenance.partition_statistics(spark.table(name), "hour")
 
 
-# --- row-level changes and versions ---------------------------------------------
+# --- row-level changes and their log --------------------------------------------
+
+
+def _stored(spark, df, purpose):
+    """A frame written to a folder of its own and read again."""
+    folder = work_area(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
 
 
 UPDATED_SQL = """SELECT * REPLACE (
@@ -256,26 +293,21 @@ UPDATED_SQL = """SELECT * REPLACE (
 
 @query("D9", UPDATED_SQL)
 def update_where(spark, sf_dir):
-    orders = _versioned(spark)
-    orders.overwrite(_orders(spark, sf_dir))
-    orders.update(
-        {"o_orderpriority": F.lit("1-URGENT")}, F.expr("o_orderstatus = 'O' AND o_totalprice > 200000")
-    )
-    return orders.current()
+    urgent = F.expr("o_orderstatus = 'O' AND o_totalprice > 200000")
+    changed = set_where(_orders(spark, sf_dir), {"o_orderpriority": F.lit("1-URGENT")}, urgent)
+    return _stored(spark, changed, "updated")
 
 
 @query(
-    "D8 D9 P16",
+    "D9 P16",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'pending' END AS status FROM orders""",
 )
 def update_after_evolution(spark, sf_dir):
     """A status column is added, filled for some rows, then for those still NULL."""
-    orders = _versioned(spark)
-    orders.overwrite(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
-    orders.overwrite(add_columns(orders.current(), status="string"))
-    orders.update({"status": F.lit("completed")}, F.col("o_orderstatus").isin("F"))
-    orders.update({"status": F.lit("pending")}, F.col("status").isNull())
-    return orders.current().drop("o_orderstatus")
+    orders = add_columns(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), status="string")
+    orders = set_where(orders, {"status": F.lit("completed")}, F.col("o_orderstatus").isin("F"))
+    orders = set_where(orders, {"status": F.lit("pending")}, F.col("status").isNull())
+    return _stored(spark, orders.drop("o_orderstatus"), "evolved")
 
 
 MARKED = "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus END AS o_orderstatus"
@@ -288,45 +320,65 @@ MARKED = "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus END AS o_order
 )
 def delete_where(spark, sf_dir):
     """Rows whose status is unknown are kept."""
-    orders = _versioned(spark)
-    orders.overwrite(table(spark, sf_dir, "orders").selectExpr("o_orderkey", MARKED))
-    orders.delete(F.col("o_orderstatus") == "F")
-    return orders.current()
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", MARKED)
+    return _stored(spark, drop_where(orders, F.col("o_orderstatus") == "F"), "deleted")
 
 
-def _three_commits(spark, sf_dir) -> VersionedTable:
-    """The early orders, the later ones appended, the open ones deleted."""
-    orders = _versioned(spark)
+def _three_versions(spark, sf_dir):
+    """The early orders, the later ones added, the open ones deleted."""
     placed = table(spark, sf_dir, "orders")
-    orders.overwrite(placed.where(EARLY).select(*COLUMNS), at=DAYS[0])
-    orders.append(placed.where(f"NOT {EARLY}").select(*COLUMNS), at=DAYS[1])
-    orders.delete(F.col("o_orderstatus") == "O", at=DAYS[2])
-    return orders
+    log = [
+        change(placed.where(EARLY).select(*COLUMNS), 1, "insert", DAYS[0]),
+        change(placed.where(f"NOT {EARLY}").select(*COLUMNS), 2, "insert", DAYS[1]),
+        change(placed.where("o_orderstatus = 'O'").select(*COLUMNS), 3, "delete", DAYS[2]),
+    ]
+    return _stored(spark, reduce(DataFrame.unionByName, log), "changes")
 
 
 FIVE = f"SELECT {', '.join(COLUMNS)} FROM orders"
+KEY = ["o_orderkey"]
 
 
 @query("D11", f"{FIVE} WHERE {EARLY}")
 def as_of_version(spark, sf_dir):
-    return _three_commits(spark, sf_dir).as_of_version(1)
+    return changes.as_of_version(_three_versions(spark, sf_dir), KEY, 1)
 
 
-@query("D12 K2", FIVE)
+@query("D12", FIVE)
 def as_of_time(spark, sf_dir):
-    """Between the append and the delete."""
-    return _three_commits(spark, sf_dir).as_of_time(datetime(2024, 3, 2, 12))
+    """Between the later orders and the deletion."""
+    return changes.as_of_time(_three_versions(spark, sf_dir), KEY, datetime(2024, 3, 2, 12))
 
 
 @query(
     "D13",
-    f"""SELECT 1 AS version, 1 AS base, 'overwrite' AS operation, TIMESTAMP '2024-03-01' AS committed_at,
-         count(*) AS rows_written FROM orders WHERE {EARLY}
-       UNION ALL SELECT 2, 1, 'append', TIMESTAMP '2024-03-02', count(*) FROM orders WHERE NOT {EARLY}
-       UNION ALL SELECT 3, 3, 'delete', TIMESTAMP '2024-03-03', count(*) FROM orders WHERE o_orderstatus <> 'O'""",
+    f"""SELECT 1 AS version, 'insert' AS operation, TIMESTAMP '2024-03-01' AS committed_at,
+         count(*) AS rows_changed FROM orders WHERE {EARLY}
+       UNION ALL SELECT 2, 'insert', TIMESTAMP '2024-03-02', count(*) FROM orders WHERE NOT {EARLY}
+       UNION ALL SELECT 3, 'delete', TIMESTAMP '2024-03-03', count(*) FROM orders WHERE o_orderstatus = 'O'""",
 )
 def version_history(spark, sf_dir):
-    return _three_commits(spark, sf_dir).history()
+    return changes.history(_three_versions(spark, sf_dir))
+
+
+@query(
+    "D18",
+    f"""SELECT o_orderstatus, count(*) AS rows, count(*) FILTER (NOT {EARLY}) AS rows_of_later_versions
+        FROM orders WHERE {EARLY} OR o_orderstatus <> 'P' GROUP BY o_orderstatus""",
+)
+def expiry(spark, sf_dir):
+    """The log squashed to its second version, which a later one builds on."""
+    placed = table(spark, sf_dir, "orders").select(*COLUMNS, F.expr(EARLY).alias("early"))
+    log = [
+        change(placed.where("o_orderstatus <> 'P'"), 1, "insert", DAYS[0]),
+        change(placed.where("NOT early"), 2, "delete", DAYS[1]),
+        change(placed.where("NOT early AND o_orderstatus <> 'P' OR early AND o_orderstatus = 'P'"), 3, "insert", DAYS[2]),
+    ]
+    squashed = _stored(spark, changes.squash(reduce(DataFrame.unionByName, log), KEY, 2), "squashed")
+    later = squashed.where("version > 2").groupBy("o_orderstatus").agg(F.count_if(~F.col("early")).alias("rows_of_later_versions"))
+    now = changes.state(squashed, KEY).groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+    counted = now.join(later, "o_orderstatus", "left")
+    return counted.select("o_orderstatus", "rows", F.coalesce("rows_of_later_versions", F.lit(0)).alias("rows_of_later_versions"))
 
 
 @query(
@@ -347,73 +399,56 @@ def schema_evolution(spark, sf_dir):
 # --- statistics and maintenance ---------------------------------------------------
 
 
-@query("D14", "SELECT 12::BIGINT AS files, count(*) AS rows, true AS sized FROM lineitem")
-def file_statistics(spark, sf_dir):
+def _small_files(spark, df, *partition_by: str) -> str:
+    """A folder in which the rows lie in more and smaller files than they need."""
     folder = work_area(spark, "files")
-    table(spark, sf_dir, "lineitem").repartition(12).write.parquet(folder)
-    files = maintenance.file_statistics(spark.read.parquet(folder))
+    writer = df.write.option("maxRecordsPerFile", 5000)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    return folder
+
+
+@query("D14", "SELECT count(*) AS rows, count(*) AS rows_by_file, true AS sized FROM lineitem")
+def file_statistics(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    files = maintenance.file_statistics(lines)
     return files.agg(
-        F.count("*").alias("files"), F.sum("rows").alias("rows"), (F.min("bytes") > 0).alias("sized")
+        lines.agg(F.count("*")).scalar().alias("rows"),
+        F.sum("rows").alias("rows_by_file"),
+        (F.min("bytes") > 0).alias("sized"),
     )
 
 
-@query("D16", "SELECT 12::BIGINT AS files_before, true AS fewer, count(*) AS rows FROM lineitem")
+@query("D16", "SELECT l_returnflag, count(*) AS rows, true AS fewer_files FROM lineitem GROUP BY l_returnflag")
 def compaction(spark, sf_dir):
-    folder = work_area(spark, "files")
-    table(spark, sf_dir, "lineitem").repartition(12).write.parquet(folder)
-    done = maintenance.compact(spark, folder, work_area(spark, "compacted"))
-    return done.select(
-        F.col("files_before").cast("long").alias("files_before"),
-        (F.col("files_after") < F.col("files_before")).alias("fewer"),
-        "rows",
-    )
+    """A table partitioned by return flag, its files as large as a hundred thousand rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_returnflag")
+    folder = _small_files(spark, lines, "l_returnflag")
+    done = maintenance.compact(spark, folder, work_area(spark, "compacted"), target_bytes=1 << 20)
+    counts = maintenance.partition_statistics(maintenance.compacted(spark, done), "l_returnflag")
+    return counts.withColumn("fewer_files", F.lit(done.files_after < done.files_before))
 
 
 @query("D17", "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY o_orderstatus")
 def compaction_on_demand(spark, sf_dir):
-    """Three files are enough for the on-demand job; the rows stay what they were."""
-    folder = work_area(spark, "files")
-    table(spark, sf_dir, "orders").repartition(3).write.parquet(folder)
+    """The rows and partitions stay what they were."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    folder = _small_files(spark, orders, "o_orderstatus")
     done = maintenance.compact_on_demand(spark, folder, work_area(spark, "compacted"), target_size_mb=64)
-    rewritten = spark.read.parquet(done.first()["folder"])
-    return rewritten.groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+    return maintenance.partition_statistics(maintenance.compacted(spark, done), "o_orderstatus")
 
 
 @query(
-    "D18",
-    """SELECT o_orderstatus, count(*) AS rows, 3 AS expired, 7 AS newest FROM orders GROUP BY o_orderstatus""",
+    "D19",
+    "SELECT count(*) AS orphan_rows, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS live_rows FROM orders",
 )
-def expiry(spark, sf_dir):
-    """Seven daily versions, all old, the last two kept.
-
-    Versions four and five stay as well: the kept ones build on them. What is
-    left still reads as it was.
-    """
-    orders = _versioned(spark)
-    status = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
-    for day in range(3):
-        orders.overwrite(status, at=DAYS[day])
-    orders.overwrite(status.where("o_orderstatus = 'F'"), at=DAYS[3])
-    orders.append(status.where("o_orderstatus = 'O'"), at=DAYS[4])
-    orders.append(status.where("o_orderstatus = 'P'"), at=DAYS[5])
-    orders.append(status.where("o_orderstatus NOT IN ('F', 'O', 'P')"), at=DAYS[6])
-    gone = maintenance.expired_versions(orders.log(), DAYS[11], retain_last=2)
-    expired = gone.agg(F.count("*").cast("int")).scalar()
-    newest = orders.log().agg(F.max("version")).scalar()
-    counts = orders.current().groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
-    return counts.select("o_orderstatus", "rows", expired.alias("expired"), newest.alias("newest"))
-
-
-@query("D19", "SELECT 4::BIGINT AS orphans, true AS listed_all, count(*) AS live_rows FROM orders")
 def orphans(spark, sf_dir):
     """Files of an older version, once a newer one has taken over."""
     folder = work_area(spark, "files")
     rows = _orders(spark, sf_dir)
-    rows.repartition(4).write.parquet(f"{folder}/old")
-    rows.repartition(2).write.parquet(f"{folder}/new")
+    rows.write.parquet(f"{folder}/old")
+    rows.where("o_orderstatus = 'O'").write.parquet(f"{folder}/new")
     live = spark.read.parquet(f"{folder}/new")
     found = maintenance.orphan_files(spark, folder, live, datetime(2100, 1, 1))
-    return found.agg(
-        F.count("*").alias("orphans"),
-        F.bool_and(F.col("path").contains("/old/")).alias("listed_all"),
-    ).select("*", live.agg(F.count("*")).scalar().alias("live_rows"))
+    held = maintenance.file_statistics(spark.read.parquet(f"{folder}/old", f"{folder}/new"))
+    counted = found.join(held, found["path"] == held["file_path"]).agg(F.sum("rows").alias("orphan_rows"))
+    return counted.select("orphan_rows", live.agg(F.count("*")).scalar().alias("live_rows"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,19 +38,9 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    `spark.checkpoint.dir` decides. Only a local master, where driver and
-    executors share one disk, may fall back to a folder of its own.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="orderloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder every executor can reach: `spark.checkpoint.dir`, else the warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
 def work_area(spark: SparkSession, purpose: str) -> str:

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.times import iso_timestamp, tolerant_timestamp
-from orderloom.operators.joins import byte_setting, estimated_bytes
 
 
 def dimension(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
@@ -30,39 +27,18 @@ def event_log(spark: SparkSession, path: str, tolerant: bool = False) -> DataFra
     return with_event_time(spark.read.parquet(path), tolerant)
 
 
-def first_existing(spark: SparkSession, paths: list[str], max_rows: int | None = None) -> DataFrame:
-    """The first path that exists: a one-day sample, else the full history.
-
-    `max_rows` is the test suites' sampling knob; jobs leave it unset.
-    """
+def first_existing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The first path that exists: a one-day sample, else the full history."""
     for path in paths[:-1]:
         try:
-            found = spark.read.parquet(path)
-            break
+            return spark.read.parquet(path)
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
-    else:
-        found = spark.read.parquet(paths[-1])
-    return found if max_rows is None else found.limit(max_rows)
+    return spark.read.parquet(paths[-1])
 
 
 def json_directory(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """JSON lines; give the schema to spare the inference pass over all files."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.json(path)
-
-
-def spread(df: DataFrame, unique_key: str) -> DataFrame:
-    """A small table over all cores, for work that costs far more than the scan.
-
-    A table with splits for less than a quarter of the cores would leave the
-    others idle. One that is larger keeps its splits and is not shuffled.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = estimated_bytes(df)
-    if size is None:
-        return df
-    splits = math.ceil(size / byte_setting(spark, "spark.sql.files.maxPartitionBytes"))
-    return df.repartition(cores, unique_key) if splits * 4 <= cores else df

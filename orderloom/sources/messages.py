@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.functions.payload import as_message
 from orderloom.operators.rows import since_day
@@ -50,13 +51,17 @@ def topic_batch(
 
 
 def folder_stream(
-    spark: SparkSession, path: str, schema: str = MESSAGE_FIELDS, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: str | StructType = MESSAGE_FIELDS, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A folder of parquet files as a stream."""
+    """A parquet file, or a folder of them, as a stream.
+
+    The source takes a single file only as the match of a pattern, so the path is made
+    one that matches itself and nothing else.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
 
 
 def as_text(messages: DataFrame) -> DataFrame:

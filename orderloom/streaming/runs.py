@@ -9,8 +9,10 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def _writer(
@@ -44,25 +46,55 @@ def append_to_files(
     return _writer(stream, checkpoint, interval, partition_by).format("parquet").start(path)
 
 
+def update_files(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Changed rows of an aggregate, a folder per batch.
+
+    A batch that is run again after a failure replaces its own folder.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
+def last_values(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """What `update_files` has written: the newest row of every key."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(path)
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch")).alias("last"))
+    return newest.select(*keys, "last.*")
+
+
 def to_console(stream: DataFrame, mode: str = "append", rows: int = 20) -> StreamingQuery:
     """Print each batch: `update` for aggregates, `append` for plain rows."""
     writer = stream.writeStream.outputMode(mode).format("console")
     return writer.option("truncate", False).option("numRows", rows).start()
 
 
-def finish(query: StreamingQuery, seconds: float | None = None) -> list[dict]:
+def finish(query: StreamingQuery, seconds: float | None = None, every: float = 0.5) -> list[dict]:
     """Wait for the query to end, or stop it after the given time.
 
-    Returns its progress reports. An error of the query is raised here.
+    Returns the progress reports of all its batches, gathered while it runs: a query
+    itself keeps only the last ones. An error of the query is raised here.
     """
-    if seconds is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(seconds):
-        query.stop()
-    return progress(query)
+    deadline = None if seconds is None else time.monotonic() + seconds
+    reports: dict[int, dict] = {}
+    while True:
+        ended = query.awaitTermination(every)
+        reports |= {p["batch"]: p for p in progress(query)}
+        if ended:
+            break
+        if deadline is not None and time.monotonic() >= deadline:
+            query.stop()
+            break
+    reports |= {p["batch"]: p for p in progress(query)}
+    return [reports[b] for b in sorted(reports)]
 
 
 def progress(query: StreamingQuery) -> list[dict]:
+    """The reports that the query still keeps."""
     return [
         {"batch": p["batchId"], "rows": p["numInputRows"], "at": p["timestamp"]}
         for p in query.recentProgress
@@ -70,12 +102,8 @@ def progress(query: StreamingQuery) -> list[dict]:
 
 
 def watch(query: StreamingQuery, seconds: float, every: float = 1.0) -> list[dict]:
-    """Poll a running query for a while, then stop it."""
-    deadline = time.monotonic() + seconds
-    while query.isActive and time.monotonic() < deadline:
-        time.sleep(min(every, max(0.0, deadline - time.monotonic())))
-    query.stop()
-    return progress(query)
+    """Follow a running query for a while, then stop it."""
+    return finish(query, seconds, every)
 
 
 def table_stream(spark: SparkSession, table: str) -> DataFrame:

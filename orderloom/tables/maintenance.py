@@ -1,11 +1,12 @@
-"""File statistics, compaction, expiry, orphan files."""
+"""File statistics, compaction, orphan files."""
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MEGABYTE = 1024 * 1024
@@ -48,57 +49,73 @@ def partition_statistics(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("rows"))
 
 
+@dataclass(frozen=True)
+class Compaction:
+    """What a run did: files before and after, and where the table's rows are now."""
+
+    source: str
+    target: str | None
+    target_bytes: int
+    files_before: int
+    files_rewritten: int
+    files_after: int
+
+
+def partition_columns(spark: SparkSession, folder: str) -> list[str]:
+    """The columns that a folder's paths name, outermost first."""
+    found = listing(spark, folder).select("path").first()
+    inside = found["path"].split(folder.rstrip("/").split("/")[-1], 1)[-1] if found else ""
+    return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
+
+
 def compact(
     spark: SparkSession,
     source: str,
     target: str,
     target_bytes: int = TARGET_BYTES,
     min_files: int = NIGHTLY_MIN_FILES,
-    partition_by: list[str] | None = None,
-) -> DataFrame:
-    """Rewrite a parquet folder into files near the target size, in a new folder.
-
-    Fewer than `min_files` files are left alone. Readers of the old folder are
-    not disturbed; moving them over is the caller's step. Returns one row: files
-    before, files after, and the folder to read from now on.
+) -> Compaction:
+    """Rewrite a parquet folder's small files into files near the target size, in a new folder.
+
+    Files of three quarters of the target or more are left alone, and so is everything
+    where fewer than `min_files` are smaller. The small files of a partition are put
+    together in bins of the target size, and each bin is written by one task, under the
+    partition columns of the source. Readers of the old folder are not disturbed: the
+    table is now what `compacted` reads, and removing the small files is the caller's step.
+    The sizes are compared where the files are listed; only sums come to the driver.
     """
-    files, size = listing(spark, source).agg(F.count("*"), F.sum("length")).first()
-    chosen = source
-    if files >= min_files:
-        table = spark.read.parquet(source)
-        if partition_by:
-            # Each partition value gets its own files; a large one is split.
-            packed = table.hint("rebalance", *partition_by)
-            packed.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        else:
-            wanted = max(1, math.ceil(size / target_bytes))
-            table.coalesce(wanted).write.mode("overwrite").parquet(target)
-        chosen = target
-    return spark.read.parquet(chosen).agg(
-        F.lit(files).alias("files_before"),
-        listing(spark, chosen).agg(F.count("*")).scalar().alias("files_after"),
-        F.count("*").alias("rows"),
-        F.lit(chosen).alias("folder"),
-    )
-
-
-def compact_on_demand(spark: SparkSession, source: str, target: str, target_size_mb: int = 128) -> DataFrame:
+    small = F.col("length") < target_bytes * 3 // 4
+    files = listing(spark, source)
+    counts = files.agg(F.count("*").alias("all"), F.count_if(small).alias("small"), F.sum(F.when(small, F.col("length"))).alias("bytes")).first()
+    if counts["small"] < min_files:
+        return Compaction(source, None, target_bytes, counts["all"], 0, counts["all"])
+    names = partition_columns(spark, source)
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    so_far = Window.partitionBy(folder).orderBy("length", "path")
+    bins = files.where(small).select("path", F.hash(folder, F.floor((F.sum("length").over(so_far) - F.col("length")) / target_bytes)).alias("bin"))
+    rows = spark.read.parquet(source).where(F.col("_metadata.file_size") < target_bytes * 3 // 4)
+    rows = rows.withColumn("path", F.col("_metadata.file_path")).join(bins, "path").drop("path")
+    tasks = max(1, math.ceil(counts["bytes"] / target_bytes))
+    each = math.ceil(1.1 * rows.count() * target_bytes / max(1, counts["bytes"]))  # bins may share a task
+    packed = rows.repartition(tasks, *names, "bin").drop("bin").write.option("maxRecordsPerFile", each)
+    (packed.partitionBy(*names) if names else packed).parquet(target)
+    written = listing(spark, target).count()
+    return Compaction(source, target, target_bytes, counts["all"], counts["small"], counts["all"] - counts["small"] + written)
+
+
+def compacted(spark: SparkSession, done: Compaction) -> DataFrame:
+    """The table after a run: the source's files that stayed, and the new ones."""
+    rows = spark.read.parquet(done.source)
+    if done.target is None:
+        return rows
+    kept = rows.where(F.col("_metadata.file_size") >= done.target_bytes * 3 // 4)
+    return kept.unionByName(spark.read.parquet(done.target))
+
+
+def compact_on_demand(spark: SparkSession, source: str, target: str, target_size_mb: int = 128) -> Compaction:
     return compact(spark, source, target, target_size_mb * MEGABYTE, ON_DEMAND_MIN_FILES)
 
 
-def expired_versions(log: DataFrame, older_than: datetime, retain_last: int = KEEP_LAST) -> DataFrame:
-    """Versions older than the limit that are not among the last ones.
-
-    A version another kept one builds on stays as well.
-    """
-    last = log.select("version").orderBy(F.desc("version")).limit(retain_last)
-    old = log.where(F.col("committed_at") < F.lit(older_than).cast("timestamp"))
-    candidates = old.join(last, on="version", how="left_anti")
-    kept = log.join(candidates.select("version"), on="version", how="left_anti")
-    oldest_base = kept.agg(F.min("base")).scalar()
-    return candidates.where(F.col("version") < F.coalesce(oldest_base, F.lit(2**31 - 1)))
-
-
 def orphan_files(spark: SparkSession, folder: str, live: DataFrame, older_than: datetime) -> DataFrame:
     """Parquet files in a folder that no live row comes from. Reports, never deletes.
 

@@ -9,8 +9,9 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from orderloom.operators.running import behind_running_max, running_orders, split_hot
+from orderloom.operators.running import _running_in_parts, behind_running_max, cut, running_orders, split_hot
 
 
 def hot_orders(seed: int, n: int):
@@ -100,26 +101,38 @@ def test_running_orders_on_any_rows(spark, cells, width):
 
 def test_split_hot_parts_the_rows(spark):
     df = spark.createDataFrame([(i, [None, None, 1, 1, 1, 2][i % 6]) for i in range(60)], "id long, k int")
-    for limit, hot_keys in ((9, {None, 1, 2}), (10, {None, 1}), (20, {1}), (30, set())):
+    for limit, wanted in ((9, {None, 1, 2}), (10, {None, 1}), (20, {1})):
         cold, hot = split_hot(df, "k", limit)
-        assert {r.k for r in hot.collect()} == hot_keys
+        assert {r.k for r in hot.collect()} == wanted
         assert cold.count() + hot.count() == 60 and cold.columns == df.columns
-
-
-def test_no_window_spans_a_hot_key(spark, plan_text, conf):
-    """Its row-level window is partitioned by the cell, on the join's own shuffle."""
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    df = spark.createDataFrame(hot_orders(1, 50), "id long, customer int, day date, amount long")
-    plan = plan_text(running_orders(df, "customer", "day", "id", "amount"))
-    hot_window = plan[plan.index("Window [row_number() windowspecdefinition(cell") :]
-    before_join = hot_window[: hot_window.index("SortMergeJoin")]
-    assert "Exchange" not in before_join
-
-
-def test_without_hot_keys_the_rows_are_shuffled_once(spark):
-    """AQE finds the list of hot keys empty and drops their side."""
+    assert split_hot(df, "k", 30) == (df, None)
+
+
+@pytest.mark.parametrize("spacing", [1, 1_000_003, 2**40 + 7])
+def test_parts_are_even_whatever_the_positions(spark, conf, spacing):
+    """One hot key: every window of every level is far smaller than the key."""
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(20_000).selectExpr(f"id * {spacing} AS id", "7 AS k", "date_add(DATE'2024-01-01', cast(id % 5 as int)) AS day", "1 AS amount")
+    for order in (("k", "id"), ("k", "day", "id")):
+        parts = cut(df, *order)
+        sizes = [r["count"] for r in parts.groupBy("part", "k").count().collect()]
+        assert sum(sizes) == 20_000 and len(sizes) <= 16 and max(sizes) < 4_000
+    got = running_orders(df, "k", "day", "id", "amount", width=1_000)
+    assert got.agg(F.max("order_rank"), F.countDistinct("order_rank"), F.max("running_total")).first() == (20_000, 20_000, 20_000)
+
+
+def test_no_window_spans_a_hot_key(spark, conf, plan_text):
+    """Row-level windows are by part and key; the only one by key is over the parts' sums."""
+    df = spark.createDataFrame(hot_orders(1, 600), "id long, customer int, day date, amount long")
+    _, hot = split_hot(df, "customer", 50)
+    plan = plan_text(_running_in_parts(cut(hot, "customer", "day", "id"), "customer", "day", "id", "amount"))
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    by_key = [line for line in windows if "windowspecdefinition(customer" in line]
+    assert len(windows) > len(by_key) > 0 and all("part#" in line and "row_number" not in line for line in by_key)
+
+
+def test_without_hot_keys_the_rows_are_shuffled_once(spark, plan_text):
     df = spark.createDataFrame(hot_orders(1, 300), "id long, customer int, day date, amount long")
-    result = running_orders(df, "customer", "day", "id", "amount")
-    result.collect()
-    final = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "cell" not in final
+    plan = plan_text(running_orders(df, "customer", "day", "id", "amount"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

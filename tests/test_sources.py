@@ -39,7 +39,6 @@ def test_first_existing_prefers_the_sample(spark, tmp_path):
     assert files.first_existing(spark, [sample, full]).count() == 10
     spark.range(3).write.parquet(sample)
     assert files.first_existing(spark, [sample, full]).count() == 3
-    assert files.first_existing(spark, [sample, full], max_rows=2).count() == 2
     with pytest.raises(AnalysisException):
         files.first_existing(spark, [str(tmp_path / "no"), str(tmp_path / "neither")])
 
@@ -129,10 +128,3 @@ def test_work_area_lies_in_the_folder_the_session_names(spark):
     assert shared_root(spark) == root
     first, second = work_area(spark, "x"), work_area(spark, "x")
     assert first.startswith(f"{root}/x-") and first != second
-
-
-def test_only_tables_with_idle_cores_are_spread(spark, conf, sf_dir, plan_text):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    assert files.spread(orders, "o_orderkey").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    conf("spark.sql.files.maxPartitionBytes", "8kb")
-    assert "Exchange" not in plan_text(files.spread(orders, "o_orderkey"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from orderloom.catalogue import registered, streams
 from orderloom.functions.payload import as_message
 from orderloom.functions.times import iso_timestamp, tolerant_timestamp
 from orderloom.operators.quality import repeated_ids
@@ -107,6 +108,44 @@ def test_update_mode_ends_where_the_batch_does(spark, tmp_path):
     assert sorted(last.collect()) == sorted(batch.collect())
 
 
+@pytest.mark.parametrize("name", ["stream_type_totals", "stream_product_revenue", "stream_to_parquet"])
+def test_no_row_is_lost_however_the_files_come(spark, conf, monkeypatch, sf_dir, tmp_path, name):
+    """One file, a folder of files, and a file per batch with the newest first give the same rows."""
+    given = spark.read.parquet(f"{sf_dir}/events.parquet").orderBy("ts").limit(600)
+    plan = registered()[name]
+    results = []
+    for way in ("file", "folder", "falling"):
+        root = tmp_path / way
+        if way == "file":
+            given.toPandas().to_parquet(tmp_path / "one.parquet", coerce_timestamps="us")
+            root.mkdir()
+            (tmp_path / "one.parquet").rename(root / "events.parquet")
+        else:
+            order = F.desc("ts") if way == "falling" else F.asc("event_id")
+            given.repartitionByRange(4, order).write.parquet(f"{root}/events.parquet")
+        monkeypatch.setattr(streams, "FILES_PER_BATCH", 1 if way == "falling" else 256)
+        results.append(sorted(map(tuple, plan(spark, str(root)).collect())))
+    assert results[0] and results[0] == results[1] == results[2]
+    if name == "stream_type_totals":
+        assert sum(r[3] for r in results[0]) == 600
+
+
+def test_finish_keeps_all_reports(spark, conf, tmp_path):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "2")
+    folder, out = str(tmp_path / "in"), work_area(spark, "reports")
+    spark.range(0, 60, 1, 6).write.parquet(folder)
+    stream = folder_stream(spark, folder, "id long", files_per_batch=1)
+    reports = finish(append_to_files(stream, f"{out}/rows", f"{out}/checkpoint"), every=0.02)
+    assert sum(r["rows"] for r in reports) == 60 and len(reports) >= 6
+
+
+def test_second_run_of_the_sales_table_gets_new_rows(spark, sf_dir):
+    target, (first, second) = streams._sales_table(spark, sf_dir)
+    rows = [sum(r["rows"] for r in run) for run in (first, second)]
+    assert min(rows) > 0 and sum(rows) == spark.table(target).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert [r.col_name for r in spark.sql(f"DESCRIBE {target}").collect()].count("hour") == 2  # a column, and the partition
+
+
 def test_product_revenue_windows(spark, tmp_path):
     clicks = [
         {"event_id": i, "timestamp": f"2024-01-01T12:00:{s:02d}.000000", "user_id": "u", "event_type": "buy",

@@ -7,10 +7,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.operators import changes
+from orderloom.operators.rows import drop_where, set_where
 from orderloom.plans import layers_sql
 from orderloom.session import work_area
 from orderloom.tables import ddl, maintenance, native
-from orderloom.tables.versions import VersionedTable
 
 
 @pytest.fixture
@@ -21,11 +22,6 @@ def schema(spark):
     ddl.drop_schema(spark, name)
 
 
-@pytest.fixture
-def versioned(spark):
-    return VersionedTable(spark, work_area(spark, "versions"))
-
-
 # --- catalog tables --------------------------------------------------------------
 
 
@@ -80,41 +76,41 @@ def test_replace_and_copy(spark, schema):
 
 
 def test_mini_medallion_in_sql(spark, schema):
-    """Two orders of 100 and 200 among three raw events."""
+    """Three orders, one of unreadable amount, among raw events of two kinds."""
     raw, silver, gold = (f"{schema}.{n}" for n in ("raw", "silver", "gold"))
     ddl.create_table(spark, raw, "event_id string, event_type string, raw_data string")
     ddl.insert_values(
         spark, raw,
-        """('e1', 'order', '{"order_id": "o1", "amount": 100}'), ('e2', 'order', '{"order_id": "o2", "amount": 200}'),
-           ('e3', 'click', '{"page": "home"}')""",
+        """('r7', 'order', '{"order_id": "k70", "amount": 12.25}'), ('r8', 'visit', '{"shop": "mill lane"}'),
+           ('r9', 'order', '{"order_id": "k71", "amount": "a lot"}'), ('r10', 'order', '{"amount": 7.5, "order_id": "k72"}')""",
     )
     ddl.create_table(spark, silver, "order_id string, amount double, processed_at timestamp")
     ddl.create_table(spark, gold, "total_orders bigint, total_amount double, avg_amount double, computed_at timestamp")
     layers_sql.insert_orders_from_raw(spark, raw, silver)
     layers_sql.insert_order_totals(spark, silver, gold)
     row = spark.table(gold).first()
-    assert (row.total_orders, row.total_amount, row.avg_amount) == (2, 300.0, 150.0)
+    assert (row.total_orders, row.total_amount, row.avg_amount) == (3, 19.75, 9.875)
 
 
 def test_customer_summary_over_decimals(spark, schema):
-    rows = [("o1", "c1", Decimal("999.99"), "2024-01-15"), ("o2", "c1", Decimal("79.99"), "2024-01-16"),
-            ("o3", "c2", Decimal("59.98"), "2024-01-15")]
+    rows = [("k1", "ida", Decimal("3.10"), "2023-11-02"), ("k2", "bo", Decimal("20.00"), "2023-11-05"),
+            ("k3", "ida", Decimal("0.95"), "2023-10-30"), ("k4", "ida", Decimal("4.00"), "2023-11-02")]
     orders = spark.createDataFrame(rows, "order_id string, customer_id string, total decimal(10,2), order_date string")
     ddl.replace(orders.withColumn("order_date", F.to_date("order_date")), f"{schema}.orders")
     got = layers_sql.customer_summary(spark, f"{schema}.orders", f"{schema}.summary")
     assert dict(got.dtypes)["total_spent"] == "decimal(20,2)"
     assert dict(got.dtypes)["avg_order_value"] == "decimal(14,6)"
-    first = {r.customer_id: r for r in got.collect()}["c1"]
-    assert (first.total_spent, first.first_order, first.last_order) == (
-        Decimal("1079.98"), date(2024, 1, 15), date(2024, 1, 16),
+    ida = {r.customer_id: r for r in got.collect()}["ida"]
+    assert (ida.total_orders, ida.total_spent, ida.first_order, ida.last_order) == (
+        3, Decimal("8.05"), date(2023, 10, 30), date(2023, 11, 2),
     )
 
 
 def test_purchase_sum_of_a_message_table(spark, schema):
-    rows = [("e1", "purchase", 99.99), ("e2", "refund", 49.99), ("e3", "purchase", 149.99)]
+    rows = [("m1", "purchase", 5.5), ("m2", "return", 2.25), ("m3", "purchase", None), ("m4", "purchase", 31.0)]
     ddl.replace(spark.createDataFrame(rows, "event_id string, event_type string, amount double"), f"{schema}.e")
     total = spark.sql(f"SELECT sum(amount) FROM {schema}.e WHERE event_type = 'purchase'").first()[0]
-    assert total == pytest.approx(249.98)
+    assert total == pytest.approx(36.5)
 
 
 def test_rows_from_dicts(spark):
@@ -122,54 +118,54 @@ def test_rows_from_dicts(spark):
     assert dict(inferred.dtypes) == {"event_id": "string", "quantity": "bigint", "unit_price": "double"}
 
 
-# --- versions ----------------------------------------------------------------------
-
-
-def test_update_delete_and_time_travel(spark, versioned):
-    metrics = spark.createDataFrame([("cpu", 50.0), ("mem", None)], "metric_name string, value double")
-    versioned.overwrite(metrics, at=datetime(2024, 1, 1))
-    versioned.update({"value": F.lit(75.0)}, F.expr("metric_name = 'cpu'"), at=datetime(2024, 1, 2))
-    versioned.delete(F.col("value") > 100, at=datetime(2024, 1, 3))  # NULL is kept
-    now = {r.metric_name: r.value for r in versioned.current().collect()}
-    assert now == {"cpu": 75.0, "mem": None}
-    assert versioned.as_of_version(1).where("metric_name = 'cpu'").first().value == 50.0
-    assert versioned.as_of_time(datetime(2024, 1, 1, 12)).where("metric_name = 'cpu'").first().value == 50.0
-    assert versioned.as_of_time(datetime(2024, 2, 1)).count() == 2
-    with pytest.raises(ValueError):
-        versioned.as_of_time(datetime(2023, 1, 1))
-    history = versioned.history().collect()
-    assert [(r.version, r.operation, r.rows_written) for r in history] == [
-        (1, "overwrite", 2), (2, "update", 2), (3, "delete", 2),
-    ]
+# --- change log -----------------------------------------------------------------------
 
 
-def test_append_adds_a_folder_and_keeps_the_base(spark, versioned):
-    versioned.overwrite(spark.range(3).toDF("id"))
-    versioned.append(spark.range(3, 5).selectExpr("id", "'new' AS note"))
-    assert {(r.id, r.note) for r in versioned.current().collect()} == {
-        (0, None), (1, None), (2, None), (3, "new"), (4, "new"),
-    }
-    assert versioned.as_of_version(1).columns == ["id"]
-    assert [(r.version, r.base) for r in versioned.history().collect()] == [(1, 1), (2, 1)]
-    versioned.append(spark.createDataFrame([(7,)], "id int"))  # read as the long the table has
-    assert dict(versioned.current().dtypes) == {"id": "bigint", "note": "string"}
-    assert versioned.current().where("id = 7").count() == 1
+MARCH = [datetime(2024, 3, d) for d in range(1, 9)]
 
 
-def test_a_commit_that_died_is_not_read(spark, versioned):
-    versioned.overwrite(spark.range(3).toDF("id"))
-    spark.range(100).write.parquet(f"{versioned.data}/version=2")  # no row in the log
-    assert versioned.current().count() == 3
-    assert [r.version for r in versioned.history().collect()] == [1]
-    versioned.append(spark.range(3, 4).toDF("id"))
-    assert sorted(r.id for r in versioned.current().collect()) == [0, 1, 2, 3]
+def log_of(spark):
+    """Three keys: kept, changed, and gone from the third version on."""
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, name string")
+    return (
+        changes.change(rows((1, "ash"), (2, "elm"), (3, "fir")), 1, "insert", MARCH[0])
+        .unionByName(changes.change(rows((2, "oak"), (4, None)), 2, "update", MARCH[1]))
+        .unionByName(changes.change(rows((3, "fir")), 3, "delete", MARCH[2]))
+        .unionByName(changes.change(rows((3, "yew")), 4, "insert", MARCH[3]))
+    )
+
 
+STATES = {
+    1: {(1, "ash"), (2, "elm"), (3, "fir")}, 2: {(1, "ash"), (2, "oak"), (3, "fir"), (4, None)},
+    3: {(1, "ash"), (2, "oak"), (4, None)}, 4: {(1, "ash"), (2, "oak"), (3, "yew"), (4, None)},
+}
 
-def test_empty_version_in_the_history(spark, versioned):
-    versioned.overwrite(spark.range(3).toDF("id"))
-    versioned.delete(F.lit(True))
-    assert versioned.current().count() == 0
-    assert [r.rows_written for r in versioned.history().collect()] == [3, 0]
+
+def test_state_as_of_a_version_and_a_time(spark):
+    log = log_of(spark)
+    for version, rows in STATES.items():
+        assert {tuple(r) for r in changes.as_of_version(log, ["id"], version).collect()} == rows
+        moment = datetime(2024, 3, version, 12)
+        assert {tuple(r) for r in changes.as_of_time(log, ["id"], moment).collect()} == rows
+    assert changes.as_of_version(log, ["id"], 0).collect() == []
+    assert [(r.version, r.operation, r.rows_changed) for r in changes.history(log).collect()] == [
+        (1, "insert", 3), (2, "update", 2), (3, "delete", 1), (4, "insert", 1),
+    ]
+
+
+@pytest.mark.parametrize("version", [1, 2, 3, 4])
+def test_squashing_keeps_later_states(spark, version):
+    log = changes.squash(log_of(spark), ["id"], version)
+    assert log.where(f"version <= {version}").groupBy("id").count().where("count > 1").count() == 0
+    for later in range(version, 5):
+        assert {tuple(r) for r in changes.as_of_version(log, ["id"], later).collect()} == STATES[later]
+
+
+def test_update_and_delete_with_unknown_conditions(spark):
+    readings = spark.createDataFrame([("north", 12.5), ("south", None), ("east", 140.0)], "place string, level double")
+    raised = set_where(readings, {"level": F.col("level") + 1}, F.col("level") < 100)
+    assert {tuple(r) for r in raised.collect()} == {("north", 13.5), ("south", None), ("east", 140.0)}
+    assert {r.place for r in drop_where(readings, F.col("level") > 100).collect()} == {"north", "south"}
 
 
 # --- maintenance --------------------------------------------------------------------
@@ -178,45 +174,51 @@ def test_empty_version_in_the_history(spark, versioned):
 def test_compaction_respects_the_least_number_of_files(spark):
     folder, target = work_area(spark, "files"), work_area(spark, "compacted")
     spark.range(0, 1000, 1, 4).write.parquet(folder)
-    left = maintenance.compact(spark, folder, target).first()
-    assert (left.files_before, left.files_after, left.rows, left.folder) == (4, 4, 1000, folder)
-    done = maintenance.compact_on_demand(spark, folder, target, target_size_mb=1).first()
-    assert (done.files_before, done.files_after, done.rows, done.folder) == (4, 1, 1000, target)
+    left = maintenance.compact(spark, folder, target)
+    assert (left.files_before, left.files_rewritten, left.files_after, left.target) == (4, 0, 4, None)
+    assert maintenance.compacted(spark, left).count() == 1000
+    done = maintenance.compact_on_demand(spark, folder, target, target_size_mb=1)
+    assert (done.files_before, done.files_rewritten, done.files_after) == (4, 4, 1)
+    assert sorted(r.id for r in maintenance.compacted(spark, done).collect()) == list(range(1000))
 
 
 def test_compaction_aims_at_the_target_size(spark):
     folder, target = work_area(spark, "files"), work_area(spark, "compacted")
     spark.range(0, 200000, 1, 16).selectExpr("uuid() AS u").write.parquet(folder)
-    size = maintenance.file_statistics(spark.read.parquet(folder)).agg(F.sum("bytes")).first()[0]
-    done = maintenance.compact(spark, folder, target, target_bytes=size // 3 + 1).first()
-    assert (done.files_before, done.files_after, done.rows) == (16, 3, 200000)
+    size = maintenance.listing(spark, folder).agg(F.sum("length")).first()[0]
+    done = maintenance.compact(spark, folder, target, target_bytes=size // 3 + 1)
+    assert done.files_before == 16 and 2 <= done.files_after <= 4
+    largest = maintenance.listing(spark, target).agg(F.max("length")).first()[0]
+    assert largest < 1.6 * done.target_bytes
+    assert maintenance.compacted(spark, done).count() == 200000
 
 
-def test_compaction_keeps_partitions(spark):
+def test_compaction_below_the_split_size_still_makes_several_files(spark):
     folder, target = work_area(spark, "files"), work_area(spark, "compacted")
-    spark.range(0, 900, 1, 6).selectExpr("id", "id % 3 AS p").write.partitionBy("p").parquet(folder)
-    done = maintenance.compact(spark, folder, target, partition_by=["p"]).first()
-    assert (done.files_before, done.files_after, done.rows) == (18, 3, 900)
-    assert spark.read.parquet(target).where("p = 1").count() == 300
+    spark.range(0, 300000, 1, 30).selectExpr("uuid() AS u").write.parquet(folder)
+    done = maintenance.compact(spark, folder, target, target_bytes=1 << 20)
+    assert 5 <= done.files_after < 30 and maintenance.compacted(spark, done).count() == 300000
 
 
-def log_of(spark, rows):
-    return spark.createDataFrame(rows, "version int, base int, operation string, committed_at timestamp")
-
+def test_compaction_leaves_files_at_the_target_alone(spark):
+    folder, target = work_area(spark, "files"), work_area(spark, "compacted")
+    spark.range(0, 400000, 1, 2).selectExpr("uuid() AS u").write.parquet(folder)
+    spark.range(0, 600, 1, 6).selectExpr("uuid() AS u").write.mode("append").parquet(folder)
+    done = maintenance.compact(spark, folder, target, target_bytes=4 << 20)
+    assert (done.files_before, done.files_rewritten, done.files_after) == (8, 6, 3)
+    assert spark.read.parquet(target).count() == 600
+    rows = maintenance.compacted(spark, done)
+    assert rows.count() == 400600 and rows.distinct().count() == 400600
 
-def test_expiry_keeps_recent_last_and_needed(spark):
-    def day(d):
-        return datetime(2024, 3, d)
 
-    plain = log_of(spark, [(v, v, "overwrite", day(v)) for v in range(1, 11)])
-    gone = maintenance.expired_versions(plain, day(8), retain_last=5)
-    assert sorted(r.version for r in gone.collect()) == [1, 2, 3, 4, 5]
-    gone = maintenance.expired_versions(plain, day(3), retain_last=2)
-    assert sorted(r.version for r in gone.collect()) == [1, 2]
-    chained = log_of(spark, [(v, 1 if v < 4 else 4, "append", day(v)) for v in range(1, 8)])
-    gone = maintenance.expired_versions(chained, day(30), retain_last=2)
-    assert sorted(r.version for r in gone.collect()) == [1, 2, 3]
-    assert maintenance.expired_versions(chained, day(30), retain_last=9).count() == 0
+def test_compaction_keeps_partitions(spark, plan_text):
+    folder, target = work_area(spark, "files"), work_area(spark, "compacted")
+    spark.range(0, 900, 1, 6).selectExpr("id", "id % 3 AS p", "'x' AS q").write.partitionBy("p", "q").parquet(folder)
+    assert maintenance.partition_columns(spark, folder) == ["p", "q"]
+    done = maintenance.compact(spark, folder, target)
+    assert (done.files_before, done.files_rewritten, done.files_after) == (18, 18, 3)
+    one = maintenance.compacted(spark, done).where("p = 1")
+    assert one.count() == 300 and "PartitionFilters: [isnotnull(p" in plan_text(one)
 
 
 def test_orphans_are_old_files_nobody_reads(spark):
