@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from orderloom.catalogue import fixture
 from orderloom.catalogue.fixture import BRONZE_SQL, DIMS_CTE, EVENTS_CTE, LIFECYCLE_SQL, SILVER_SQL
-from orderloom.catalogue.medallion import enriched, lifecycle
+from orderloom.catalogue.medallion import enriched
 from orderloom.catalogue.registry import doubles, mean_of_cents, money, query, sum_of_cents, table
 from orderloom.functions.payload import as_message
 from orderloom.operators.joins import lookup, missing_keys, shuffle_join
 from orderloom.operators.quality import profile
 from orderloom.operators.rows import one_per_key, present, top
 from orderloom.operators.running import running_orders
-from orderloom.plans import sales
+from orderloom.plans import sales, silver
 from orderloom.plans.medallion import count_each
 from orderloom.session import work_area
 from orderloom.sources.files import dimension, first_existing, json_directory
 from orderloom.sources.messages import EVENT_MESSAGE, as_text, replay
-from orderloom.sources.synthetic import click_events
+from orderloom.sources.synthetic import click_events, sale_events
 
 
 def orders(spark, sf_dir):
@@ -145,13 +147,27 @@ def synthetic_clicks(spark, sf_dir):
     return click_events(ticks)
 
 
+@query(
+    "S12",
+    """SELECT 'RATE-' || CAST(event_id AS VARCHAR) AS order_id, 'CUST-' || CAST(event_id % 10 + 100 AS VARCHAR) AS customer_id,
+         CAST(event_id % 3 + 1 AS INTEGER) AS quantity, ts AS event_timestamp,
+         round(99.99::DOUBLE * (event_id % 3 + 1), 2) AS total FROM events""",
+)
+def synthetic_sales(spark, sf_dir):
+    """Order-shaped rows over ticks, without their random id."""
+    ticks = table(spark, sf_dir, "events").selectExpr("ts AS timestamp", "event_id AS value")
+    sold = sale_events(ticks).select("order_id", "customer_id", "quantity", "event_timestamp", "total")
+    return sold.withColumn("total", F.round("total", 2))
+
+
 # --- sources ------------------------------------------------------------------
 
 
 @query("S2 K7", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY c_mktsegment")
 def dimension_view(spark, sf_dir):
-    dimension(spark, f"{sf_dir}/customer.parquet", view="loom_dim_customer")
-    return spark.sql("SELECT c_mktsegment, count(*) AS customers FROM loom_dim_customer GROUP BY 1")
+    view = f"loom_customer_{uuid.uuid4().hex[:8]}"
+    dimension(spark, f"{sf_dir}/customer.parquet", view=view)
+    return spark.sql(f"SELECT c_mktsegment, count(*) AS customers FROM {view} GROUP BY 1")
 
 
 @query("S5", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
@@ -161,6 +177,15 @@ def sample_or_full(spark, sf_dir):
     return found.groupBy("event_type").agg(F.count("*").alias("events"))
 
 
+@query("S5", "SELECT event_type, count(*) AS events FROM events WHERE ts < TIMESTAMP '2024-01-02' GROUP BY event_type")
+def sample_first(spark, sf_dir):
+    """A one-day sample lies there and is preferred to the full table."""
+    sample = f"{work_area(spark, 'sample')}/events_1d.parquet"
+    table(spark, sf_dir, "events").where("ts < TIMESTAMP_NTZ'2024-01-02'").write.parquet(sample)
+    found = first_existing(spark, [sample, f"{sf_dir}/events.parquet"])
+    return found.groupBy("event_type").agg(F.count("*").alias("events"))
+
+
 @query(
     "S14 A19 A23 F8",
     f"""SELECT date_trunc('day', o_orderdate)::TIMESTAMP AS date, count(*) AS order_count,
@@ -205,7 +230,7 @@ def _customers(spark, sf_dir):
     )
 
 
-@query("J4", JOIN_SQL)
+@query("J4 P8", JOIN_SQL)
 def join_by_shuffle(spark, sf_dir):
     joined = shuffle_join(_order_amounts(spark, sf_dir), _customers(spark, sf_dir), "customer_id")
     return joined.drop("customer_id")
@@ -334,14 +359,15 @@ def distinct_count(spark, sf_dir):
 @query(
     "A23",
     f"""WITH {EVENTS_CTE} SELECT event_id, event_type, ts, location_id, order_id FROM bronze
-        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts_seconds) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts_seconds, ts, event_type, location_id NULLS FIRST, order_id NULLS FIRST) = 1""",
 )
 def deduplicated_events(spark, sf_dir):
     """The first copy of every event."""
     events = fixture.event_log(spark, sf_dir).select(
         "event_id", "event_type", "ts", "ts_seconds", "location_id", "order_id"
     )
-    return one_per_key(events, ["event_id"], first_by=["ts_seconds"]).drop("ts_seconds")
+    first = ["ts_seconds", "ts", "event_type", "location_id", "order_id"]  # copies of one second may differ elsewhere
+    return one_per_key(events, ["event_id"], first_by=first).drop("ts_seconds")
 
 
 # --- windows, sorting, top-k ---------------------------------------------------
@@ -410,13 +436,17 @@ def distinct_sample(spark, sf_dir):
         UNION ALL SELECT 'silver.order_lifecycle', count(*) FROM lifecycle""",
 )
 def layer_counts(spark, sf_dir):
-    return count_each(
-        {
-            "bronze.orders": fixture.event_log(spark, sf_dir),
-            "silver.orders_enriched": enriched(spark, sf_dir),
-            "silver.order_lifecycle": lifecycle(spark, sf_dir),
-        }
-    )
+    """Each layer is stored, and counted where it lies."""
+
+    def stored(name, df):
+        folder = work_area(spark, name)
+        df.write.parquet(folder)
+        return spark.read.parquet(folder)
+
+    bronze = stored("bronze", fixture.bronze(spark, sf_dir))
+    silver_rows = stored("silver", silver.enrich(bronze, fixture.locations(spark, sf_dir), "decimal(12,2)"))
+    finished = stored("lifecycle", silver.lifecycle(silver_rows))
+    return count_each({"bronze.orders": bronze, "silver.orders_enriched": silver_rows, "silver.order_lifecycle": finished})
 
 
 @query(
@@ -426,11 +456,12 @@ def layer_counts(spark, sf_dir):
 )
 def created_times(spark, sf_dir):
     """The SQL form of the calendar columns, over a view."""
-    fixture.event_log(spark, sf_dir).createOrReplaceTempView("loom_event_log")
+    view = f"loom_log_{uuid.uuid4().hex[:8]}"
+    fixture.event_log(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(
-        """SELECT order_id, moment AS order_timestamp, date(moment) AS order_date,
+        f"""SELECT order_id, moment AS order_timestamp, date(moment) AS order_date,
                   hour(moment) AS order_hour
-           FROM (SELECT order_id, to_timestamp(ts) AS moment FROM loom_event_log
+           FROM (SELECT order_id, to_timestamp(ts) AS moment FROM {view}
                  WHERE order_id IS NOT NULL AND event_type = 'order_created')"""
     )
 

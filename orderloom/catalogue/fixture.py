@@ -1,6 +1,6 @@
 """The order-event log as a deterministic view of the given `orders` table.
 
-One order becomes up to seven lifecycle events, with the faults a real log has:
+One order becomes up to eight lifecycle events, with the faults a real log has:
 copies, NULL keys, malformed bodies, an event whose location is lost. The same
 rules are written once for Spark and once as SQL.
 """
@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from orderloom.catalogue.registry import table
 from orderloom.plans.medallion import Sources
 from orderloom.schemas import EVENT_TYPES
+from orderloom.session import work_area
 from orderloom.sources.files import with_event_time
 
-STEPS = [t for t in EVENT_TYPES if t != "driver_ping"]
+STEPS = list(EVENT_TYPES)
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events: the eight columns of the log, times as text."""
     key, step, copy = F.col("o_orderkey"), F.col("sequence"), F.col("dup")
-    last_step = F.when(F.col("o_orderstatus") == "F", 6).when(F.col("o_orderstatus") == "P", 5)
+    last_step = F.when(F.col("o_orderstatus") == "F", 7).when(F.col("o_orderstatus") == "P", 6)
     steps = F.posexplode(F.slice(F.lit(STEPS), 1, last_step.otherwise(3) + 1))
     copies = F.when((key % 41 == 0) & (step == 0), F.array(F.lit(0), F.lit(1)))
     expanded = (
@@ -29,13 +30,19 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("*", steps.alias("sequence", "event_type"))
         .withColumn("dup", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     )
-    shift = key % 1440 * 60 + step * 600 + (key * 7 + step * 13) % 300 + copy * 5
+    shift = key % 1440 * 60 + step * 600 + (key * 7 + step * 13) % 300 + copy * (key % 2) * 5
     moment = F.timestamp_add("SECOND", shift.cast("int"), F.col("o_orderdate").cast("timestamp"))
     no_place = (key % 50 == 0) | ((key % 53 == 0) & (step == 1))
     total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     brand = (key % 20 + 1).cast("string")
+    driver = F.concat(F.lit('"driver_id": "D'), (key % 500).cast("string"), F.lit('"}'))
+    place = F.concat(F.lit('{"lat": '), (key % 90).cast("string"), F.lit('.5, "lon": 7.25, '))
     body = (
-        F.when(step != 0, "{}")
+        F.when((step == 1) & (key % 101 == 0), '{"kitchen_id": 1} x')
+        .when((step == 2) & (key % 103 == 0), "")
+        .when(F.col("event_type") == "driver_ping", F.concat(place, driver))
+        .when(F.col("event_type") == "driver_arrived", F.concat(F.lit("{"), driver))
+        .when(step != 0, "{}")
         .when(key % 97 == 0, '{"brand_id": 3, "tot')
         .otherwise(F.concat(F.lit('{"brand_id": '), brand, F.lit(', "total": '), total, F.lit("}")))
     )
@@ -51,6 +58,16 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_log(spark: SparkSession, sf_dir: str, broken_times: bool = False) -> str:
+    """The log as files; where asked for, with times nobody can read."""
+    log, folder = event_log(spark, sf_dir), work_area(spark, "event-log")
+    if broken_times:
+        unreadable = F.col("ts_seconds") % 89 == 0
+        log = log.withColumn("ts", F.when(unreadable, F.concat(F.lit("at "), "ts")).otherwise(F.col("ts")))
+    log.write.parquet(folder)
+    return folder
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(event_log(spark, sf_dir))
 
@@ -98,9 +115,9 @@ steps(sequence, event_type) AS (VALUES {STEP_ROWS}),
 copies(dup) AS (VALUES (0), (1)),
 expanded AS (
   SELECT *, o_orderdate + to_seconds((o_orderkey % 1440) * 60 + sequence * 600
-         + (o_orderkey * 7 + sequence * 13) % 300 + dup * 5) AS moment
+         + (o_orderkey * 7 + sequence * 13) % 300 + dup * (o_orderkey % 2) * 5) AS moment
   FROM orders
-  JOIN steps ON sequence <= CASE o_orderstatus WHEN 'F' THEN 6 WHEN 'P' THEN 5 ELSE 3 END
+  JOIN steps ON sequence <= CASE o_orderstatus WHEN 'F' THEN 7 WHEN 'P' THEN 6 ELSE 3 END
   JOIN copies ON dup = 0 OR (o_orderkey % 41 = 0 AND sequence = 0)
 ),
 bronze AS (
@@ -113,7 +130,12 @@ bronze AS (
     CASE WHEN o_orderkey % 71 = 0 AND sequence = 2 THEN NULL
          ELSE 'O' || CAST(o_orderkey AS VARCHAR) END AS order_id,
     sequence,
-    CASE WHEN sequence <> 0 THEN '{{}}'
+    CASE WHEN sequence = 1 AND o_orderkey % 101 = 0 THEN '{{"kitchen_id": 1}} x'
+         WHEN sequence = 2 AND o_orderkey % 103 = 0 THEN ''
+         WHEN event_type = 'driver_ping' THEN '{{"lat": ' || CAST(o_orderkey % 90 AS VARCHAR)
+              || '.5, "lon": 7.25, "driver_id": "D' || CAST(o_orderkey % 500 AS VARCHAR) || '"}}'
+         WHEN event_type = 'driver_arrived' THEN '{{"driver_id": "D' || CAST(o_orderkey % 500 AS VARCHAR) || '"}}'
+         WHEN sequence <> 0 THEN '{{}}'
          WHEN o_orderkey % 97 = 0 THEN '{{"brand_id": 3, "tot'
          ELSE '{{"brand_id": ' || CAST(o_orderkey % 20 + 1 AS VARCHAR) || ', "total": '
               || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) || '}}' END AS body,
@@ -133,6 +155,8 @@ enriched AS (
   SELECT b.*, l.city AS city_name,
     CASE WHEN json_valid(body) THEN CAST(json_extract_string(body, '$.brand_id') AS INTEGER) END AS brand_id,
     CASE WHEN json_valid(body) THEN CAST(json_extract_string(body, '$.total') AS DOUBLE) END AS order_total,
+    CASE WHEN json_valid(body) THEN CAST(json_extract_string(body, '$.lat') AS DOUBLE) END AS latitude,
+    CASE WHEN json_valid(body) THEN json_extract_string(body, '$.driver_id') END AS driver_id,
     CAST(hour(event_timestamp) AS INTEGER) AS event_hour,
     CAST(dayofweek(event_timestamp) + 1 AS INTEGER) AS event_day_of_week,
     dayofweek(event_timestamp) IN (0, 6) AS is_weekend,

@@ -134,7 +134,7 @@ def rounding(spark, sf_dir):
 
 
 @query(
-    "F9 F18 P4 P8 P10",
+    "F9 F18 P4 P10",
     "SELECT event_id, 'loaded' AS source, true AS dated, true AS keyed FROM events",
 )
 def ingest_columns(spark, sf_dir):

@@ -22,9 +22,16 @@ def column_presence(df: DataFrame, required: list[str]) -> DataFrame:
     return tall.withColumn("present", ~F.col("column_name").isin(absent) if absent else F.lit(True))
 
 
-def null_ratios(df: DataFrame, tolerances: dict[str, float]) -> DataFrame:
-    """Share of NULLs per column against what is tolerated; an empty frame passes."""
-    shares = df.agg(*(F.avg(F.col(c).isNull().cast("int")).alias(c) for c in tolerances))
+def null_ratios(
+    df: DataFrame, tolerances: dict[str, float], only: dict[str, Column] | None = None
+) -> DataFrame:
+    """Share of NULLs per column against what is tolerated, in one pass; no rows at all pass.
+
+    `only` names, for a column, the rows it is asked of.
+    """
+    lacking = {c: F.col(c).isNull().cast("int") for c in tolerances}
+    lacking |= {c: F.when(rows, lacking[c]) for c, rows in (only or {}).items()}
+    shares = df.agg(*(F.avg(v).alias(c) for c, v in lacking.items()))
     allowed = reduce(
         lambda rest, item: rest.when(F.col("column_name") == item[0], item[1]), tolerances.items(), F
     )
@@ -53,34 +60,29 @@ def cardinalities(expected: dict[str, tuple[DataFrame, int]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+Bounds = tuple[float | None, float | None]
+
+
 def range_checks(
-    df: DataFrame, bounds: dict[str, tuple[float | None, float | None]], exclusive: tuple[str, ...] = ()
+    df: DataFrame, bounds: dict[str, Bounds], exclusive: tuple[str, ...] = (), means: dict[str, Bounds] | None = None
 ) -> DataFrame:
     """Least, greatest and mean value per column and whether they keep the bounds.
 
-    Bounds are inclusive, or exclusive for the columns named so. One pass over
-    the data; a column without values passes.
+    Bounds are inclusive, or exclusive for the columns named so; those on the mean are
+    exclusive. One pass over the data; a column without values passes.
     """
-    measures = [
-        agg(F.col(c).cast("double")).alias(f"{c}:{kind}")
-        for c in bounds
-        for kind, agg in (("lowest", F.min), ("highest", F.max), ("mean", F.avg))
-    ]
-    row = df.agg(*measures)
-    kinds = ("lowest", "highest", "mean")
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            *(F.col(f"`{c}:{k}`").alias(k) for k in kinds),
-            _within(c, low, high, c in exclusive).alias("passed"),
-        )
-        for c, (low, high) in bounds.items()
-    ]
+    kinds = {"lowest": F.min, "highest": F.max, "mean": F.avg}
+    row = df.agg(*(agg(F.col(c).cast("double")).alias(f"{c}:{kind}") for c in bounds for kind, agg in kinds.items()))
+    structs = []
+    for c, (low, high) in bounds.items():
+        value = {kind: F.col(f"`{c}:{kind}`") for kind in kinds}
+        kept = _between(value["lowest"], value["highest"], low, high, c in exclusive)
+        kept &= _between(value["mean"], value["mean"], *(means or {}).get(c, (None, None)), True)
+        structs.append(F.struct(F.lit(c).alias("column_name"), *(v.alias(k) for k, v in value.items()), kept.alias("passed")))
     return row.select(F.inline(F.array(*structs)))
 
 
-def _within(column: str, low: float | None, high: float | None, exclusive: bool) -> Column:
-    least, most = F.col(f"`{column}:lowest`"), F.col(f"`{column}:highest`")
+def _between(least: Column, most: Column, low: float | None, high: float | None, exclusive: bool) -> Column:
     verdicts = []
     if low is not None:
         verdicts.append(least > low if exclusive else least >= low)
@@ -100,16 +102,26 @@ def unknown_values(df: DataFrame, column: str, valid: list[str]) -> DataFrame:
     return df.select(column).distinct().exceptAll(known)
 
 
+def readable(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else; NULL for no text.
+
+    The parser stops after the first value. Inside a list and as a member of another
+    object the text must stand to its end.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"it": '), text, F.lit("}")))
+    kind = F.schema_of_variant(F.try_variant_get(member, "$.it", "variant"))
+    is_object = listed.isNotNull() & F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    return F.when(text.isNotNull(), is_object)
+
+
 def quarantine(events: DataFrame, text: str = "body") -> tuple[DataFrame, DataFrame]:
-    """Events with readable JSON, and those whose text is broken.
+    """Events with a readable body, and those whose body is broken.
 
-    The text is parsed once per row; the mark is the parser's own corrupt-record
-    column. Only the syntax decides: a field of an unexpected type, or no text at
-    all, is not broken.
+    Readable is a JSON object with nothing but white space around it; no body at all is
+    not broken, an empty one is.
     """
-    options = {"columnNameOfCorruptRecord": "broken"}
-    parsed = F.from_json(text, "brand_id string, broken string", options)
-    marked = events.withColumn("broken", F.coalesce(parsed["broken"].isNotNull(), F.lit(False)))
+    marked = events.withColumn("broken", F.coalesce(~readable(F.col(text)), F.lit(False)))
     return marked.where(~F.col("broken")).drop("broken"), marked.where("broken").drop("broken")
 
 
@@ -163,11 +175,13 @@ def profile(events: DataFrame) -> DataFrame:
     """Size and span of an event log: overall, by type and by known location.
 
     The log is read twice: once for a small table of counts, which all three
-    sections share, and once for the number of different orders.
+    sections share, and once for the number of different orders. Times are compared as
+    numbers and written out at the end.
     """
-    span = [F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")]
+    written = lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ss")
+    span = [written(F.min("first")).alias("first_ts"), written(F.max("last")).alias("last_ts")]
     cells = events.groupBy("event_type", "location_id").agg(
-        F.count("*").alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+        F.count("*").alias("events"), F.min("ts_seconds").alias("first"), F.max("ts_seconds").alias("last")
     )
     total = F.sum("events").alias("events")
     none = F.lit(None).cast("long").alias("orders")

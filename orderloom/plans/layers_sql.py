@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def create_as(spark: SparkSession, target: str, query: str, provider: str = "parquet") -> DataFrame:
-    """CREATE TABLE ... AS; replaces a table of that name."""
+    """CREATE TABLE ... AS; replaces a table of that name once the new one is complete."""
+    fresh = f"{target}_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {fresh} USING {provider} AS {query}")
     spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"CREATE TABLE {target} USING {provider} AS {query}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
     return spark.table(target)
 
 
@@ -27,29 +31,29 @@ def silver_sales(spark: SparkSession, bronze: str, target: str) -> DataFrame:
     )
 
 
+def _per_customer(source: str, total: str, moment: str, *more: str) -> str:
+    """Customers with their orders, revenue and time span. Names and order of the columns."""
+    columns = [
+        "customer_id",
+        "count(*) AS total_orders",
+        f"sum(total) AS {total}",
+        "avg(total) AS avg_order_value",
+        f"min({moment}) AS first_order",
+        f"max({moment}) AS last_order",
+        *more,
+    ]
+    return f"SELECT {', '.join(columns)} FROM {source} GROUP BY customer_id"
+
+
 def gold_customers(spark: SparkSession, silver: str, target: str) -> DataFrame:
     """Customers with revenue, time span and number of different products."""
-    return create_as(
-        spark,
-        target,
-        f"""SELECT customer_id, count(*) AS total_orders, sum(total) AS total_revenue,
-                   avg(total) AS avg_order_value, count(DISTINCT product_id) AS unique_products,
-                   min(order_timestamp) AS first_order, max(order_timestamp) AS last_order,
-                   current_timestamp() AS aggregated_at
-            FROM {silver} GROUP BY customer_id""",
-    )
+    more = ("count(DISTINCT product_id) AS unique_products", "current_timestamp() AS aggregated_at")
+    return create_as(spark, target, _per_customer(silver, "total_revenue", "order_timestamp", *more))
 
 
 def customer_summary(spark: SparkSession, orders: str, target: str) -> DataFrame:
     """Customers by order date, amounts as stored."""
-    return create_as(
-        spark,
-        target,
-        f"""SELECT customer_id, count(*) AS total_orders, sum(total) AS total_spent,
-                   avg(total) AS avg_order_value, min(order_date) AS first_order,
-                   max(order_date) AS last_order
-            FROM {orders} GROUP BY customer_id""",
-    )
+    return create_as(spark, target, _per_customer(orders, "total_spent", "order_date"))
 
 
 def insert_orders_from_raw(spark: SparkSession, raw: str, target: str) -> None:

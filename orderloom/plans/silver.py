@@ -11,6 +11,7 @@ from orderloom.operators.joins import lookup
 from orderloom.operators.rows import present
 from orderloom.schemas import BODY_COLUMNS, DURATIONS, MILESTONES, body_fields
 
+# The event columns that silver keeps.
 EVENT_COLUMNS = [
     "event_id", "event_type", "event_timestamp", "ts", "ts_seconds",
     "order_id", "location_id", "sequence", "body",

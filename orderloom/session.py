@@ -12,6 +12,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Percentile sketches of up to so many groups a task are kept by hash; beyond, they are sorted.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     # Split a hot join key even if the next operator then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -37,6 +37,30 @@ def test_quarantine_against_a_json_parser(spark):
     assert good.columns == bad.columns == ["id", "body"]
 
 
+def test_readable_is_one_object_and_nothing_else(spark):
+    fine = ['{}', ' {"a": 1}\n', '{"a": {"b": [1, "x, y"]}, "c": null}', '{"a": "} x"}']
+    broken = ["", " ", "null", "123", "[1]", '"text"', '{"a": 1} x', '{"a": 1}}', '{"a": 1}{"b": 2}', '{}, {}',
+              '{}], [{}', '{}, "z": {}', "{'a': 1}", '{"a": 1', '{a: 1}']
+    rows = spark.createDataFrame([(b,) for b in fine + broken], "body string")
+    good, bad = quality.quarantine(rows)
+    assert sorted(r.body for r in good.collect()) == sorted(fine)
+    assert sorted(r.body for r in bad.collect()) == sorted(broken)
+
+
+def test_bounds_on_the_mean(spark):
+    df = spark.sql("SELECT * FROM VALUES (1.0D), (19.0D) AS t(value)")
+    verdict = lambda *bound: quality.range_checks(df, {"value": (0, 20)}, means={"value": bound}).first().passed
+    assert verdict(9, 11) and verdict(None, 10.5) and not verdict(10, 11) and not verdict(None, 10)
+
+
+def test_null_ratios_of_some_rows(events):
+    created = F.col("event_type") == "order_created"
+    rows = quality.null_ratios(events, {"ts": 0.01, "body": 0.5}, only={"body": ~created}).collect()
+    assert [r.null_ratio for r in rows] == [0, 0]
+    late = quality.null_ratios(events, {"location_id": 0.5}, only={"location_id": F.col("event_id") == "B-1"}).first()
+    assert late.null_ratio == 1 and not late.passed
+
+
 def test_columns_present_and_filled(events):
     assert quality.missing_columns(events, ["event_id", "tip"]) == ["tip"]
     rows = {r.column_name: (r.filled, r.present) for r in quality.column_presence(events, ["event_id", "tip"]).collect()}

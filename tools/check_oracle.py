@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import argparse
 import math
+import shutil
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -77,7 +79,9 @@ def main() -> int:
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{args.sf}/{t}.parquet')")
+    shared = tempfile.mkdtemp(prefix="orderloom-check-")  # one machine: its disk is what all executors share
     spark = build_session(
+        spark__checkpoint__dir=f"{shared}/work", spark__sql__warehouse__dir=f"{shared}/warehouse",
         master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
     )
@@ -92,6 +96,8 @@ def main() -> int:
             verdict, took, n = f"ERROR {type(err).__name__}: {str(err)[:600]}", 0.0, 0
         bad += not verdict.startswith(("ok", "no sql"))
         print(f"{name:32s} {took:6.2f}s {n:7d}  {verdict}", flush=True)
+    spark.stop()
+    shutil.rmtree(shared, ignore_errors=True)
     print("failed:", bad)
     return 1 if bad else 0
 

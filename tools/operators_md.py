@@ -32,7 +32,7 @@ S15 streaming.runs.table_stream
 S16 tables.ddl.storage_matches
 S17 spark.sql
 K1 plans.medallion.Medallion.write
-K2 tables.ddl.append, tables.versions.VersionedTable.append
+K2 tables.ddl.append
 K3 tables.ddl.replace
 K4 plans.layers_sql.create_as
 K5 tables.ddl.insert_values
@@ -123,8 +123,8 @@ F17 round
 F18 uuid()
 T1 streaming.bronze.order_events
 T2 streaming.bronze.created_orders
-T3 streaming.windows.type_totals
-T4 streaming.windows.product_revenue
+T3 streaming.windows.type_totals, streaming.runs.update_files
+T4 streaming.windows.product_revenue, streaming.runs.update_files
 T5 streaming.windows.type_counts
 T6 streaming.windows.category_counts
 T7 streaming.bronze.sales, streaming.runs.append_to_table (partition_by=)
@@ -141,16 +141,16 @@ D5 tables.ddl.by_day, write_partitioned
 D6 tables.ddl.by_hour, write_partitioned
 D7 tables.ddl.describe, table_type
 D8 tables.ddl.add_column, operators.rows.add_columns
-D9 tables.versions.VersionedTable.update, operators.rows.set_where, tables.native.update
-D10 tables.versions.VersionedTable.delete, operators.rows.drop_where, tables.native.delete
-D11 tables.versions.VersionedTable.as_of_version, tables.native.as_of_version
-D12 tables.versions.VersionedTable.as_of_time, tables.native.as_of_time
-D13 tables.versions.VersionedTable.history, tables.native.metadata
+D9 operators.rows.set_where
+D10 operators.rows.drop_where
+D11 operators.changes.as_of_version
+D12 operators.changes.as_of_time
+D13 operators.changes.history
 D14 tables.maintenance.file_statistics, tables.native.metadata
 D15 tables.maintenance.partition_statistics, tables.native.metadata
-D16 tables.maintenance.compact, tables.native.compact
+D16 tables.maintenance.compact, compacted
 D17 tables.maintenance.compact_on_demand
-D18 tables.maintenance.expired_versions, tables.native.expire
+D18 operators.changes.squash
 D19 tables.maintenance.orphan_files, tables.native.remove_orphans
 G1 plans.declarative.define_medallion
 G2 plans.declarative.define_medallion (messages=)
@@ -164,7 +164,7 @@ Q4 operators.quality.cardinalities
 Q5 operators.quality.range_checks
 Q6 operators.quality.blank_ids
 Q7 operators.quality.reconcile
-Q8 operators.quality.quarantine
+Q8 operators.quality.readable, quarantine
 Q9 operators.quality.duplicates
 Q10 operators.running.behind_running_max
 Q11 operators.quality.null_profile
