@@ -229,7 +229,10 @@ def extract(html: str | None) -> str:
     if not content:
         return ""
     root = content_root(content, [len(t) for n, t in blocks if path(n) in chosen])
-    return "\n".join(t for n, t in blocks if any(x is root for x in ancestors(n)))
+    inside = [(n, t) for n, t in blocks if any(x is root for x in ancestors(n))]
+    if root.tag in ("", "html", "body"):  # no element holds the article alone: what is not of its kind goes
+        inside = [(n, t) for n, t in inside if path(n) in chosen or n.tag in HEADINGS]
+    return "\n".join(t for _, t in inside)
 
 
 def content_root(nodes: list[Node], sizes: list[int]) -> Node:

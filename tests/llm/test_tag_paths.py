@@ -56,6 +56,11 @@ def test_no_text(empty):
     assert tag_paths.extract(empty) == ""
 
 
+def test_paragraphs_without_a_holder():
+    menu = "<ul><li><a href='/'>Home</a></li><li><a href='/x'>Other</a></li></ul>"
+    assert tag_paths.extract(page(f"{menu}<h1>Title here</h1>{BODY}{menu}")) == f"Title here\n{TEXT}"
+
+
 def test_broken_and_deep_pages():
     assert tag_paths.extract("<div>" * 5000 + "deep, text. here" + "</div>" * 100) == "deep, text. here"
     assert tag_paths.extract("<article><p>cut, off. here &am") == "cut, off. here &am"
