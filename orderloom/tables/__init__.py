@@ -1 +1 @@
-"""Row-level changes, versions and maintenance of tables."""
+"""Tables: definitions, writes, and maintenance."""

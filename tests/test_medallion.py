@@ -58,6 +58,17 @@ def test_layers_agree(built):
     assert finished == counts["silver.order_lifecycle"]
 
 
+def test_created_orders_prune_the_scan_of_silver(built, spark, plan_text):
+    """Rows of a type lie together in each file, and the filter and few columns reach the scan."""
+    medallion, _ = built
+    stored = medallion.read("silver", "orders_enriched")
+    plan = plan_text(gold.created(stored).select(*gold.SALES_INPUTS))
+    assert "EqualTo(event_type,order_created)" in plan and "body" not in plan.split("ReadSchema")[-1]
+    for file in stored.inputFiles()[:3]:
+        types = [r.event_type for r in spark.read.parquet(file).select("event_type").collect()]
+        assert types == sorted(types)
+
+
 def test_validation_finds_a_missing_table_before_any_job(built, spark):
     medallion, _ = built
     validate(medallion.read("gold", "brand_summary"))
