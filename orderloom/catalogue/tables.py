@@ -399,11 +399,12 @@ def schema_evolution(spark, sf_dir):
 # --- statistics and maintenance ---------------------------------------------------
 
 
-def _small_files(spark, df, *partition_by: str) -> str:
-    """A folder in which the rows lie in more and smaller files than they need."""
+def _many_files(spark, df, key: str, *partition_by: str) -> str:
+    """A folder that six writers have appended to, each its share of the rows."""
     folder = work_area(spark, "files")
-    writer = df.write.option("maxRecordsPerFile", 5000)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    for share in range(6):
+        part = df.where(F.pmod(F.xxhash64(key), F.lit(6)) == share)
+        part.write.mode("append").partitionBy(*partition_by).parquet(folder)
     return folder
 
 
@@ -420,10 +421,10 @@ def file_statistics(spark, sf_dir):
 
 @query("D16", "SELECT l_returnflag, count(*) AS rows, true AS fewer_files FROM lineitem GROUP BY l_returnflag")
 def compaction(spark, sf_dir):
-    """A table partitioned by return flag, its files as large as a hundred thousand rows."""
+    """A table partitioned by return flag."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_returnflag")
-    folder = _small_files(spark, lines, "l_returnflag")
-    done = maintenance.compact(spark, folder, work_area(spark, "compacted"), target_bytes=1 << 20)
+    folder = _many_files(spark, lines, "l_orderkey", "l_returnflag")
+    done = maintenance.compact(spark, folder, work_area(spark, "compacted"))
     counts = maintenance.partition_statistics(maintenance.compacted(spark, done), "l_returnflag")
     return counts.withColumn("fewer_files", F.lit(done.files_after < done.files_before))
 
@@ -432,7 +433,7 @@ def compaction(spark, sf_dir):
 def compaction_on_demand(spark, sf_dir):
     """The rows and partitions stay what they were."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    folder = _small_files(spark, orders, "o_orderstatus")
+    folder = _many_files(spark, orders, "o_orderkey", "o_orderstatus")
     done = maintenance.compact_on_demand(spark, folder, work_area(spark, "compacted"), target_size_mb=64)
     return maintenance.partition_statistics(maintenance.compacted(spark, done), "o_orderstatus")
 

@@ -96,7 +96,8 @@ def compact(
     rows = spark.read.parquet(source).where(F.col("_metadata.file_size") < target_bytes * 3 // 4)
     rows = rows.withColumn("path", F.col("_metadata.file_path")).join(bins, "path").drop("path")
     tasks = max(1, math.ceil(counts["bytes"] / target_bytes))
-    each = math.ceil(1.1 * rows.count() * target_bytes / max(1, counts["bytes"]))  # bins may share a task
+    # a bin is a little over the target at most; where two share a task, the writer parts them
+    each = math.ceil(1.3 * rows.count() * target_bytes / max(1, counts["bytes"]))
     packed = rows.repartition(tasks, *names, "bin").drop("bin").write.option("maxRecordsPerFile", each)
     (packed.partitionBy(*names) if names else packed).parquet(target)
     written = listing(spark, target).count()
