@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import orderloom
@@ -43,6 +44,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """At most `rows` rows, the same each time: those with the smallest hash of `key`.
+
+    The count first, so that few rows beyond the asked ones are sorted, however large the table.
+    """
+    share = min(1.0, (1.2 * rows + 100) / max(1, df.count()))
+    near = df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else df
+    return near.orderBy(F.xxhash64(key), key).limit(rows)
+
+
 def with_columns(df: DataFrame, ddl: str) -> StructType:
     """The schema of a table and further columns."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import with_columns
+from orderloom.llm.common import hash_sample, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
@@ -293,9 +293,12 @@ def load(raw: bytes) -> dict:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> dict:
-    """Train in one task on a bounded sample: texts that hold a trigger, chosen by hash."""
-    chosen = docs.filter(F.col("text").rlike(TRIGGER.pattern)).select(F.substring("text", 1, 20000).alias("text"))
-    chosen = chosen.orderBy(F.xxhash64("text"), "text").limit(sample)
+    """Train in one task on a bounded sample of texts that hold a trigger, chosen by hash.
+
+    Of a text in the sample the first 20,000 characters train the model; finding reads all of it.
+    """
+    rows = docs.filter(F.col("text").rlike(TRIGGER.pattern))
+    chosen = hash_sample(rows, sample, "doc_id").select(F.substring("text", 1, 20000).alias("text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for b in batches for t in b.column("text").to_pylist()]
