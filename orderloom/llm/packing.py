@@ -28,9 +28,9 @@ WINDOW = 2048
 PIECE = 512  # rests are cut to this, so that windows come out near equal
 GROUP = 64  # windows that one group fills
 END = 1
-PARTS_KEPT = 600_000  # encodings that a worker keeps; beyond, it starts anew
+PARTS_KEPT = 200_000  # encodings that a worker keeps; beyond, it starts anew
 JOINED = 2000  # words that are encoded as one text
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 _SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # ASCII, without the apostrophe of contractions
 
 SCHEMA = (

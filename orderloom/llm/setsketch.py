@@ -34,23 +34,31 @@ TOP = 2200  # registers lie in 0..TOP
 HOPELESS = 0.6  # estimates have a standard error of 0.034 at 0.75
 BLOCK = 1024  # classes of a bucket, or texts of a component, that one task compares at once
 FEW = 4  # partners that are verified as pairs; more are verified together
-CACHE = 500_000
+CACHE = 100_000
 
 _RNG = np.random.default_rng(20)
 _ODD = _RNG.integers(1, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MORE = _RNG.integers(1, 2**63, REGISTERS, dtype=np.uint64)
 _K = np.uint64(0x9E3779B97F4A7C15)
-_hashes: dict[bytes, int] = {}
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > CACHE:
-        _hashes.clear()
-    for w in set(words).difference(_hashes):
-        _hashes[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
+class Hashes(dict):
+    """Hashes of words, kept for the words a task meets often; beyond `CACHE` it starts anew."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_hashes = Hashes()
+
+
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     """Sorted 64-bit values of the distinct shingles; a shorter text is one as a whole."""
     h = word_hashes(text.translate(LOWER).split())

@@ -18,16 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import LOWER, stored, utf8, with_columns
+from orderloom.llm.common import LOWER, hash_sample, slices, stored, utf8, with_columns
 
-SAMPLE = 20_000  # labelled rows that train the classifier
+SAMPLE = 12_000  # labelled rows that train the classifier
 BUCKETS = 1 << 20
 SHAPE = 40  # of the features, the last: shares of character kinds
 HEADS = ("good", "toxic")
 ROUNDS, RATE, DECAY = 200, 0.1, 5e-5
 RARE = 3  # words in fewer sample documents carry no weight
 WEAKEST, STRONGEST = 2.0, 1000.0  # prior strength, in documents
-REJECT = 0.5
+GOOD, TOXIC = 0.5, 0.5  # kept from the one on, and below the other
+BATCH_BYTES = 8 << 20
 
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _EDGE = _SIGNS.translate(LOWER)
@@ -37,7 +38,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashed distinct words (whole text), and shares of characters and of signs."""
     words = {w.strip(_EDGE) for w in text.translate(LOWER).split()}
     words.discard(b"")
-    hashed = np.fromiter((zlib.crc32(w) % BUCKETS for w in words), np.int64, len(words))
+    hashed = np.fromiter((zlib.crc32(w) % BUCKETS for w in words), np.int32, len(words))
     raw = np.frombuffer(text, np.uint8)
     kinds = np.bincount(raw, minlength=256)
     n = max(1, len(raw))
@@ -50,23 +51,22 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(hashed), shape * 4
 
 
-def train(texts: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
-    """Logistic weights, a column per head, by full-batch gradient descent with momentum."""
+def train(found: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> dict[str, np.ndarray]:
+    """Logistic weights, a column per head, from the features of labelled texts, by full-batch Adam."""
     w = np.zeros((BUCKETS + SHAPE, 2))
     base = np.clip(y.mean(0), 1e-3, 1 - 1e-3) if len(y) else np.array([0.5, 0.5])
     bias = np.log(base / (1 - base))
     rate = bias.copy()
     if not len(y):
         return {"w": w, "bias": bias, "rate": rate}
-    found = [features(t) for t in texts]
-    doc = np.repeat(np.arange(len(found)), [len(f) for f, _ in found])
+    doc = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f, _ in found])
     at = np.concatenate([f for f, _ in found])
     df = np.bincount(at, minlength=BUCKETS)
     shape = np.array([s for _, s in found])
     limit = 3 + 0.75 * np.log10(len(y))  # more documents, more words that deviate by chance
     for h in range(2):
         # words whose share of the class deviates from the base rate beyond chance
-        share = np.bincount(at, y[doc, h], BUCKETS) - df * base[h]
+        share = np.bincount(at, y[:, h][doc], BUCKETS) - df * base[h]
         telling = np.abs(share) / np.sqrt(np.maximum(df, 1) * base[h] * (1 - base[h]))
         kept = np.flatnonzero((df >= RARE) & (telling >= limit))
         place = np.full(BUCKETS, -1)
@@ -97,16 +97,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str, n
     """Train in one task on at most `sample` labelled documents, chosen by hash."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max("quality").alias("good"), F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "good", "toxic")  # at most `sample` rows
+    known = hash_sample(known, sample, "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most `sample` rows
+    rows = rows.groupBy("doc_id", "good", "toxic").agg(F.max("text").alias("text"))  # however often an id repeats
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, y = [], []
+        found, y = [], []
         for b in batches:
-            texts += utf8(b.column("text"))
+            found += [features(t) for part in slices(b, "text", BATCH_BYTES) for t in utf8(part.column("text"))]
             y += zip(b.column("good").to_pylist(), b.column("toxic").to_pylist(), strict=True)
         out = io.BytesIO()
-        np.savez_compressed(out, **train(texts, np.array(y, float).reshape(-1, 2)))
+        np.savez_compressed(out, **train(found, np.array(y, float).reshape(-1, 2)))
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["model"])
 
     row = rows.orderBy(F.xxhash64("text")).coalesce(1).mapInArrow(task, "model binary").first()
@@ -122,7 +123,7 @@ def weighed(docs: DataFrame, model: dict, host: str, path: str) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             e = np.array([evidence(m, t) for t in utf8(b.column("text"))]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("host"), b.column("path"), pa.array(e[:, 0]), pa.array(e[:, 1])],
@@ -200,7 +201,7 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     for h in HEADS:
         out = out.withColumn(f"{h}_posterior", logistic(F.col(f"{h}_llr") + logit(F.col(f"{h}_prior"))))
     trained = bool(np.abs(model["w"]).max() > 0)
-    kept = (F.col("good_posterior") >= REJECT) & (F.col("toxic_posterior") < REJECT) if trained else F.lit(True)
+    kept = (F.col("good_posterior") >= GOOD) & (F.col("toxic_posterior") < TOXIC) if trained else F.lit(True)
     return out.withColumn("kept", kept)
 
 
@@ -225,5 +226,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: st
     again = weighed(whole, model, "h", "p").join(priors, ["host", "path"])
     for h in HEADS:
         again = again.withColumn(f"{h}_posterior", logistic(F.col(f"{h}_llr") + logit(F.col(f"{h}_prior"))))
-    again = again.filter((F.col("good_posterior") >= REJECT) & (F.col("toxic_posterior") < REJECT))
+    again = again.filter((F.col("good_posterior") >= GOOD) & (F.col("toxic_posterior") < TOXIC))
     return again.select(*[F.col(f"doc_id.`{c}`").alias(c) for c in names])
