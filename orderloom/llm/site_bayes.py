@@ -24,10 +24,10 @@ SAMPLE = 12_000  # labelled rows that train the classifier
 BUCKETS = 1 << 20
 SHAPE = 40  # of the features, the last: shares of character kinds
 HEADS = ("good", "toxic")
-ROUNDS, RATE, DECAY = 200, 0.1, 5e-5
+ROUNDS, RATE, DECAY = 200, 0.1, 1e-5
 RARE = 3  # words in fewer sample documents carry no weight
 WEAKEST, STRONGEST = 2.0, 1000.0  # prior strength, in documents
-GOOD, TOXIC = 0.5, 0.5  # kept from the one on, and below the other
+GOOD, TOXIC = 0.5, 0.3  # kept from the one on, and below the other
 BATCH_BYTES = 8 << 20
 
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
