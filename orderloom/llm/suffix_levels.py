@@ -22,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import binaries, mix64, stored, utf8, with_columns
+from orderloom.llm.common import binaries, mix64, slices, stored, utf8, with_columns
 
 LENGTH = 200
 GRAM = 50
 CHUNK = 1 << 20  # bytes hashed at once; positions in it take 20 bits
+BATCH_BYTES = 4 << 20  # of texts that a task holds as Python objects
 
 _TABLE = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -226,7 +227,7 @@ def matcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and their runs to the bytes of each run."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
         rows, texts, found = batch.column("row").to_pylist(), utf8(batch.column("text")), batch.column("runs").to_pylist()
         out = [(r, x, t[x["start"] : x["start"] + x["size"]]) for r, t, f in zip(rows, texts, found, strict=True) for x in f]
         yield pa.RecordBatch.from_arrays(
@@ -281,9 +282,10 @@ def prober(length: int):
 def remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and intervals to the bytes that stay and the merged runs that go."""
     spans_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
         kept, spans = [], []
-        for text, found in zip(utf8(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
+        texts = utf8(batch.column("text"))
+        for text, found in zip(texts, batch.column("spans").to_pylist(), strict=True):
             merged: list[list[int]] = []
             for s, e in sorted((x["s"], x["e"]) for x in found or ()):
                 if merged and s <= merged[-1][1]:
@@ -294,7 +296,7 @@ def remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(b"".join(text[a:b] for a, b in zip(at[::2], at[1::2], strict=True)))
             spans.append([{"s": s, "e": e} for s, e in merged])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(t) for t in utf8(batch.column("text"))], pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary())],
+            [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary())],
             ["doc_id", "n_bytes", "spans", "kept"],
         )
 
