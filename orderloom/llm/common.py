@@ -37,9 +37,15 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: lineage ends here."""
+def stored(df: DataFrame, purpose: str, narrow: bool = False) -> DataFrame:
+    """Write a table to the shared folder and read it again: lineage ends here.
+
+    A `narrow` table, of ids and numbers only, is written by two tasks per core at most:
+    what would be many tiny files otherwise.
+    """
     path = work_area(df.sparkSession, purpose)
+    if narrow:
+        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -268,7 +268,7 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star steps by turns: each halves the depth, and none gathers a
     component in one task; the edges of each round are stored.
     """
-    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges")
+    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges", narrow=True)
     while True:
         # large star: larger neighbours link to the smallest of the neighbourhood
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -277,7 +277,7 @@ def components(links: DataFrame) -> DataFrame:
         # small star: smaller neighbours and the node itself link to the smallest
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("lo"), F.explode(F.array("a", "b")).alias("hi"))
-        new = stored(small.filter("lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct(), "edges")
+        new = stored(small.filter("lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct(), "edges", narrow=True)
         same = new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         was = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         edges = new
@@ -323,12 +323,12 @@ def link_classes(sets: DataFrame, docs: DataFrame, words: int, percent: int, hop
     used = members.select("id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(used, "id", "left_semi")
     texts = stored(texts.groupBy("id").agg(F.max("text").alias("text")), "texts")
-    links = stored(confirm(stars, texts, words, percent), "links")
+    links = stored(confirm(stars, texts, words, percent), "links", narrow=True)
 
-    part = stored(components(links), "components")
+    part = stored(components(links), "components", narrow=True)
     member = members.join(part, "id", "left").withColumn("component", F.coalesce("component", "id"))
     # a bucket in one component has nothing left to find
-    sizes = stored(member.groupBy("band", "component").agg(F.count("*").alias("size")), "bucket-parts")
+    sizes = stored(member.groupBy("band", "component").agg(F.count("*").alias("size")), "bucket-parts", narrow=True)
     split = sizes.groupBy("band").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("main")).filter("parts > 1")
     left = member.join(split.select("band", F.col("main.component").alias("main")), "band").join(regs, "id")
     left = left.withColumn("apart", F.col("component") != F.col("main"))
@@ -339,10 +339,10 @@ def link_classes(sets: DataFrame, docs: DataFrame, words: int, percent: int, hop
     columns = ["band", "block", "id", "n_shingles", "component", "registers"]
     grouped = each.select(*columns, F.lit(False).alias("apart")).unionByName(again.select(*columns, F.lit(True).alias("apart")))
     more = grouped.groupBy("band", "block").applyInArrow(comparer(hopeless, FEW), "a long, b long, crowd boolean")
-    more = stored(more.distinct(), "candidates")
+    more = stored(more.distinct(), "candidates", narrow=True)
     pairs = confirm(more.filter("NOT crowd").select("a", "b"), texts, words, percent)
     crowds = more.filter("crowd").select(F.col("a").alias("id"), F.col("b").alias("crowd"))
-    return links.unionByName(stored(pairs, "links")).unionByName(stored(confirm_crowds(crowds, part, texts, words, percent), "links"))
+    return links.unionByName(stored(pairs, "links", narrow=True)).unionByName(stored(confirm_crowds(crowds, part, texts, words, percent), "links", narrow=True))
 
 
 def confirm_crowds(crowds: DataFrame, part: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -386,7 +386,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that `near_duplicates` keeps; columns as given. Of rows that repeat id and text one stays."""
     names = docs.columns
     kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
-    kept = stored(kept, "kept")
+    kept = stored(kept, "kept", narrow=True)
     pick = lambda ids: docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
     several = kept.filter("rows > 1")
     out = pick(kept)
