@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from orderloom.catalogue import fixture
 from orderloom.catalogue.fixture import BRONZE_SQL, DIMS_CTE, EVENTS_CTE, LIFECYCLE_SQL, SILVER_SQL
-from orderloom.catalogue.medallion import enriched
 from orderloom.catalogue.registry import doubles, mean_of_cents, money, query, sum_of_cents, table
 from orderloom.functions.payload import as_message
 from orderloom.operators.joins import lookup, missing_keys, shuffle_join
