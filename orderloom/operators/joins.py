@@ -2,45 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's upper estimate of a frame's size; None where it is not exposed."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def byte_setting(spark: SparkSession, key: str) -> int:
-    """A size option in bytes, whether given as a number or with a unit."""
-    setting = spark.conf.get(key).lower().strip()
-    number = setting.rstrip("bkmgt")
-    unit = setting.removeprefix(number)[:1]
-    return int(number) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(unit, 1)
-
-
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast only for a side whose estimate is within the limit.
-
-    The session's own threshold is the limit unless one is given; below zero it
-    turns broadcasts off.
-    A larger or unknown side keeps no hint: it is joined by shuffle, where AQE
-    splits the partitions a hot key fills.
-    """
-    size = estimated_bytes(df)
-    if limit is None:
-        limit = byte_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
-    return F.broadcast(df) if size is not None and size <= limit else df
-
-
 def lookup(
     facts: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "left"
 ) -> DataFrame:
-    """Facts extended by a dimension; the facts are not shuffled while it is small."""
-    return facts.join(broadcast_if_small(dim), on=on, how=how)
+    """Facts extended by a dimension.
+
+    The session's thresholds decide, by the planner's estimate and again by the size at run
+    time, whether the dimension is broadcast; beyond them AQE splits the partitions of a
+    shuffle join that a hot key fills.
+    """
+    return facts.join(dim, on=on, how=how)
 
 
 def shuffle_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import pytest
-
 from orderloom.operators import joins
 
 
@@ -23,27 +21,6 @@ def test_lookup_broadcasts_only_below_the_limit(spark, conf, plan_text):
     assert len(small) == 200  # NULL and unknown keys are kept
 
 
-def test_estimate_follows_the_files(spark, tmp_path):
-    spark.range(100000).write.parquet(str(tmp_path / "t"))
-    stored = joins.estimated_bytes(spark.read.parquet(str(tmp_path / "t")))
-    on_disk = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
-    assert stored == pytest.approx(on_disk, rel=0.1)
-
-
-def test_hint_follows_the_estimate(spark, conf):
-    frame = spark.range(1000)
-    size = joins.estimated_bytes(frame)
-    for limit, hinted in ((size, True), (size - 1, False), (-1, False)):
-        plan = joins.broadcast_if_small(frame, limit)._jdf.queryExecution().logical().toString()
-        assert ("broadcast" in plan) is hinted
-
-
-def test_limit_reads_units_and_off(spark, conf):
-    for text, size in (("1024", 1024), ("2k", 2048), ("3MB", 3 << 20), ("1g", 1 << 30), ("-1", -1)):
-        conf("spark.sql.autoBroadcastJoinThreshold", text)
-        assert joins.byte_setting(spark, "spark.sql.autoBroadcastJoinThreshold") == size
-
-
 def test_shuffle_join_is_sort_merge(spark, plan_text):
     facts, dim = tables(spark)
     joined = joins.shuffle_join(facts, dim, "k")

@@ -68,7 +68,7 @@ J1 operators.joins.lookup
 J2 plans.gold.brand_summary
 J3 plans.gold.brand_orders_by_path
 J4 operators.joins.shuffle_join
-J5 operators.joins.lookup (how="inner")
+J5 operators.joins.lookup
 J6 operators.joins.missing_keys
 A1 plans.gold.hourly_metrics
 A2 plans.gold.delivery_performance
