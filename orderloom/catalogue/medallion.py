@@ -173,8 +173,8 @@ def busiest_hours(spark, sf_dir):
 @query(
     "A17 O4",
     f"""{LIFECYCLE_SQL} SELECT city_name, CAST(sum(completed_orders) AS BIGINT) AS total_orders,
-      round(avg(avg_total_time_min), 1) AS avg_time_min,
-      round(avg(p95_total_time_min), 1) AS p95_time_min
+      CAST(round(CAST(avg(avg_total_time_min) AS DECIMAL(18,6)), 1) AS DOUBLE) AS avg_time_min,
+      CAST(round(CAST(avg(p95_total_time_min) AS DECIMAL(18,6)), 1) AS DOUBLE) AS p95_time_min
     FROM ({DELIVERY_SQL}) GROUP BY city_name""",
 )
 def delivery_by_city(spark, sf_dir):
