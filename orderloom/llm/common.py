@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -50,6 +51,22 @@ def stored(df: DataFrame, purpose: str, narrow: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def frugal(task):
+    """A task that gives its memory back when it ends: Python workers outlive their tasks."""
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def hash_sample(df: DataFrame, rows: int, key: str) -> DataFrame:
     """At most `rows` rows, the same each time: those with the smallest hash of `key`.
 

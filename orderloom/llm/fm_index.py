@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import slices, utf8, with_columns
+from orderloom.llm.common import frugal, slices, utf8, with_columns
 
 WINDOW = 10
 SAMPLE = 16
@@ -279,7 +279,7 @@ def locate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sample:
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         phrases = Phrases([(r["item"], r["text"]) for r in block.collect()], window)
-        out = out.mapInArrow(searcher(spark.sparkContext.broadcast(phrases), sample), out.schema)
+        out = out.mapInArrow(frugal(searcher(spark.sparkContext.broadcast(phrases), sample)), out.schema)
     return out
 
 
@@ -325,6 +325,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
             yield out.filter(pa.array([not g for g in gone], pa.bool_()))
 
     schema = with_columns(found.select("doc_id", "text"), "cut boolean")
-    rest = found.select("doc_id", "text", "spans").mapInArrow(cut, schema)
+    rest = found.select("doc_id", "text", "spans").mapInArrow(frugal(cut), schema)
     value = lambda c: F.col("text") if c == "text" else F.when(F.col("cut"), F.length("text").cast("long")).otherwise(F.col("doc_id.n_chars")) if c == "n_chars" else F.col(f"doc_id.`{c}`")
     return rest.select(*[value(c).alias(c) for c in names])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.common import binaries, slices
+from orderloom.llm.common import binaries, frugal, slices
 
 WINDOW = 2048
 PIECE = 512  # rests are cut to this, so that windows come out near equal
@@ -30,7 +30,7 @@ GROUP = 64  # windows that one group fills
 END = 1
 PARTS_KEPT = 200_000  # encodings that a worker keeps; beyond, it starts anew
 JOINED = 2000  # words that are encoded as one text
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 _SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # ASCII, without the apostrophe of contractions
 
 SCHEMA = (
@@ -249,5 +249,5 @@ def pack_documents(
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        packer(path, capacity, piece, group), SCHEMA
+        frugal(packer(path, capacity, piece, group)), SCHEMA
     )

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import hash_sample, with_columns
+from orderloom.llm.common import frugal, hash_sample, slices, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
@@ -26,6 +26,7 @@ HIDDEN, EMBED = 16, 12
 SAMPLE_DOCS = 400  # documents whose text and base spans train the model
 STEPS, BATCH, RATE = 380, 48, 0.012
 WINDOWS = 2400  # with written forms put in, at least
+BATCH_BYTES = 4 << 20  # of texts that are searched at once
 SURE = 0.8  # least mean posterior of a span's tags
 TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 
@@ -304,7 +305,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> dict:
         texts = [t for b in batches for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([save(train(labelled(texts), steps))], pa.binary())], ["weights"])
 
-    row = chosen.coalesce(1).mapInArrow(task, "weights binary").first()
+    row = chosen.coalesce(1).mapInArrow(frugal(task), "weights binary").first()
     return load(row["weights"]) if row else initial()
 
 
@@ -400,7 +401,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 def finder(broadcast):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = broadcast.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             base = [base_spans(t) for t in texts]
             model = decode(w, texts)
@@ -421,7 +422,7 @@ def find(docs: DataFrame, weights: dict | None = None) -> DataFrame:
     w = weights if weights is not None else fit(docs)
     rows = docs.select("doc_id", "text")
     schema = with_columns(rows, "base string, spans string")
-    return rows.mapInArrow(finder(docs.sparkSession.sparkContext.broadcast(w)), schema)
+    return rows.mapInArrow(frugal(finder(docs.sparkSession.sparkContext.broadcast(w))), schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -456,6 +457,6 @@ def masked(docs: DataFrame, weights: dict | None = None) -> DataFrame:
                 [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array([bool(s) for s in spans], pa.bool_())], ["doc_id", "text", "changed"]
             )
 
-    rest = found.select("doc_id", "text", "spans").mapInArrow(task, with_columns(found.select("doc_id", "text"), "changed boolean"))
+    rest = found.select("doc_id", "text", "spans").mapInArrow(frugal(task), with_columns(found.select("doc_id", "text"), "changed boolean"))
     value = lambda c: F.col("text") if c == "text" else F.when(F.col("changed"), F.length("text").cast("long")).otherwise(F.col("doc_id.n_chars")) if c == "n_chars" else F.col(f"doc_id.`{c}`")
     return rest.select(*[value(c).alias(c) for c in names])

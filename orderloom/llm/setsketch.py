@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import LOWER, mix64, stored, utf8
+from orderloom.llm.common import LOWER, frugal, mix64, slices, stored, utf8
 
 WORDS = 5
 PERCENT = 75
@@ -35,6 +35,7 @@ HOPELESS = 0.57  # estimates have a standard error of 0.034 at 0.75: more than f
 BLOCK = 1024  # classes of a bucket, or texts of a component, that one task compares at once
 FEW = 4  # partners that are verified as pairs; more are verified together
 CACHE = 100_000
+BATCH_BYTES = 4 << 20
 
 _RNG = np.random.default_rng(20)
 _ODD = _RNG.integers(1, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -134,7 +135,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 def sketcher(words: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             n, keys, regs, band = [], [], [], []
             for t in utf8(batch.column("text")):
                 s = shingles(t, words)
@@ -293,14 +294,14 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(verifier(words, percent), "a long, b long")
+    return rows.mapInArrow(frugal(verifier(words, percent)), "a long, b long")
 
 
 def classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     """Per document its set's key; per distinct set its smallest id, sketch and bands."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_shingles long, set_key binary, registers binary, bands array<long>"
-    found = stored(rows.mapInArrow(sketcher(words), schema), "sketches")
+    found = stored(rows.mapInArrow(frugal(sketcher(words)), schema), "sketches")
     own = found.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     first = own.groupBy("set_key").agg(F.min("doc_id").alias("id"))
     kept = own.join(first.withColumnRenamed("id", "doc_id"), ["set_key", "doc_id"]).select(

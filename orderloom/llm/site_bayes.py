@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import LOWER, hash_sample, slices, stored, utf8, with_columns
+from orderloom.llm.common import LOWER, frugal, hash_sample, slices, stored, utf8, with_columns
 
 SAMPLE = 12_000  # labelled rows that train the classifier
 BUCKETS = 1 << 20
@@ -28,7 +28,7 @@ ROUNDS, RATE, DECAY = 200, 0.1, 1e-5
 RARE = 3  # words in fewer sample documents carry no weight
 WEAKEST, STRONGEST = 2.0, 1000.0  # prior strength, in documents
 GOOD, TOXIC = 0.5, 0.3  # kept from the one on, and below the other
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _EDGE = _SIGNS.translate(LOWER)
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str, n
         np.savez_compressed(out, **train(found, np.array(y, float).reshape(-1, 2)))
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["model"])
 
-    row = rows.orderBy(F.xxhash64("text")).coalesce(1).mapInArrow(task, "model binary").first()
+    row = rows.orderBy(F.xxhash64("text")).coalesce(1).mapInArrow(frugal(task), "model binary").first()
     if not row:
         return train([], np.zeros((0, 2)))
     with np.load(io.BytesIO(row["model"])) as z:
@@ -135,7 +135,7 @@ def weighed(docs: DataFrame, model: dict, host: str, path: str) -> DataFrame:
         F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), "text",
     )
     schema = with_columns(rows.drop("text"), "good_llr double, toxic_llr double")
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(frugal(task), schema)
 
 
 def logit(p: Column) -> Column:
