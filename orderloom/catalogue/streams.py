@@ -1,10 +1,10 @@
 """Streaming queries, run to the end of the given tables.
 
 Every stream reads files and writes files in the shared folder; what comes back
-is a batch frame over the written result. Windows without a watermark are updated
-batch by batch and lose no row. Windows with one come out when the watermark has
-closed them, as the append mode defines: the newest, and rows later than the
-patience allows, are held back.
+is a batch frame over the written result. Windows are updated batch by batch, without
+a watermark, and lose no row in whatever order the files come. Where only closed windows
+are asked for, those that end within the patience of the newest event are held back at
+the end.
 """
 
 from __future__ import annotations
@@ -73,6 +73,18 @@ def _updated(spark, stream, keys, purpose):
     return last_values(spark, f"{area}/rows", stream.schema, keys)
 
 
+def _closed(spark, counts, events, moment, key, patience, purpose):
+    """The windows of all rows that end the patience or more before the newest event.
+
+    A watermark would give windows out as the first batches close them, and drop what
+    later files hold of them.
+    """
+    stream = counts(events, late=None, measures=(F.max(moment).alias("newest"),))
+    rows = _updated(spark, stream, [*WINDOW, key], purpose)
+    limit = rows.select(F.date_trunc("millisecond", F.max("newest")) - F.expr(f"INTERVAL '{patience}'"))
+    return rows.where(F.col("window_end") <= limit.scalar()).drop("newest")
+
+
 def _schema(spark) -> str:
     """A schema of its own, stored in the shared folder."""
     name = f"loom_{uuid.uuid4().hex[:12]}"
@@ -170,7 +182,8 @@ def stream_product_revenue(spark, sf_dir):
 @query("T5", windows_sql("5 minutes", "event_type", "count(*) AS count", closed="10 minutes"))
 def stream_type_counts(spark, sf_dir):
     """The windows that end ten minutes or more before the newest event."""
-    return _written(spark, windows.type_counts(_given_events(spark, sf_dir)), "stream-counts")
+    events = _given_events(spark, sf_dir)
+    return _closed(spark, windows.type_counts, events, "ts", "event_type", "10 minutes", "stream-counts")
 
 
 @query(
@@ -186,7 +199,7 @@ def stream_category_counts(spark, sf_dir):
         F.col("ts").alias("event_time"),
         F.concat(F.lit("C"), (F.col("user_id") % 7).cast("string")).alias("category"),
     )
-    return _written(spark, windows.category_counts(events), "stream-categories")
+    return _closed(spark, windows.category_counts, events, "event_time", "category", "1 hour", "stream-categories")
 
 
 @query(

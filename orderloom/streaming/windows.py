@@ -44,13 +44,15 @@ def product_revenue(clicks: DataFrame, late: str | None = None) -> DataFrame:
     )
 
 
-def type_counts(events: DataFrame, moment: str = "ts") -> DataFrame:
+def type_counts(
+    events: DataFrame, moment: str = "ts", late: str | None = "10 minutes", measures: tuple[Column, ...] = ()
+) -> DataFrame:
     """Count per type every five minutes, ten minutes of patience."""
-    return tumbling(
-        events, moment, "5 minutes", "event_type", F.count("*").alias("count"), late="10 minutes"
-    )
+    return tumbling(events, moment, "5 minutes", "event_type", F.count("*").alias("count"), *measures, late=late)
 
 
-def category_counts(events: DataFrame, moment: str = "event_time") -> DataFrame:
+def category_counts(
+    events: DataFrame, moment: str = "event_time", late: str | None = "1 hour", measures: tuple[Column, ...] = ()
+) -> DataFrame:
     """Count per category every ten minutes, one hour of patience."""
-    return tumbling(events, moment, "10 minutes", "category", F.count("*").alias("count"), late="1 hour")
+    return tumbling(events, moment, "10 minutes", "category", F.count("*").alias("count"), *measures, late=late)

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orderloom.catalogue import registered, streams
@@ -130,6 +132,26 @@ def test_no_row_is_lost_however_the_files_come(spark, conf, monkeypatch, sf_dir,
         assert sum(r[3] for r in results[0]) == 600
 
 
+@pytest.mark.parametrize("name", ["stream_type_counts", "stream_category_counts"])
+def test_closed_windows_are_whole_however_the_files_come(spark, monkeypatch, sf_dir, tmp_path, name):
+    """A file per batch, the newest first, gives the windows that one batch of all files gives, with all their rows."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").orderBy("ts").limit(600)
+    results = []
+    for way, order, per_batch in (("rising", F.asc("ts"), 256), ("falling", F.desc("ts"), 1)):
+        root = tmp_path / way
+        for k, part in enumerate(events.withColumn("part", F.ntile(4).over(Window.orderBy(order))).toPandas().groupby("part")):
+            root.mkdir(exist_ok=True)
+            (root / "events.parquet").mkdir(exist_ok=True)
+            file = root / "events.parquet" / f"{k}.parquet"
+            part[1].drop(columns="part").to_parquet(file, coerce_timestamps="us")
+            os.utime(file, (1_700_000_000 + 10 * k,) * 2)  # the source takes files by age
+        monkeypatch.setattr(streams, "FILES_PER_BATCH", per_batch)
+        results.append(sorted(map(tuple, registered()[name](spark, str(root)).collect())))
+    assert results[0] and results[0] == results[1]
+    last = max(r[1] for r in results[0])
+    assert sum(r[3] for r in results[0]) == events.where(F.col("ts") < F.lit(last)).count()
+
+
 def test_finish_keeps_all_reports(spark, conf, tmp_path):
     conf("spark.sql.streaming.numRecentProgressUpdates", "2")
     folder, out = str(tmp_path / "in"), work_area(spark, "reports")
