@@ -5,6 +5,8 @@ punctuation are summed and set against the number of its nodes; both ratios are
 over the order of first appearance, fused, and paths at or above a threshold give the
 content nodes. The blocks of the part of the page that holds most of them are given out,
 but for what the page itself marks as something else (menus, forms, adverts and so on).
+A form, or a class or id, may wrap the article itself: where most content has such a mark
+around it, the mark is lifted.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ HIDDEN = frozenset(
     " head title meta link datalist map dialog".split()
 )
 APART = frozenset("nav footer aside form menu fieldset".split())
+WRAPS = frozenset("form fieldset".split())  # of those, what may stand around a whole page
 MAIN = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset(
@@ -63,31 +66,36 @@ DEPTH = 400  # deeper elements join their ancestor at this depth
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "apart", "holds_main", "main")
+    __slots__ = ("tag", "parent", "depth", "apart", "names", "holds_main", "main")
 
-    def __init__(self, tag: str, parent: Node | None, marked: bool) -> None:
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Node | None, marked: int, names: tuple[str, ...] = ()) -> None:
+        self.tag, self.parent, self.names = tag, parent, names
         self.depth = parent.depth + 1 if parent else 0
         self.apart, self.holds_main = marked, False
         self.main = tag in MAIN
 
 
-def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element says of itself that it is not part of the article."""
-    if tag in HIDDEN or tag in APART:
-        return True
+NAMED, SURE = 1, 2  # marks that may be lifted, and those that stay
+
+
+def marked(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """Whether an element says of itself that it is not part of the article: 0, NAMED or SURE."""
+    if tag in HIDDEN or tag in APART and tag not in WRAPS:
+        return SURE
+    found = NAMED if tag in WRAPS else 0
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return SURE
         if not value:
             continue
         if name == "role" and value.strip().lower() in ROLES:
-            return True
+            if tag not in WRAPS or value.strip().lower() != "form":
+                return SURE
         if name in ("class", "id") and tag not in ("html", "body") and any(w.lower() in NAMES for w in WORDS.split(value)):
-            return True
+            found = NAMED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return SURE
+    return found
 
 
 class Reader(HTMLParser):
@@ -95,7 +103,7 @@ class Reader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.top = Node("", None, False)
+        self.top = Node("", None, 0)
         self.open = [self.top]
         self.blocks: list[tuple[Node, list[str]]] = []
         self.fresh = True
@@ -118,7 +126,7 @@ class Reader(HTMLParser):
         is_marked = marked(tag, attrs)
         if inline and not is_marked or len(self.open) > DEPTH:
             return
-        node = Node(tag, self.open[-1], is_marked)
+        node = Node(tag, self.open[-1], is_marked, tuple(v for a, v in attrs if a == "class" and v) if is_marked else ())
         self.open.append(node)
         if node.main:
             up = node.parent
@@ -173,6 +181,48 @@ def outside(node: Node) -> bool:
     return any(x.apart and not x.holds_main and not x.main for x in ancestors(node)) or in_header(node)
 
 
+def lift(blocks: list[tuple[Node, str]]) -> None:
+    """Take the mark from what wraps the article: the most content, by tag paths, has it as its innermost mark.
+
+    It must hold more than half of what would be left with it, and the first content from the
+    headline on, as comments don't; or nine tenths. Alike marked elements beside it go with it.
+    """
+    def mark(node: Node) -> Node | None:
+        return next((x for x in ancestors(node) if x.apart and not x.holds_main and not x.main), None)
+
+    kept = [
+        (n, t) for n, t in blocks
+        if not in_header(n) and not any(x.apart == SURE and not x.holds_main and not x.main for x in ancestors(n))
+    ]
+    marks = [mark(n) for n, _ in kept]
+    if not any(marks):
+        return
+    by_id = {id(m): m for m in marks if m}
+    groups: dict[int, list[int]] = {}
+    for k, m in enumerate(marks):
+        groups.setdefault(id(m) if m else 0, []).append(k)
+    content: list[int] = []
+    held: dict[int, int] = {}
+    for name, group in groups.items():  # each by its own ratios, or long comments would hide a short article
+        chosen = content_paths([kept[k] for k in group])
+        own = [k for k in group if kept[k][0].tag not in HEADINGS and path(kept[k][0]) in chosen]
+        held[name] = sum(len(kept[k][1]) for k in own)
+        content += own
+    free = held.pop(0, 0)
+    in_main = any(any(x.main for x in ancestors(kept[k][0])) for k in content if not marks[k])
+    most = max(held, key=held.__getitem__)
+    wrap, size = by_id[most], held[most]
+    if in_main and not any(x.main for x in ancestors(wrap)):
+        return
+    headline = next((k for k, (n, _) in enumerate(kept) if any(x.tag == "h1" for x in ancestors(n))), None)
+    first = headline is not None and next((marks[k] is wrap for k in sorted(content) if k > headline), False)
+    if size > 9 * free or first and size > free:
+        alike = [x for x in by_id.values() if x.parent is wrap.parent and x.tag == wrap.tag and x.names == wrap.names]
+        for x in [*ancestors(wrap), *alike]:
+            if x.apart == NAMED:
+                x.apart = 0
+
+
 def smooth(x: np.ndarray) -> np.ndarray:
     if len(x) < 3:
         return x
@@ -223,15 +273,18 @@ def extract(html: str | None) -> str:
     except (AssertionError, RecursionError):  # the parser gives up on some broken declarations
         pass
     blocks = [(n, SPACE.sub(" ", "".join(t)).strip()) for n, t in reader.blocks]
-    blocks = [(n, t) for n, t in blocks if t and not outside(n)]
+    blocks = [(n, t) for n, t in blocks if t]
+    lift(blocks)
+    blocks = [(n, t) for n, t in blocks if not outside(n)]
     chosen = content_paths(blocks)
     content = [n for n, t in blocks if path(n) in chosen]
     if not content:
         return ""
     root = content_root(content, [len(t) for n, t in blocks if path(n) in chosen])
     inside = [(n, t) for n, t in blocks if any(x is root for x in ancestors(n))]
-    if root.tag in ("", "html", "body"):  # no element holds the article alone: what is not of its kind goes
-        inside = [(n, t) for n, t in inside if path(n) in chosen or n.tag in HEADINGS]
+    if root.tag in ("", "html", "body"):  # no element holds the article alone: it goes from its first content to its last
+        at = [k for k, (n, _) in enumerate(inside) if path(n) in chosen]
+        inside = [(n, t) for k, (n, t) in enumerate(inside) if at[0] <= k <= at[-1] or n.tag in HEADINGS]
     return "\n".join(t for _, t in inside)
 
 

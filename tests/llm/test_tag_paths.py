@@ -61,6 +61,43 @@ def test_paragraphs_without_a_holder():
     assert tag_paths.extract(page(f"{menu}<h1>Title here</h1>{BODY}{menu}")) == f"Title here\n{TEXT}"
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<form id='aspnetForm'>", "<form role='form'>", "<div class='content has-sidebar'>", "<div class='no-header'>",
+        "<div class='entry share-enabled'>", "<div id='page-form'>", "<form><div class='no-header'>", "<article><div class='entry share-enabled'>",
+    ],
+)
+@pytest.mark.parametrize("headline", ["inside", "before", ""])
+def test_a_mark_around_the_article_is_lifted(wrap, headline):
+    """Also beside a longer footer and longer comments; marks inside the wrapper stay."""
+    close = "".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", wrap)))
+    title = "<h1>Title here</h1>"
+    comments = f"<section class='comments'>{'<div class=comment><p>Nice, article. I, liked, it.</p></div>' * 40}</section>"
+    inside = f"{title if headline == 'inside' else ''}{BODY}{comments}"
+    got = tag_paths.extract(page(f"{title if headline == 'before' else ''}{wrap}{inside}{close}", "<nav>Menu, one</nav>", f"<footer><p>{'Foot, foot. ' * 99}</p></footer>"))
+    assert got.removeprefix("Title here\n") == TEXT
+
+
+def test_alike_wrappers_are_lifted_together():
+    parts = [f"<div class='section no-header'><p>{t}</p></div>" for t in TEXT.split("\n")]
+    assert tag_paths.extract(page("".join(parts))) == TEXT
+
+
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_long_comments_stay_out(holder):
+    comments = f"<section class='comments'><p>{'Nice, article. I, liked, it. ' * 100}</p></section>"
+    assert tag_paths.extract(page(f"<article><h1>T</h1>{BODY}</article>{comments}")) == f"T\n{TEXT}"
+    few = f"<section class='comments'><p>{'Nice, article. I, liked, it. ' * 40}</p></section>"
+    assert tag_paths.extract(page(f"<{holder}><h1>T</h1>{BODY}{few}</{holder}>")) == f"T\n{TEXT}"
+
+
+def test_lists_quotes_and_tables_of_a_flat_page():
+    menu = "<ul><li><a href='/'>Home</a></li></ul>"
+    parts = "<ul><li>one</li><li>two</li></ul><blockquote>said</blockquote><table><tr><td>cell</td></tr></table><pre>code</pre>"
+    assert tag_paths.extract(page(f"{menu}<h1>Title</h1>{BODY}{parts}{BODY}{menu}")) == f"Title\n{TEXT}\none\ntwo\nsaid\ncell\ncode\n{TEXT}"
+
+
 def test_broken_and_deep_pages():
     assert tag_paths.extract("<div>" * 5000 + "deep, text. here" + "</div>" * 100) == "deep, text. here"
     assert tag_paths.extract("<article><p>cut, off. here &am") == "cut, off. here &am"
