@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import class_lm, fm_index, norm_topk, packing, pii_crf, setsketch, site_bayes, slots, suffix_levels, tag_paths
+from orderloom.llm import (
+    class_lm,
+    fm_index,
+    norm_topk,
+    packing,
+    periodic_runs,
+    pii_crf,
+    setsketch,
+    site_bayes,
+    slots,
+    suffix_levels,
+    tag_paths,
+)
 from orderloom.llm.common import ship
 from orderloom.llm.sql import SQL
 from orderloom.session import apply_engine_conf
@@ -78,6 +90,12 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = periodic_runs.with_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.collapse(texts))
+
+
 def registered() -> dict[str, Plan]:
     return dict(QUERIES)
 
