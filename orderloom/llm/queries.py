@@ -18,6 +18,7 @@ from orderloom.llm import (
     site_bayes,
     slots,
     suffix_levels,
+    swap_packing,
     tag_paths,
 )
 from orderloom.llm.common import ship
@@ -90,6 +91,13 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_swap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = swap_packing.pieces(table(spark, sf_dir, "documents"))
+    checked = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return swap_packing.packed(checked)
+
+
 @query
 def op13_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = periodic_runs.with_repeats(table(spark, sf_dir, "documents"))
