@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import (
     class_lm,
+    feast_whitening,
     fm_index,
     norm_topk,
     packing,
@@ -91,6 +92,11 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_feast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feast_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_swap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = swap_packing.pieces(table(spark, sf_dir, "documents"))
