@@ -116,6 +116,16 @@ def binaries(data: bytes | np.ndarray, ends: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
+
+    Bytes that print stand for themselves, the others for the characters from 256 on.
+    """
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = sorted(set(range(256)).difference(prints))
+    return {chr(b): b for b in prints} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

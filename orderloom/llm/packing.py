@@ -11,27 +11,37 @@ more and differences again.
 from __future__ import annotations
 
 import heapq
+import json
+import re
 from collections.abc import Iterator
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.common import binaries, frugal, slices
+from orderloom.llm.common import binaries, byte_of, frugal, slices
 
 WINDOW = 2048
 PIECE = 512  # rests are cut to this, so that windows come out near equal
 GROUP = 64  # windows that one group fills
 END = 1
-PARTS_KEPT = 200_000  # encodings that a worker keeps; beyond, it starts anew
-JOINED = 2000  # words that are encoded as one text
+WORDS_KEPT = 400_000  # encodings that a worker keeps; beyond, it starts anew
+JOINED = 2000  # words that go to the tokenizer at once
 BATCH_BYTES = 3 << 20
-_SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # ASCII, without the apostrophe of contractions
+LAST = b"\xff"
+# Fixed value: the pattern of word groups that the vocabulary file names.
+FILE_GROUPS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# ASCII and the accented Latin letters whose lower case is one letter of the same range, and their groups.
+PLAIN = re.compile("[!-~À-ÖØ-öø-įĲ-ž]+")
+GROUPS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -42,63 +52,71 @@ class Encoder:
     """Token ids of texts, a word at a time.
 
     The tokenizer normalises and splits within white space only, so the ids of a text
-    are those of its words one after the other. Signs that follow an ASCII letter are a
-    token group of their own, so a word with signs at its end is two parts, and ASCII
-    parts are the same in either case. Each part is encoded once per worker.
+    are those of its words one after the other. Each word is encoded once per worker. Words of
+    ASCII and accented Latin letters fall into groups by one pattern, and the merges of a
+    group run over ranks; any other word, and one that holds an added token, goes to the
+    tokenizer itself.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.parts = Table()
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, parts: list[str]) -> None:
-        """Words of letters only are one group each: many go in one text and part at the ends."""
-        new = list(set(parts).difference(self.parts.place))
-        plain = [k for k, t in enumerate(new) if t.isalpha()]
-        order, sizes, flat = [], [], []
-        for s in range(0, len(plain), JOINED):
-            some = plain[s : s + JOINED]
-            ids = np.array(self.ids([" ".join([new[k] for k in some])])[0], np.uint32)
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(some):
-                order += some
-                sizes.append(np.diff(ends, prepend=0))
-                flat.append(ids)
-        rest = sorted(set(range(len(new))).difference(order))
-        found = self.ids([new[k] for k in rest])
-        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        flat.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
-        self.parts.add([new[k] for k in order + rest], np.concatenate(sizes), np.concatenate(flat))
+        file = json.loads(Path(path).read_text())
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in file["added_tokens"]) or "(?!)").search
+        self.merges = self._ranked(file)
+        self.words = Table()
+
+    @staticmethod
+    def _ranked(file: dict) -> tiktoken.Encoding | None:
+        """Merges as ranks of byte strings; a word's last symbol carries the byte 255, which no text holds.
+
+        Only where the file names the very groups of `GROUPS` and lists merges in the order of their ids.
+        """
+        model, added = file["model"], {t["content"] for t in file["added_tokens"]}
+        patterns = [p["pattern"].get("Regex") for p in (file["pre_tokenizer"] or {}).get("pretokenizers", []) if "pattern" in p]
+        steps = [n["type"] for n in (file["normalizer"] or {}).get("normalizers", [])]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        order = [model["vocab"][a + b] for a, b in pairs]
+        if patterns != [FILE_GROUPS] or steps != ["NFC", "Replace", "Lowercase"] or order != sorted(order):
+            return None
+        byte, end = byte_of(), model["end_of_word_suffix"]
+        ranks = {}
+        for token, i in model["vocab"].items():
+            if token not in added:
+                last = token.endswith(end)
+                ranks[bytes(byte[c] for c in (token.removesuffix(end) if last else token)) + LAST * last] = i
+        return tiktoken.Encoding("ranked", pat_str=".+", mergeable_ranks=ranks, special_tokens={})
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words that are not known yet, and keep them."""
+        ids: list[list[int] | None] = [None] * len(words)
+        merge = self.merges._core_bpe.encode_single_piece if self.merges else None
+        rest = []
+        for k, word in enumerate(words):
+            if merge and PLAIN.fullmatch(word) and not self.added(word):
+                groups = GROUPS.findall(word.lower())
+                ids[k] = merge(groups[0].encode() + LAST)
+                for g in groups[1:]:
+                    ids[k] += merge(g.encode() + LAST)
+            else:
+                rest.append(k)
+        for s in range(0, len(rest), JOINED):
+            some = rest[s : s + JOINED]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([words[k] for k in some], add_special_tokens=False), strict=True):
+                ids[k] = e.ids
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.words.add(words, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and the end id; null is the empty text."""
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary
-        cores = pc.ascii_rtrim(words, characters=_SIGNS)
-        cores = pc.if_else(pc.match_substring_regex(cores, "[A-Za-z]$"), cores, words)
-        cut = pc.not_equal(pc.binary_length(words), pc.binary_length(cores)).to_numpy(zero_copy_only=False)
-        tails = [w[len(c) :] for w, c in zip(words.filter(cut).to_pylist(), cores.filter(cut).to_pylist(), strict=True)]
-        cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores).dictionary_encode()
-        names = cores.dictionary.to_pylist()
-        if len(self.parts.place) > PARTS_KEPT:
-            self.parts = Table()
-        self.learn([*names, *tails, ""])
-        place = self.parts.place
-        at = np.full((len(words), 2), place[""], np.int64)
-        at[:, 0] = np.fromiter(map(place.__getitem__, names), np.int64, len(names))[cores.indices.to_numpy()]
-        at[cut, 1] = np.fromiter(map(place.__getitem__, tails), np.int64, len(tails))
-        sizes, flat = self.parts.gather(at.ravel())
-        whole = Table()
-        whole.add([], sizes.reshape(-1, 2).sum(1), flat)
-        sizes, flat = whole.gather(coded.indices.to_numpy())
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.words.place) > WORDS_KEPT:
+            self.words = Table()
+        place = self.words.place
+        self.learn([w for w in words if w not in place])
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        sizes, flat = self.words.gather(at[coded.indices.to_numpy()])
         counts = np.asarray(pc.list_value_length(split))
         bounds = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
         end = np.array([END], np.uint32)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.common import binaries, frugal, slices, stored, with_columns
+from orderloom.llm.common import binaries, byte_of, frugal, slices, stored, with_columns
 
 WINDOW = 2048
 GROUP = 1024  # windows that one group fills
@@ -66,9 +66,7 @@ class Encoder:
         )
         if not plain:
             return None
-        # bytes that print stand for themselves, the others for the characters from 256 on
-        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte = {chr(b): b for b in prints} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)).difference(prints)))}
+        byte = byte_of()
         special = {t["content"]: t["id"] for t in added}
         ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]

@@ -15,9 +15,7 @@ from tokenizers import Tokenizer
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def ids_of(tokenizer, text):
@@ -69,7 +67,7 @@ def test_given_documents(spark, sf_dir, table, tokenizer):
 
 
 def test_odd_rows(docs_of, odd_texts, tokenizer):
-    rows = [*odd_texts, (9, "<|endoftext|> x"), (10, "é ́x Å\x1c\x1f\x85 　 Σ ς \U0001f600"), (11, "don't we'll I'D 123abc,,,  ...")]
+    rows = [*odd_texts, (9, "<|endoftext|> x"), (12, "hello <|endoftext|> world<|startoftext|>,a<|endoftext|>b <|ENDOFTEXT|> <|endoftext|"), (10, "é ́x Å\x1c\x1f\x85 　 Σ ς \U0001f600"), (11, "don't we'll I'D 123abc,,,  ...")]
     for split in (1, 4):
         round_trip(packing.pack_documents(docs_of(rows, split)).collect(), rows, tokenizer)
     assert packing.pack_documents(docs_of(rows).limit(0)).collect() == []
@@ -89,6 +87,33 @@ def test_words_encode_as_texts_do(text):
     assert e.encode(pa.array([text]))[0].tolist() == ids_of(e.tokenizer, text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", " ", "Ab", "'s", "1", "é", "...", "\xa0", "İ"]), max_size=9))
+def test_added_tokens_are_those_of_the_library(parts):
+    e = packing.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert e.encode(pa.array(["".join(parts)]))[0].tolist() == ids_of(e.tokenizer, "".join(parts))
+
+
+def test_every_letter_of_the_plain_pattern(tokenizer):
+    """The words that take the short way: each of their characters, and every word of the vocabulary."""
+    e = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(33, 0x250) if packing.PLAIN.fullmatch(chr(c))]
+    words = [x for c in letters for x in (c, f"a{c}b", f"{c}{c}1{c}", f"'{c}", f"s'{c}e")] + [t.removesuffix("</w>") for t in tokenizer.get_vocab()]
+    words = [w for w in dict.fromkeys(words) if w]
+    assert sum(bool(packing.PLAIN.fullmatch(w)) for w in words) > 0.9 * len(words)
+    for s in range(0, len(words), 5000):
+        got = e.encode(pa.array(words[s : s + 5000]))
+        want = tokenizer.encode_batch_fast(words[s : s + 5000], add_special_tokens=False)
+        assert [x[:-1].tolist() for x in got] == [x.ids for x in want]
+
+
+def test_words_beyond_those_kept(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_KEPT", 3)
+    e = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ("one two three four", "four five", "one six seven eight five", ""):
+        assert e.encode(pa.array([text]))[0].tolist() == ids_of(tokenizer, text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 2048), min_size=1, max_size=80))
 def test_windows_hold_everything_once(sizes):
