@@ -14,6 +14,12 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Percentile sketches of up to so many groups a task are kept by hash; beyond, they are sorted.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # The older format of timestamps has no statistics, so a reader of a span of time would skip nothing.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Streaming state lies in RocksDB, within one bound per executor, and is saved as changes: it may outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Split a hot join key even if the next operator then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

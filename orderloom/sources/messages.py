@@ -1,11 +1,15 @@
 """Message logs: key, value, timestamp.
 
 A job takes its reader as an argument, so the same code runs on a Kafka topic
-and on a parquet folder holding the same three columns.
+and on a parquet folder holding the same three columns. Positions in a folder are
+message times: its files are written in the order of time, so that a reader of a range
+skips the files and row groups outside of it.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -50,13 +54,52 @@ def topic_batch(
     return spark.read.format("kafka").options(**topic_options(servers, topic, start, end)).load()
 
 
+def append_messages(messages: DataFrame, path: str) -> None:
+    """Put messages into a topic's folder, in the order of their time within and between the files.
+
+    The key and value, which come next in the order, let a crowded moment span several files.
+    """
+    ranged = messages.repartitionByRange("timestamp", F.xxhash64("key", "value"))
+    ranged.sortWithinPartitions("timestamp").write.mode("append").parquet(path)
+
+
+def between(messages: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Messages from a position on and before another one; None is the earliest, or the latest.
+
+    For batches and streams. Both bounds reach the scan. A stream that is started again must
+    be given the start that it was first given: what arrived in between counts.
+    """
+    moment = F.col("timestamp")
+    if start is not None:
+        messages = messages.where(moment >= F.lit(start))
+    return messages if end is None else messages.where(moment < F.lit(end))
+
+
+def folder_batch(spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """A topic's folder between two positions."""
+    return between(spark.read.schema(MESSAGE_FIELDS).parquet(path), start, end)
+
+
+def latest_position(spark: SparkSession, path: str) -> datetime | None:
+    """The time just after the newest message: where a reader begins that wants only what comes now.
+
+    Reads the times only. None for an empty folder.
+    """
+    newest = spark.read.schema(MESSAGE_FIELDS).parquet(path).agg(F.max("timestamp"))
+    return newest.select(F.timestamp_add("MICROSECOND", F.lit(1), F.col(newest.columns[0]))).first()[0]
+
+
 def folder_stream(
-    spark: SparkSession, path: str, schema: str | StructType = MESSAGE_FIELDS, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType = MESSAGE_FIELDS,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """A parquet file, or a folder of them, as a stream.
 
     The source takes a single file only as the match of a pattern, so the path is made
-    one that matches itself and nothing else.
+    one that matches itself and nothing else. A file that was seen and is gone by the time
+    its batch comes is passed over, as a topic is read without `failOnDataLoss`.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:

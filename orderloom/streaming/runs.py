@@ -7,8 +7,9 @@ last run ended, so a file sink holds every row once.
 from __future__ import annotations
 
 import time
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -80,7 +81,7 @@ def finish(query: StreamingQuery, seconds: float | None = None, every: float = 0
     itself keeps only the last ones. An error of the query is raised here.
     """
     deadline = None if seconds is None else time.monotonic() + seconds
-    reports: dict[int, dict] = {}
+    reports: dict[int, dict] = {}  # by batch
     while True:
         ended = query.awaitTermination(every)
         reports |= {p["batch"]: p for p in progress(query)}
@@ -94,13 +95,51 @@ def finish(query: StreamingQuery, seconds: float | None = None, every: float = 0
 
 
 def progress(query: StreamingQuery) -> list[dict]:
-    """The reports that the query still keeps."""
+    """The reports that the query still keeps: batch, rows read, time, watermark, state, and what `measured` asked for."""
     return [
-        {"batch": p["batchId"], "rows": p["numInputRows"], "at": p["timestamp"]}
+        {
+            "batch": p["batchId"],
+            "rows": p["numInputRows"],
+            "at": p["timestamp"],
+            "watermark": (p.get("eventTime") or {}).get("watermark"),
+            "state_rows": sum(s["numRowsTotal"] for s in p["stateOperators"]),
+            "state_removed": sum(s["numRowsRemoved"] for s in p["stateOperators"]),
+            "late_rows": sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"]),
+            "measures": {k: v for row in (p.get("observedMetrics") or {}).values() for k, v in row.asDict().items()},
+        }
         for p in query.recentProgress
     ]
 
 
+def measured(stream: DataFrame, name: str, **measures: Column) -> DataFrame:
+    """A stream whose progress reports carry these aggregates of each batch: computed as the rows go by, by no job of their own."""
+    return stream.observe(name, *(c.alias(k) for k, c in measures.items()))
+
+
+def append_progress(spark: SparkSession, reports: Iterable[dict], measures: str, path: str) -> None:
+    """Add the reports of a run to a table of progress, the measures as columns of the given types.
+
+    A few numbers per batch, all that a query gives its driver.
+    """
+    head = "batch long, rows long, at string, watermark string, state_rows long, state_removed long, late_rows long"
+    schema = StructType.fromDDL(f"{head}, {measures}")
+    flat = [r | r["measures"] for r in reports]
+    rows = [tuple(r.get(f.name) for f in schema.fields) for r in flat]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def drain(query: StreamingQuery) -> list[dict]:
+    """Let a query with an interval take all that has arrived, stop it between batches, and return its reports."""
+    query.processAllAvailable()
+    query.stop()
+    return progress(query)
+
+
+def open_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a stateful query keeps after its last batch, a row per key: key and value as structs."""
+    return spark.read.format("statestore").load(checkpoint).select("key", "value")
+
+
 def watch(query: StreamingQuery, seconds: float, every: float = 1.0) -> list[dict]:
     """Follow a running query for a while, then stop it."""
     return finish(query, seconds, every)

@@ -17,13 +17,11 @@ ROOT = Path(__file__).resolve().parent.parent
 # Operators that read no given table; the tests of this folder cover them.
 TESTED_ELSEWHERE = {
     "S11": "test_streaming",  # rate source
-    "S9": "test_sources",  # a topic read as a batch needs the Kafka jar
     "S13": "test_tables",  # in-memory rows
     "S17": "test_sources",  # SELECT without FROM
     "K11": "test_streaming",  # console, update mode
     "K12": "test_streaming",  # console, append mode
     "K14": "test_sources",  # show, printSchema, explain
-    "T12": "test_streaming",  # bounded run and progress
     "G1": "test_medallion",
     "G2": "test_medallion",
     "G3": "test_medallion",

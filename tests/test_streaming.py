@@ -14,13 +14,17 @@ from orderloom.functions.payload import as_message
 from orderloom.functions.times import iso_timestamp, tolerant_timestamp
 from orderloom.operators.quality import repeated_ids
 from orderloom.session import work_area
-from orderloom.sources.messages import as_text, folder_stream
+from orderloom.sources.messages import append_messages, as_text, between, folder_batch, folder_stream, latest_position
 from orderloom.sources.synthetic import click_events, rate_stream, sale_events
 from orderloom.streaming import bronze, windows
 from orderloom.streaming.runs import (
+    append_progress,
     append_to_files,
     append_to_table,
+    drain,
     finish,
+    measured,
+    open_state,
     progress,
     table_stream,
     to_console,
@@ -75,14 +79,14 @@ def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
 
     def run():
         stream = windows.category_counts(folder_stream(spark, files(folder), schema))
-        finish(append_to_files(stream, f"{out}/rows", f"{out}/checkpoint"))
+        return sum(r["late_rows"] for r in finish(append_to_files(stream, f"{out}/rows", f"{out}/checkpoint")))
 
     put(spark, folder, "a", ticks(0, 30, 599, 600), schema)
-    run()
+    assert run() == 0
     put(spark, folder, "b", ticks(7200, 10), schema)  # within the hour before the watermark moves
-    run()
+    assert run() == 0
     put(spark, folder, "c", ticks(20, 7300), schema)  # the first window is closed by now
-    run()
+    assert run() == 1
     got = {(r.window_start, r.window_end): r["count"] for r in spark.read.parquet(f"{out}/rows").collect()}
     ten = timedelta(minutes=10)
     assert got == {(BEGIN, BEGIN + ten): 4, (BEGIN + ten, BEGIN + 2 * ten): 1}
@@ -152,6 +156,153 @@ def test_closed_windows_are_whole_however_the_files_come(spark, monkeypatch, sf_
     assert sum(r[3] for r in results[0]) == events.where(F.col("ts") < F.lit(last)).count()
 
 
+def test_state_stays_bounded_over_many_batches(spark, tmp_path):
+    """Twelve hours, one a batch: closed windows come out and leave the state, which never holds more than the patience spans."""
+    folder, out = str(tmp_path / "in"), work_area(spark, "bounded")
+    schema = "ts timestamp, event_type string"
+    left, removed = [], 0
+    for hour in range(12):
+        rows = [(BEGIN + timedelta(hours=hour, seconds=97 * i), kind) for i in range(37) for kind in ("click", "view")]
+        put(spark, folder, f"h{hour:02d}", rows, schema)
+        stream = windows.type_counts(folder_stream(spark, files(folder), schema, files_per_batch=1))
+        reports = finish(append_to_files(stream, f"{out}/rows", f"{out}/checkpoint"))
+        left.append(open_state(spark, f"{out}/checkpoint").count())
+        removed += sum(r["state_removed"] for r in reports)
+        assert reports[-1]["state_rows"] == left[-1] and sum(r["late_rows"] for r in reports) == 0
+    # ten minutes of patience and the window of the newest row: three windows of two types at most
+    assert max(left) <= 6 and len(set(left)) == 1
+    closed = spark.read.parquet(f"{out}/rows")
+    assert closed.count() == removed == 12 * 12 * 2 - left[-1]
+    # what came out is what one batch over everything says of these windows
+    whole = windows.type_counts(spark.read.schema(schema).parquet(files(folder)), late=None)
+    assert closed.exceptAll(whole).count() == 0
+    keys = open_state(spark, f"{out}/checkpoint").select("key.window.start", "key.window.end", "key.event_type", "value.count")
+    assert whole.exceptAll(closed).exceptAll(keys).count() == 0
+
+
+def test_state_lies_in_rocksdb(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), work_area(spark, "rocks")
+    schema = "ts timestamp, event_type string"
+    put(spark, folder, "a", ticks(0, 400), schema)
+    query = append_to_files(windows.type_counts(folder_stream(spark, files(folder), schema)), f"{out}/rows", f"{out}/checkpoint")
+    finish(query)
+    assert any(k.startswith("rocksdb") for k in query.lastProgress["stateOperators"][0]["customMetrics"])
+
+
+def message_rows(n, step=60):
+    return [(f"k{i % 7}".encode(), f"v{i}".encode(), BEGIN + timedelta(seconds=step * i)) for i in range(n)]
+
+
+def test_positions_of_a_batch(spark, conf, tmp_path):
+    """From a position on, before another; None is the earliest or the latest; a crowded moment spans files."""
+    conf("spark.sql.adaptive.enabled", "false")  # all shuffle partitions become files
+    folder = str(tmp_path / "topic")
+    rows = [*message_rows(400), *[(b"hot", str(i).encode(), BEGIN + timedelta(seconds=6000)) for i in range(4000)]]
+    append_messages(spark.createDataFrame(rows, "key binary, value binary, timestamp timestamp").repartition(3), folder)
+    at = lambda s: BEGIN + timedelta(seconds=s)
+    read = lambda *span: folder_batch(spark, folder, *span)
+    assert read().count() == 4400
+    assert read(at(6000), at(6060)).count() == 4001 and read(at(6000), at(6000)).count() == 0
+    assert read(None, at(6000)).count() == 100 and read(at(6001)).count() == 299
+    assert read(at(0), at(1)).select("value").collect()[0].value == b"v0"
+    assert latest_position(spark, folder) == at(399 * 60) + timedelta(microseconds=1)
+    crowded = spark.read.parquet(folder).where("key = 'hot'").select("_metadata.file_path").distinct()
+    assert crowded.count() > 1
+    # files lie apart in time: each begins where another ends
+    spans = sorted(map(tuple, spark.read.parquet(folder).groupBy("_metadata.file_path").agg(F.min("timestamp"), F.max("timestamp")).drop("file_path").collect()))
+    assert len(spans) == 4 and all(a[1] <= b[0] for a, b in zip(spans[:-1], spans[1:], strict=True))
+
+
+def test_a_range_reads_its_row_groups_only(spark, plan_text, tmp_path):
+    folder = str(tmp_path / "topic")
+    spark.range(200_000).selectExpr(
+        "cast(string(id) AS binary) AS key", "cast(sha2(string(id), 512) AS binary) AS value", "timestamp_seconds(1700000000 + id) AS timestamp"
+    ).sortWithinPartitions("timestamp").coalesce(1).sortWithinPartitions("timestamp").write.option("parquet.block.size", 1 << 20).parquet(folder)
+    start = datetime(2023, 11, 15)
+    part = folder_batch(spark, folder, start, start + timedelta(minutes=30))
+    plan = plan_text(part)
+    assert "GreaterThanOrEqual(timestamp" in plan and "LessThan(timestamp" in plan
+    plan = part._jdf.queryExecution().executedPlan()
+    assert part.count() == 1800
+    plan.executeCollect()
+    read = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+    assert 1800 <= read < 60_000  # of 200,000
+
+
+def test_positions_of_a_stream(spark, tmp_path):
+    """A reader from the latest position gets nothing that was there before it, one from the earliest all, also when started again."""
+    folder = str(tmp_path / "topic")
+    schema = "key binary, value binary, timestamp timestamp"
+    rows = message_rows(90)
+    append_messages(spark.createDataFrame(rows[:30], schema), folder)
+    start = latest_position(spark, folder)
+    seen = {}
+    for name, position in (("earliest", None), ("latest", start)):
+        out = work_area(spark, name)
+        for k in range(1, 4):
+            if name == "earliest" and k > 1:
+                append_messages(spark.createDataFrame(rows[30 * (k - 1) : 30 * k], schema), folder)
+            stream = between(folder_stream(spark, folder, files_per_batch=2), position)
+            finish(append_to_files(stream, f"{out}/rows", f"{out}/checkpoint"))
+            seen[name, k] = spark.read.schema(schema).parquet(f"{out}/rows").count()
+    assert [seen["earliest", k] for k in (1, 2, 3)] == [30, 60, 90]
+    assert seen["latest", 3] == 60
+    empty = str(tmp_path / "empty")
+    append_messages(spark.createDataFrame([], schema), empty)
+    assert latest_position(spark, empty) is None
+
+
+def test_files_that_are_gone(spark, tmp_path):
+    """A file that vanishes between its listing and its batch is passed over, the others are not."""
+    folder = tmp_path / "in"
+    for n in range(3):
+        put(spark, str(folder), f"f{n}", [(n, BEGIN)], "event_id long, ts timestamp")
+        for file in (folder / f"f{n}").glob("*.parquet"):
+            os.utime(file, (1_700_000_000 + 10 * n,) * 2)
+    seen = []
+
+    def take(rows, batch):
+        seen.extend(r.event_id for r in rows.collect())
+        for file in (folder / "f1").glob("*"):
+            file.unlink()
+
+    stream = folder_stream(spark, files(str(folder)), "event_id long, ts timestamp", files_per_batch=1)
+    finish(stream.writeStream.foreachBatch(take).option("checkpointLocation", work_area(spark, "gone")).trigger(availableNow=True).start())
+    assert seen == [0, 2]
+
+
+def test_progress_carries_measures_and_is_kept(spark, tmp_path):
+    """By the second, stopped, gone on: every row is in one report, and the reports make a table."""
+    folder, out = str(tmp_path / "in"), work_area(spark, "measured")
+    schema = "event_id long, ts timestamp"
+    kept = f"{out}/progress"
+
+    def run():
+        stream = folder_stream(spark, files(folder), schema, files_per_batch=2)
+        stream = measured(stream, "passed", seen=F.count(F.lit(1)), largest=F.max("event_id"))
+        reports = drain(append_to_files(stream, f"{out}/rows", f"{out}/checkpoint", interval="200 milliseconds"))
+        append_progress(spark, reports, "seen long, largest long", kept)
+        return reports
+
+    for n in range(5):
+        put(spark, folder, f"f{n}", [(10 * n + i, BEGIN) for i in range(10)], schema)
+    first = run()
+    assert [r["rows"] for r in first if r["rows"]] == [20, 20, 10]
+    put(spark, folder, "f5", [(90, BEGIN)], schema)
+    assert [r["measures"] for r in run() if r["rows"]] == [{"seen": 1, "largest": 90}]
+    table = spark.read.parquet(kept).where("rows > 0")
+    assert [tuple(r) for r in table.orderBy("batch").select("batch", "rows", "seen", "largest").collect()] == [
+        (0, 20, 20, 19), (1, 20, 20, 39), (2, 10, 10, 49), (3, 1, 1, 90),
+    ]
+    assert spark.read.parquet(f"{out}/rows").count() == 51
+
+
+def test_a_crowded_hour_is_split(spark, sf_dir, plan_text):
+    """The write of hourly partitions rebalances: AQE splits the partition of a hot hour."""
+    stream = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("hour", F.date_format("ts", "yyyy-MM-dd-HH"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_text(stream.hint("rebalance", "hour"))
+
+
 def test_finish_keeps_all_reports(spark, conf, tmp_path):
     conf("spark.sql.streaming.numRecentProgressUpdates", "2")
     folder, out = str(tmp_path / "in"), work_area(spark, "reports")
