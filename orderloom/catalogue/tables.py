@@ -324,6 +324,13 @@ def delete_where(spark, sf_dir):
     return _stored(spark, drop_where(orders, F.col("o_orderstatus") == "F"), "deleted")
 
 
+def _logged(spark, log):
+    """A stored log of changes."""
+    folder = work_area(spark, "changes")
+    changes.append_changes(log, folder)
+    return changes.stored_changes(spark, folder, log.schema)
+
+
 def _three_versions(spark, sf_dir):
     """The early orders, the later ones added, the open ones deleted."""
     placed = table(spark, sf_dir, "orders")
@@ -332,7 +339,7 @@ def _three_versions(spark, sf_dir):
         change(placed.where(f"NOT {EARLY}").select(*COLUMNS), 2, "insert", DAYS[1]),
         change(placed.where("o_orderstatus = 'O'").select(*COLUMNS), 3, "delete", DAYS[2]),
     ]
-    return _stored(spark, reduce(DataFrame.unionByName, log), "changes")
+    return _logged(spark, reduce(DataFrame.unionByName, log))
 
 
 FIVE = f"SELECT {', '.join(COLUMNS)} FROM orders"
@@ -361,24 +368,62 @@ def version_history(spark, sf_dir):
     return changes.history(_three_versions(spark, sf_dir))
 
 
+def _twelve_versions(spark, sf_dir):
+    """A version a day: all orders, then eleven times some of them, in two steps of which the second is a deletion for some."""
+    placed = table(spark, sf_dir, "orders").select(*COLUMNS)
+    log = [change(placed, 1, "insert", DAYS[0])]
+    for version in range(2, 13):
+        touched = placed.where(f"o_orderkey % 12 = {version - 1} OR o_orderkey % 7 = {version - 2}")
+        log.append(change(touched.withColumn("o_orderpriority", F.lit(f"v{version}")), version, "update", DAYS[version - 1], 1))
+        log.append(change(touched.where("o_orderkey % 5 = 0"), version, "delete", DAYS[version - 1], 2))
+    return _logged(spark, reduce(DataFrame.unionByName, log))
+
+
+TWELVE_SQL = f"""log AS (
+  SELECT o_orderkey AS k, 1 AS version, 'insert' AS operation, 0 AS place FROM orders
+  UNION ALL SELECT o_orderkey, CAST(v AS INTEGER), 'update', 1 FROM orders, range(2, 13) t(v)
+    WHERE o_orderkey % 12 = v - 1 OR o_orderkey % 7 = v - 2
+  UNION ALL SELECT o_orderkey, CAST(v AS INTEGER), 'delete', 2 FROM orders, range(2, 13) t(v)
+    WHERE (o_orderkey % 12 = v - 1 OR o_orderkey % 7 = v - 2) AND o_orderkey % 5 = 0
+), versions AS (
+  SELECT version, TIMESTAMP '2024-02-29' + to_days(version) AS committed_at FROM (SELECT DISTINCT version FROM log)
+), gone AS (
+  SELECT max(version) AS last FROM versions
+  WHERE committed_at < TIMESTAMP '2024-03-12 12:00:00' - INTERVAL '{maintenance.KEEP_DAYS} days'
+    AND version NOT IN (SELECT version FROM versions ORDER BY version DESC LIMIT {maintenance.KEEP_LAST})
+), kept AS (
+  SELECT min(version) AS first FROM versions, gone WHERE version > last
+), ranked AS (
+  SELECT log.*, row_number() OVER (PARTITION BY k ORDER BY version DESC, place DESC) AS r FROM log, kept WHERE version <= first
+)"""
+
+
 @query(
     "D18",
-    f"""SELECT o_orderstatus, count(*) AS rows, count(*) FILTER (NOT {EARLY}) AS rows_of_later_versions
-        FROM orders WHERE {EARLY} OR o_orderstatus <> 'P' GROUP BY o_orderstatus""",
+    f"""WITH {TWELVE_SQL}
+        SELECT version, operation, count(*) AS rows, (SELECT first FROM kept) AS readable_from
+        FROM (SELECT version, operation FROM ranked WHERE r = 1 AND operation <> 'delete'
+              UNION ALL SELECT version, operation FROM log, kept WHERE version > first) GROUP BY version, operation""",
 )
 def expiry(spark, sf_dir):
-    """The log squashed to its second version, which a later one builds on."""
-    placed = table(spark, sf_dir, "orders").select(*COLUMNS, F.expr(EARLY).alias("early"))
-    log = [
-        change(placed.where("o_orderstatus <> 'P'"), 1, "insert", DAYS[0]),
-        change(placed.where("NOT early"), 2, "delete", DAYS[1]),
-        change(placed.where("NOT early AND o_orderstatus <> 'P' OR early AND o_orderstatus = 'P'"), 3, "insert", DAYS[2]),
-    ]
-    squashed = _stored(spark, changes.squash(reduce(DataFrame.unionByName, log), KEY, 2), "squashed")
-    later = squashed.where("version > 2").groupBy("o_orderstatus").agg(F.count_if(~F.col("early")).alias("rows_of_later_versions"))
-    now = changes.state(squashed, KEY).groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
-    counted = now.join(later, "o_orderstatus", "left")
-    return counted.select("o_orderstatus", "rows", F.coalesce("rows_of_later_versions", F.lit(0)).alias("rows_of_later_versions"))
+    """Twelve versions, of which those older than a week go, but for the newest five."""
+    log, now = _twelve_versions(spark, sf_dir), datetime(2024, 3, 12, 12)
+    kept = changes.expire(log, KEY, now, maintenance.KEEP_DAYS, maintenance.KEEP_LAST)
+    first = changes.first_kept(log, now, maintenance.KEEP_DAYS, maintenance.KEEP_LAST)
+    return kept.groupBy("version", "operation").agg(F.count("*").alias("rows")).withColumn("readable_from", F.lit(first))
+
+
+@query(
+    "D9 D10 D11",
+    f"""WITH {TWELVE_SQL}, last AS (SELECT k, version, operation,
+            row_number() OVER (PARTITION BY k ORDER BY version DESC, place DESC) AS r FROM log WHERE version <= 9)
+        SELECT CASE WHEN version = 1 THEN o_orderpriority ELSE 'v' || version END AS o_orderpriority, count(*) AS rows
+        FROM last JOIN orders ON o_orderkey = k WHERE r = 1 AND operation <> 'delete' GROUP BY 1""",
+)
+def changed_twice_in_a_version(spark, sf_dir):
+    """The ninth version, in which and before which orders were updated and then deleted within one version."""
+    state = changes.as_of_version(_twelve_versions(spark, sf_dir), KEY, 9)
+    return state.groupBy("o_orderpriority").agg(F.count("*").alias("rows"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,13 +22,24 @@ def top(df: DataFrame, k: int, by: str, tie: str) -> DataFrame:
 def one_per_key(df: DataFrame, keys: list[str], first_by: list[str] | None = None) -> DataFrame:
     """One row per key: any of them, or the first in the given order.
 
-    Both combine on the map side, so copies of a hot key do not travel.
+    Both combine on the map side, so copies of a hot key do not travel. With an order, keys
+    are counted first, by hash: rows whose key comes once are kept as they are, and only those of
+    repeated keys are sorted.
     """
     if not first_by:
         return df.dropDuplicates(keys)
+    return pick_per_key(df, keys, lambda row: F.min_by(row, F.struct(*first_by)))
+
+
+def pick_per_key(df: DataFrame, keys: list[str], pick: Callable[[Column], Column]) -> DataFrame:
+    """One row per key, NULL being a key; `pick` is an aggregate that chooses among the rows of a repeated one."""
+    names = {k: f"__{k}" for k in keys}
+    repeated = df.groupBy(*(F.col(k).alias(n) for k, n in names.items())).agg(F.count("*").alias("__copies"))
+    repeated = repeated.where("__copies > 1").drop("__copies")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()))
     rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by(F.struct(*rest), F.struct(*first_by)).alias("kept")
-    return df.groupBy(*keys).agg(pick).select(*keys, "kept.*").select(*df.columns)
+    several = df.join(repeated, same, "left_semi").groupBy(*keys).agg(pick(F.struct(*rest)).alias("__kept"))
+    return df.join(repeated, same, "left_anti").unionByName(several.select(*keys, "__kept.*"))
 
 
 def since_day(events: DataFrame, day: int) -> DataFrame:

@@ -20,6 +20,8 @@ KEEP_DAYS = 7
 KEEP_LAST = 5
 ORPHAN_DAYS = 3
 
+FILES_PER_SHARE = 10_000  # files that are put into bins together
+
 
 def file_statistics(df: DataFrame) -> DataFrame:
     """Path, rows and bytes of every data file under a frame.
@@ -62,10 +64,23 @@ class Compaction:
 
 
 def partition_columns(spark: SparkSession, folder: str) -> list[str]:
-    """The columns that a folder's paths name, outermost first."""
-    found = listing(spark, folder).select("path").first()
-    inside = found["path"].split(folder.rstrip("/").split("/")[-1], 1)[-1] if found else ""
-    return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
+    """The columns that a folder has from its paths, outermost first: those that its files lack."""
+    in_files = spark.read.option("recursiveFileLookup", "true").parquet(folder).columns
+    return [c for c in spark.read.parquet(folder).columns if c not in in_files]
+
+
+def bins(files: DataFrame, target_bytes: int, files_per_share: int = FILES_PER_SHARE) -> DataFrame:
+    """Path and bin of each file: files of one folder, the smallest first, up to the target size together.
+
+    A folder of many files is cut into shares by the hash of the path, and bins are
+    filled within a share, so no task holds more than a share of a folder's list.
+    """
+    placed = files.select("path", "length", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
+    counted = placed.groupBy("folder").agg(F.count("*").alias("files"))
+    share = F.pmod(F.xxhash64("path"), F.ceil(F.col("files") / files_per_share))
+    so_far = F.sum("length").over(Window.partitionBy("folder", "share").orderBy("length", "path")) - F.col("length")
+    dealt = placed.join(counted, "folder").withColumn("share", share)
+    return dealt.select("path", F.xxhash64("folder", "share", F.floor(so_far / target_bytes)).alias("bin"))
 
 
 def compact(
@@ -90,11 +105,8 @@ def compact(
     if counts["small"] < min_files:
         return Compaction(source, None, target_bytes, counts["all"], 0, counts["all"])
     names = partition_columns(spark, source)
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    so_far = Window.partitionBy(folder).orderBy("length", "path")
-    bins = files.where(small).select("path", F.hash(folder, F.floor((F.sum("length").over(so_far) - F.col("length")) / target_bytes)).alias("bin"))
     rows = spark.read.parquet(source).where(F.col("_metadata.file_size") < target_bytes * 3 // 4)
-    rows = rows.withColumn("path", F.col("_metadata.file_path")).join(bins, "path").drop("path")
+    rows = rows.withColumn("path", F.col("_metadata.file_path")).join(bins(files.where(small), target_bytes), "path").drop("path")
     tasks = max(1, math.ceil(counts["bytes"] / target_bytes))
     # a bin is a little over the target at most; where two share a task, the writer parts them
     each = math.ceil(1.3 * rows.count() * target_bytes / max(1, counts["bytes"]))

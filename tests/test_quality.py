@@ -37,6 +37,27 @@ def test_quarantine_against_a_json_parser(spark):
     assert good.columns == bad.columns == ["id", "body"]
 
 
+ESCAPES = [
+    "{} x", "{}} x", "{}]} x", '{}, "it": {}', '{}, "b": {}', '{}}, {"it": {}', '{}, "it": {}} x', "{},{}", "{}]", "[{}]", "[]", "null", "7", '"{"',
+    '"{}"', "", " ", "{", "}", '{"a": 1', '{"a": 1}}', '{"a": {"b": [1, {"c": "}"}]}}', ' \t\r\n{"a": 1} \n', '{"a": 1}\x0b', "\ufeff{}", "{'a': 1}",
+    '{a: 1}', '{"a": NaN}', '{"a": 01}', '{"a": 1,}', '{"a": "x\ny"}', '{"a": 1, "a": 2}', '{"": {}}', '{"a": 1} // no', '{"a": /* no */ 1}',
+]
+
+
+def test_nothing_in_a_text_passes_for_its_end(spark):
+    """Texts that close the object around them, bring members of their own, or are other values."""
+    rows = spark.createDataFrame(list(enumerate(ESCAPES)), "id int, body string")
+    _, bad = quality.quarantine(rows)
+    want = {i for i, b in enumerate(ESCAPES) if not (readable(b) and isinstance(json.loads(b), dict) and "NaN" not in b)}
+    assert {r.id for r in bad.collect()} == want
+
+
+def test_one_parse(spark, plan_text):
+    rows = spark.createDataFrame([(1, "{}")], "id int, body string")
+    plan = plan_text(quality.quarantine(rows)[0])
+    assert plan.count("from_json") == 1 and "variant" not in plan and "parse_json" not in plan
+
+
 def test_readable_is_one_object_and_nothing_else(spark):
     fine = ['{}', ' {"a": 1}\n', '{"a": {"b": [1, "x, y"]}, "c": null}', '{"a": "} x"}']
     broken = ["", " ", "null", "123", "[1]", '"text"', '{"a": 1} x', '{"a": 1}}', '{"a": 1}{"b": 2}', '{}, {}',

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -26,36 +26,32 @@ def schema(spark):
 
 
 def test_create_insert_describe_drop(spark, schema):
-    name = f"{schema}.events"
-    ddl.create_table(spark, name, "event_id string, event_type string, payload string, ts timestamp")
-    ddl.insert_values(
-        spark, name, "('e1', 'a', '{}', current_timestamp()), ('e2', 'b', '{}', current_timestamp()), ('e3', 'c', NULL, NULL)"
-    )
-    assert spark.table(name).count() == 3
-    assert [r.col_name for r in ddl.describe(spark, name).collect()] == ["event_id", "event_type", "payload", "ts"]
+    name = f"{schema}.shelves"
+    ddl.create_table(spark, name, "aisle int, label string, filled_on date")
+    ddl.insert_values(spark, name, "(4, 'tea', DATE'2023-05-01'), (9, 'rice', NULL)")
+    assert spark.table(name).count() == 2
+    assert [r.col_name for r in ddl.describe(spark, name).collect()] == ["aisle", "label", "filled_on"]
     assert ddl.table_type(spark, name) == "MANAGED"
-    assert ddl.location(spark, name).endswith("/events")
+    assert ddl.location(spark, name).endswith("/shelves")
     spark.range(1).createOrReplaceTempView("gone")
-    assert [r.tableName for r in ddl.tables(spark, schema).collect()] == ["events"]
-    assert {r.tableName for r in ddl.missing_tables(spark, schema, ["events", "gone"]).collect()} == {"gone"}
+    assert [r.tableName for r in ddl.tables(spark, schema).collect()] == ["shelves"]
+    assert {r.tableName for r in ddl.missing_tables(spark, schema, ["shelves", "gone"]).collect()} == {"gone"}
     ddl.drop_table(spark, name)
     assert ddl.tables(spark, schema).count() == 0
     assert schema in {r[0] for r in ddl.schemas(spark).collect()}
 
 
 def test_partitioned_table_and_added_column(spark, schema):
-    name = f"{schema}.taxis"
-    ddl.create_table(
-        spark, name, "trip_id bigint, fare_amount double, vendor_id bigint", partitioned_by="vendor_id"
-    )
-    rows = spark.createDataFrame([(1, 10.0, 1), (2, 20.0, 2)], "trip_id long, fare_amount double, vendor_id long")
-    ddl.append(rows.select("vendor_id", "fare_amount", "trip_id"), name)  # by name, whatever the order
-    ddl.add_column(spark, name, "tip_amount", "double")
-    ddl.append(spark.createDataFrame([(3, 12.0, 2.5, 1)], "trip_id long, fare_amount double, tip_amount double, vendor_id long"), name)
-    got = {r.trip_id: (r.fare_amount, r.vendor_id, r.tip_amount) for r in spark.table(name).collect()}
-    assert got == {1: (10.0, 1, None), 2: (20.0, 2, None), 3: (12.0, 1, 2.5)}
-    counts = maintenance.partition_statistics(spark.table(name), "vendor_id")
-    assert {tuple(r) for r in counts.collect()} == {(1, 2), (2, 1)}
+    name = f"{schema}.jars"
+    ddl.create_table(spark, name, "weight int, lid string, shelf string", partitioned_by="shelf")
+    rows = spark.createDataFrame([("low", "tin", 250), ("high", "cork", 90)], "shelf string, lid string, weight int")
+    ddl.append(rows, name)  # by name, whatever the order
+    ddl.add_column(spark, name, "opened", "boolean")
+    ddl.append(spark.createDataFrame([(310, "low", True, None)], "weight int, shelf string, opened boolean, lid string"), name)
+    got = {r.weight: (r.lid, r.shelf, r.opened) for r in spark.table(name).collect()}
+    assert got == {250: ("tin", "low", None), 90: ("cork", "high", None), 310: (None, "low", True)}
+    counts = maintenance.partition_statistics(spark.table(name), "shelf")
+    assert {tuple(r) for r in counts.collect()} == {("low", 2), ("high", 1)}
 
 
 def test_day_partitions_prune(spark, schema, plan_text):
@@ -153,6 +149,62 @@ def test_state_as_of_a_version_and_a_time(spark):
     ]
 
 
+def test_two_changes_of_a_key_in_one_version(spark):
+    """The later place wins, whatever the order of rows; equal places are decided the same way each time."""
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, name string")
+    placed = rows((1, "ash"), (2, "elm"), (3, "fir"))
+    log = (
+        changes.change(placed, 1, "insert", MARCH[0])
+        .unionByName(changes.change(rows((1, "box"), (2, "box")), 2, "update", MARCH[1], 2))
+        .unionByName(changes.change(rows((1, "oak"), (2, "elm")), 2, "delete", MARCH[1], F.when(F.col("id") == 1, 1).otherwise(3)))
+        .unionByName(changes.change(rows((3, "yew"), (3, "may")), 2, "update", MARCH[1], 7))
+        .unionByName(changes.change(rows((None, "nut")), 2, "insert", MARCH[1]))
+    )
+    for some in (log, log.orderBy(F.desc("place")), log.repartition(7)):
+        assert {tuple(r) for r in changes.as_of_version(some, ["id"], 2).collect()} == {(1, "box"), (3, "yew"), (None, "nut")}
+
+
+def test_early_versions_prune(spark, plan_text):
+    """A stored log: a reader of an early state, by version or by time, reads the early folders only."""
+    folder = work_area(spark, "changes")
+    log = log_of(spark)
+    changes.append_changes(log, folder)
+    stored = changes.stored_changes(spark, folder, log.schema)
+    assert stored.dtypes == log.dtypes and sorted(map(str, stored.collect())) == sorted(map(str, log.collect()))
+    for version, rows in STATES.items():
+        early = changes.as_of_version(stored, ["id"], version)
+        assert {tuple(r) for r in early.collect()} == rows
+        assert f"(version#" in plan_text(early) and "PartitionFilters: [isnotnull(version" in plan_text(early)
+        timed = changes.as_of_time(stored, ["id"], datetime(2024, 3, version, 12))
+        assert {tuple(r) for r in timed.collect()} == rows and "PartitionFilters: [isnotnull(committed_at" in plan_text(timed)
+    read = [stored, stored.where("version <= 2")]
+    plans = [df._jdf.queryExecution().executedPlan() for df in read]
+    assert [len(p.executeCollect()) for p in plans] == [7, 5]
+    assert [p.collectLeaves().head().metrics().apply("numFiles").value() for p in plans] == [4, 2]
+
+
+def test_only_repeated_keys_are_sorted(spark, plan_text):
+    """Rows of keys that come once go by an anti join; the aggregate that sorts sees the others."""
+    plan = plan_text(changes.state(log_of(spark), ["id"]))
+    assert "LeftAnti" in plan and "LeftSemi" in plan and plan.count("max_by") == 2  # its two halves, on the repeated
+
+
+@pytest.mark.parametrize(("days", "last"), [(7, 5), (3, 2), (3, 6), (0, 1), (0, 8), (0, 50), (100, 1), (5, 2), (0, 0)])
+def test_retention_keeps_by_age_and_by_number(spark, days, last):
+    """Eight daily versions seen at noon of the last day: those go that are too old and not among the newest."""
+    row = spark.createDataFrame([(1, "x")], "id long, name string")
+    log = changes.change(row, 1, "insert", MARCH[0])
+    for version in range(2, 9):
+        log = log.unionByName(changes.change(row.withColumn("name", F.lit(f"v{version}")), version, "update", MARCH[version - 1]))
+    now = datetime(2024, 3, 8, 12)
+    gone = [v for v in range(1, 9) if MARCH[v - 1] < now - timedelta(days=days) and v <= 8 - last] if last else []
+    first = max(gone) + 1 if gone else None
+    assert changes.first_kept(log, now, days, last) == first
+    kept = changes.expire(log, ["id"], now, days, last)
+    assert sorted(r.version for r in kept.collect()) == list(range(first or 1, 9))
+    assert changes.as_of_version(kept, ["id"], 8).first().name == "v8"
+
+
 @pytest.mark.parametrize("version", [1, 2, 3, 4])
 def test_squashing_keeps_later_states(spark, version):
     log = changes.squash(log_of(spark), ["id"], version)
@@ -221,6 +273,38 @@ def test_compaction_keeps_partitions(spark, plan_text):
     assert one.count() == 300 and "PartitionFilters: [isnotnull(p" in plan_text(one)
 
 
+def test_compaction_below_a_folder_named_like_a_partition(spark):
+    """The name above the table is no column of it; those below are."""
+    folder, target = work_area(spark, "files") + "/day=1/e", work_area(spark, "compacted")
+    spark.range(0, 600, 1, 6).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(folder)
+    assert maintenance.partition_columns(spark, folder) == ["p"]
+    done = maintenance.compact(spark, folder, target)
+    assert (done.files_before, done.files_after) == (12, 2)
+    got = maintenance.compacted(spark, done)
+    assert got.columns == ["id", "p"] and sorted(map(tuple, got.collect())) == [(i, i % 2) for i in range(600)]
+    plain, target = work_area(spark, "files") + "/day=1/e", work_area(spark, "compacted")
+    spark.range(0, 60, 1, 6).write.parquet(plain)
+    assert maintenance.partition_columns(spark, plain) == []
+    assert maintenance.compact(spark, plain, target).files_after == 1
+
+
+def test_bins_hold_a_share_of_a_folder(spark, plan_text):
+    """A folder's list is cut by hash: no window spans more than a share, every file is in one bin, bins keep near the target."""
+    rows = [(f"{place}/{i}.parquet", 10 + i % 7) for place, n in (("hot", 900), ("cold", 5)) for i in range(n)]
+    files = spark.createDataFrame(rows, "path string, length long")
+    for share in (50, 10_000):
+        found = maintenance.bins(files, 100, share)
+        got = {r.path: r.bin for r in found.collect()}
+        assert sorted(got) == sorted(p for p, _ in rows)
+        sizes, places = {}, {}
+        for path, length in rows:
+            sizes[got[path]] = sizes.get(got[path], 0) + length
+            places.setdefault(got[path], set()).add(path.split("/")[0])
+        assert max(sizes.values()) < 100 + 17 and all(len(p) == 1 for p in places.values())
+        assert len(sizes) <= sum(sizes.values()) / 100 + 2 + 900 / share
+    assert "windowspecdefinition(folder" in plan_text(found) and ", share" in plan_text(found)
+
+
 def test_orphans_are_old_files_nobody_reads(spark):
     folder = work_area(spark, "files")
     spark.range(0, 10, 1, 3).write.parquet(f"{folder}/a")
