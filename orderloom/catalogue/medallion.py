@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.catalogue import fixture
 from orderloom.catalogue.fixture import BRONZE_SQL, DIMS_CTE, LIFECYCLE_SQL, SILVER_SQL
-from orderloom.catalogue.registry import doubles, mean_of_cents, query, sum_of_cents
+from orderloom.catalogue.registry import doubles, mean_of_cents, query, sum_of_cents, table
 from orderloom.operators.rows import top
 from orderloom.plans import gold, sales, silver
+from orderloom.plans.daily import DailyMedallion
 from orderloom.plans.medallion import Medallion
+from orderloom.schemas import EVENT_TYPES
 from orderloom.session import work_area
 from orderloom.sources.files import event_log
 
@@ -234,3 +238,83 @@ def medallion_build(spark, sf_dir):
     target = work_area(spark, "medallion")
     build = Medallion(spark, f"loom_{uuid.uuid4().hex[:12]}", target, MONEY)
     return build.run(fixture.sources(spark, sf_dir))
+
+
+@query(
+    "A2 A17",
+    f"""{LIFECYCLE_SQL}, ranked AS (SELECT city_name, count(*) AS orders FROM lifecycle GROUP BY city_name)
+    SELECT city_name, orders, true AS median_close, true AS p95_close FROM ranked""",
+)
+def durations_by_city(spark, sf_dir):
+    """Percentiles of a city's orders from stored daily sketches, and whether the exact ones are within half a percent of the orders."""
+    folder, finished = work_area(spark, "sketches"), lifecycle(spark, sf_dir)
+    sketches = gold.duration_sketches(finished)
+    sketches.write.parquet(folder)
+    found = gold.durations_by_city(spark.read.schema(sketches.schema).parquet(folder))
+    renamed = found.withColumnRenamed("city_name", "city")
+    spread = finished.join(renamed, F.col("city_name").eqNullSafe(F.col("city"))).groupBy("city_name")
+    shares = {}
+    for name, asked in (("median", 0.5), ("p95", 0.95)):
+        answer, value = F.col(f"{name}_time_min"), F.col("total_duration_min")
+        below, upto = F.avg((value < answer).cast("int")), F.avg((value <= answer).cast("int"))
+        shares[f"{name}_close"] = (below - 0.005 <= asked) & (asked <= upto + 0.005)
+    return spread.agg(F.first("orders").alias("orders"), *(c.alias(n) for n, c in shares.items()))
+
+
+STEPS_SQL = "[" + ", ".join(f"'{t}'" for t in EVENT_TYPES) + "]"
+
+
+def _daily_log(spark, sf_dir):
+    """The given events as a log of a month: eight in a row are one order, whose events lie days apart."""
+    step = (F.col("event_id") % 8).cast("int")
+    moment = F.date_trunc("second", "ts").cast("timestamp")
+    order = F.floor(F.col("event_id") / 8)
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.element_at(F.lit(list(EVENT_TYPES)), step + 1).alias("event_type"),
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss").alias("ts"),
+        F.unix_timestamp(moment).alias("ts_seconds"),
+        (order % 4 + 1).cast("int").alias("location_id"),
+        F.concat(F.lit("O"), order.cast("string")).alias("order_id"),
+        step.alias("sequence"),
+        F.lit("{}").alias("body"),
+        moment.alias("event_timestamp"),
+    )
+
+
+@query(
+    "K1 D5 G4",
+    f"""WITH log AS (SELECT event_id, date_trunc('second', ts) AS t, event_id // 8 AS o, CAST(event_id % 8 AS INTEGER) AS step FROM events),
+    lifecycle AS (SELECT o, min(t) FILTER (step = 0) AS created_at, min(t) FILTER (step = 7) AS delivered_at FROM log
+                  GROUP BY o HAVING delivered_at IS NOT NULL),
+    hours AS (SELECT count(*) AS n FROM log WHERE step = 0 GROUP BY CAST(t AS DATE), hour(t), o % 4)
+    SELECT (SELECT count(*) FROM log WHERE event_id % 3 = 0 AND CAST(t AS DATE) = (SELECT CAST(min(ts) AS DATE) + 10 FROM events)) AS late_events,
+      (SELECT count(*) FROM log) AS silver_rows, count(*) AS delivered,
+      CAST(sum(epoch(delivered_at) - epoch(created_at)) AS BIGINT) AS seconds,
+      count(DISTINCT (CAST(created_at AS DATE), o % 4)) AS performance_rows,
+      (SELECT count(*) FROM hours) AS hours, (SELECT CAST(sum(n) AS BIGINT) FROM hours) AS orders, CAST(1 AS BIGINT) AS silver_days_written
+    FROM lifecycle""",
+)
+def rebuilt_day(spark, sf_dir):
+    """A medallion by day, built before the last events of a day came, then that day built anew."""
+    log = _daily_log(spark, sf_dir)
+    sources = replace(fixture.sources(spark, sf_dir), events=log)
+    day = log.agg(F.min(F.to_date("event_timestamp"))).first()[0] + timedelta(days=10)
+    late = (F.to_date("event_timestamp") == F.lit(day)) & (F.col("event_id").cast("long") % 3 == 0)
+    built = DailyMedallion(spark, f"loom_{uuid.uuid4().hex[:10]}", work_area(spark, "daily"))
+    built.run(replace(sources, events=log.where(~late)))
+    arrived = Observation()
+    log.where(late).observe(arrived, F.count(F.lit(1)).alias("rows")).write.insertInto(built.name("bronze", "orders"))
+    wrote = built.rebuild([day])
+    finished, hourly = built.read("silver", "order_lifecycle"), built.read("gold", "hourly_metrics")
+    taken = F.sum(F.unix_timestamp("delivered_at") - F.unix_timestamp("created_at"))
+    return finished.agg(F.count("*").alias("delivered"), taken.alias("seconds")).select(
+        F.lit(arrived.get["rows"]).cast("long").alias("late_events"),
+        built.read("silver", "orders_enriched").agg(F.count("*")).scalar().alias("silver_rows"),
+        "delivered",
+        "seconds",
+        built.read("gold", "delivery_performance").agg(F.count("*")).scalar().alias("performance_rows"),
+        hourly.agg(F.count("*")).scalar().alias("hours"),
+        hourly.agg(F.sum("order_count")).scalar().alias("orders"),
+        F.lit(len(wrote["orders_enriched"])).cast("long").alias("silver_days_written"),
+    )

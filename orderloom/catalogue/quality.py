@@ -186,9 +186,11 @@ def unexpected_event_types(spark, sf_dir):
 
 @query(
     "Q7",
-    f"""SELECT count(*) AS bronze_rows, count(*) AS silver_rows, {sum_of_cents("l_extendedprice")} AS bronze_total,
-          {sum_of_cents("l_extendedprice")} AS silver_total, {sum_of_cents("l_extendedprice")} AS gold_total,
-          true AS counts_match, true AS totals_match FROM lineitem""",
+    f"""WITH per_supplier AS (SELECT CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_suppkey)
+        SELECT count(*) AS bronze_rows, count(l_orderkey) AS silver_rows, {sum_of_cents("l_extendedprice")} AS bronze_total,
+          {sum_of_cents("l_extendedprice")} AS silver_total, (SELECT CAST(sum(cents) AS BIGINT) / 100.0::DOUBLE FROM per_supplier) AS gold_total,
+          count(*) = count(l_orderkey) AS counts_match,
+          abs({sum_of_cents("l_extendedprice")} - (SELECT CAST(sum(cents) AS BIGINT) / 100.0::DOUBLE FROM per_supplier)) < 0.01 AS totals_match FROM lineitem""",
 )
 def layer_reconciliation(spark, sf_dir):
     """Lines, lines with an order, and their sums per supplier hold the same money."""

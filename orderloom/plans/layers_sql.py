@@ -4,19 +4,28 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def create_as(spark: SparkSession, target: str, query: str, provider: str = "parquet") -> DataFrame:
-    """CREATE TABLE ... AS; replaces a table of that name once the new one is complete."""
-    fresh = f"{target}_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE TABLE {fresh} USING {provider} AS {query}")
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+
+def create_as(
+    spark: SparkSession, target: str, query: str, provider: str = "parquet", measures: dict[str, Column] | None = None
+) -> DataFrame | tuple[DataFrame, dict]:
+    """CREATE TABLE ... AS; replaces a table of that name once the new one is complete.
+
+    With `measures`, aggregates of the rows as they are written come back beside the table.
+    """
+    fresh, seen = f"{target}_{uuid.uuid4().hex[:8]}", Observation()
+    if measures:
+        rows = spark.sql(query).observe(seen, *(c.alias(k) for k, c in measures.items()))
+        rows.write.format(provider).saveAsTable(fresh)
+    else:
+        spark.sql(f"CREATE TABLE {fresh} USING {provider} AS {query}")
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
-    return spark.table(target)
+    return (spark.table(target), seen.get) if measures else spark.table(target)
 
 
-def silver_sales(spark: SparkSession, bronze: str, target: str) -> DataFrame:
+def silver_sales(spark: SparkSession, bronze: str, target: str, measures: dict[str, Column] | None = None):
     """Sales with an order, their time parsed into timestamp, date and hour."""
     return create_as(
         spark,
@@ -28,6 +37,7 @@ def silver_sales(spark: SparkSession, bronze: str, target: str) -> DataFrame:
             SELECT *, date(order_timestamp) AS order_date, hour(order_timestamp) AS order_hour,
                    current_timestamp() AS processed_at
             FROM timed""",
+        measures=measures,
     )
 
 
@@ -45,10 +55,10 @@ def _per_customer(source: str, total: str, moment: str, *more: str) -> str:
     return f"SELECT {', '.join(columns)} FROM {source} GROUP BY customer_id"
 
 
-def gold_customers(spark: SparkSession, silver: str, target: str) -> DataFrame:
+def gold_customers(spark: SparkSession, silver: str, target: str, measures: dict[str, Column] | None = None):
     """Customers with revenue, time span and number of different products."""
     more = ("count(DISTINCT product_id) AS unique_products", "current_timestamp() AS aggregated_at")
-    return create_as(spark, target, _per_customer(silver, "total_revenue", "order_timestamp", *more))
+    return create_as(spark, target, _per_customer(silver, "total_revenue", "order_timestamp", *more), measures=measures)
 
 
 def customer_summary(spark: SparkSession, orders: str, target: str) -> DataFrame:

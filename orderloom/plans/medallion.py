@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.plans import gold, silver
@@ -34,6 +34,7 @@ class Medallion:
     prefix: str
     location: str | None = None
     money: str = "double"
+    written: dict[str, int] = field(default_factory=dict, compare=False)
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}_{layer}.{table}"
@@ -48,7 +49,14 @@ class Medallion:
 
     def write(self, layer: str, table: str, df: DataFrame) -> None:
         """Full overwrite: a run replaces what the last one left."""
-        df.write.mode("overwrite").saveAsTable(self.name(layer, table))
+        self.save(layer, table, df, [])
+
+    def save(self, layer: str, table: str, df: DataFrame, partition_by: list[str]) -> None:
+        """Write a table and note its number of rows, counted as they are written."""
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(self.name(layer, table))
+        self.written[f"{layer}.{table}"] = seen.get["rows"]
 
     def write_together(self, layer: str, frames: dict[str, DataFrame]) -> None:
         """Tables that do not read each other, as jobs side by side."""
@@ -78,9 +86,8 @@ class Medallion:
         self.write("silver", "order_lifecycle", silver.lifecycle(self.read("silver", "orders_enriched")))
 
     def build_gold(self) -> None:
-        created = gold.created(self.read("silver", "orders_enriched"))
-        # both tables below read these few columns; they are read from storage once
-        created = created.select("event_type", *gold.SALES_INPUTS).persist()
+        # a few columns of the rows of one type, which lie together: each table below reads them for itself
+        created = gold.created(self.read("silver", "orders_enriched")).select("event_type", *gold.SALES_INPUTS)
         finished = self.read("silver", "order_lifecycle")
         brands = self.read("bronze", "dim_brands")
         self.write_together(
@@ -91,7 +98,6 @@ class Medallion:
                 "brand_summary": gold.brand_summary(created, brands),
             },
         )
-        created.unpersist()
 
     def run(self, sources: Sources, layer: str | None = None) -> DataFrame:
         """Build all layers, or one of them from its stored inputs; returns row counts."""
@@ -105,14 +111,9 @@ class Medallion:
         return self.row_counts([layer] if layer else list(LAYERS))
 
     def row_counts(self, layers: list[str]) -> DataFrame:
-        """Counted on the stored tables, so nothing is computed again."""
-        names = [
-            f"{layer}.{row.tableName}"
-            for layer in layers
-            for row in self.spark.sql(f"SHOW TABLES IN {self.prefix}_{layer}").collect()
-            if not row.isTemporary
-        ]
-        return count_each({n: self.read(*n.split(".")) for n in sorted(names)})
+        """What the writes of these layers have counted, a row per table: no table is read again."""
+        rows = [(name, n) for name, n in sorted(self.written.items()) if name.split(".")[0] in layers]
+        return self.spark.createDataFrame(rows, "table_name string, row_count long")
 
 
 def count_each(frames: dict[str, DataFrame]) -> DataFrame:

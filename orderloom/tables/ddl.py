@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -72,6 +72,23 @@ def append(df: DataFrame, table: str) -> None:
         df.select(*spark.table(table).columns).write.insertInto(table)
 
 
+def replace_measured(df: DataFrame, table: str, **measures: Column) -> dict:
+    """`replace`, and aggregates of the rows taken as they are written."""
+    seen = Observation()
+    replace(df.observe(seen, *(c.alias(k) for k, c in measures.items())), table)
+    return seen.get
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Overwrite a table that lies by the hash of a key, sorted by it: tables alike join on the key without a shuffle.
+
+    One shuffle at the write, however often the table is joined. As many files as buckets, so
+    their number follows the table's size; rows of one key are one bucket's.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
 def replace(df: DataFrame, table: str, provider: str = "parquet") -> None:
     """Create the table from the frame, or replace what it holds."""
     if _has_own_catalog(table):
