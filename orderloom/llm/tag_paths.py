@@ -47,6 +47,18 @@ NAMES = frozenset(
     " share sharing social related recommended recommendations widget widgets popup modal overlay search form toolbar"
     " pagination pager disclaimer copyright paywall tracking outbrain taboola".split()
 )
+#: Of these, words that name such a part only where nothing but a word for a part of a page follows: side-bar, not side-effects.
+VAGUE = frozenset(
+    "side rail response responses respond search social alert alerts notice notices form discussion reader readers related"
+    " recommended copyright tracking popup head header foot top".split()
+)
+PARTS = frozenset(
+    "area articles aside bar block bottom box button buttons card cards col column container content dialog feed field grid group"
+    " heading icon icons inner input inside item items left line link links list main media message module news outer page pages"
+    " panel part policy post posts reading region right row section slot stories story strip text thread title top unit view"
+    " wrap wrapper zone".split()
+)
+DIGITS = "0123456789"
 # An open element of these ends where one of those begins.
 CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -78,6 +90,16 @@ class Node:
 NAMED, SURE = 1, 2  # marks that may be lifted, and those that stay
 
 
+def named(value: str) -> bool:
+    """Whether one of the names in a class or id is that of a part which is not the article."""
+    for name in value.split():
+        words = [w.lower() for w in WORDS.split(name) if w]
+        for k, word in enumerate(words):
+            if word in NAMES and (word not in VAGUE or all(w in NAMES or w.rstrip(DIGITS) in PARTS or w.isdigit() for w in words[k + 1 :])):
+                return True
+    return False
+
+
 def marked(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     """Whether an element says of itself that it is not part of the article: 0, NAMED or SURE."""
     if tag in HIDDEN or tag in APART and tag not in WRAPS:
@@ -91,7 +113,7 @@ def marked(tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if name == "role" and value.strip().lower() in ROLES:
             if tag not in WRAPS or value.strip().lower() != "form":
                 return SURE
-        if name in ("class", "id") and tag not in ("html", "body") and any(w.lower() in NAMES for w in WORDS.split(value)):
+        if name in ("class", "id") and tag not in ("html", "body") and named(value):
             found = NAMED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return SURE
@@ -134,6 +156,13 @@ class Reader(HTMLParser):
                 up.holds_main = True
                 up = up.parent
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A declaration that the parser gives up on ends at the next bracket, as browsers have it; the page goes on."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or -1
+
     def end(self, tag: str, until: frozenset[str]) -> None:
         """Close the nearest open `tag`, if none of `until` stands between."""
         for k in range(len(self.open) - 1, 0, -1):
@@ -270,7 +299,7 @@ def extract(html: str | None) -> str:
     try:
         reader.feed(whole_markup(html))
         reader.close()
-    except (AssertionError, RecursionError):  # the parser gives up on some broken declarations
+    except (AssertionError, RecursionError):  # what was read so far counts
         pass
     blocks = [(n, SPACE.sub(" ", "".join(t)).strip()) for n, t in reader.blocks]
     blocks = [(n, t) for n, t in blocks if t]
@@ -316,7 +345,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page, from the whole html; no shuffle.
 
     White space in a block, line breaks of markup included, becomes one space; blocks are
-    joined by a line feed. A null, empty or text-free page has the empty text.
+    joined by a line feed. A null, empty or text-free page has the empty text, an empty table
+    gives no rows, rows that repeat are pages of their own. Broken markup is read as far as a
+    browser would guess; elements deeper than 400 count as their ancestor there, and a page of any
+    length is read as a whole.
     """
     rows = pages.select("page_id", "url", "html")
     return rows.mapInArrow(task, with_columns(rows.drop("html"), "text string, n_chars long"))

@@ -98,6 +98,31 @@ def test_lists_quotes_and_tables_of_a_flat_page():
     assert tag_paths.extract(page(f"{menu}<h1>Title</h1>{BODY}{parts}{BODY}{menu}")) == f"Title\n{TEXT}\none\ntwo\nsaid\ncell\ncode\n{TEXT}"
 
 
+@pytest.mark.parametrize(
+    "block",
+    [
+        "<p class='side-effects'>{}</p>", "<section id='response-rates'><p>{}</p></section>", "<div class='search-results'>{}</div>",
+        "<div class='top-speed alert-levels'><p>{}</p></div>", "<p id='readerExperience'>{}</p>",
+    ],
+)
+@pytest.mark.parametrize("holder", ["article", "main"])
+def test_names_that_only_begin_like_a_part(block, holder):
+    text = "These, too, are sentences. They belong here, all of them."
+    assert tag_paths.extract(page(f"<{holder}>{BODY}{block.format(text)}</{holder}>")) == f"{TEXT}\n{text}"
+
+
+@pytest.mark.parametrize("name", ["side-bar", "search-box", "related-stories", "sideColumn2", "response-form", "site-notice", "social-media-links", "alert", "reader-comments"])
+def test_names_of_parts(name):
+    noise = f"<div class='{name}'><p>Other, things. To, read, here.</p></div>"
+    assert tag_paths.extract(page(f"<article>{BODY}{noise}</article>")) == TEXT
+
+
+def test_a_bad_declaration_does_not_end_the_page():
+    assert tag_paths.extract("<article><p>A, one.</p><![foo[ x ]]><p>B, two.</p></article>") == "A, one.\nB, two."
+    assert tag_paths.extract("<article><p>A, one.</p><![if IE]><p>B, two.</p><![endif]><p>C, three.</p></article>") == "A, one.\nB, two.\nC, three."
+    assert tag_paths.extract("<article><p>A, one.</p><![foo[ x") == "A, one."
+
+
 def test_broken_and_deep_pages():
     assert tag_paths.extract("<div>" * 5000 + "deep, text. here" + "</div>" * 100) == "deep, text. here"
     assert tag_paths.extract("<article><p>cut, off. here &am") == "cut, off. here &am"
