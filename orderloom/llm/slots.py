@@ -21,14 +21,16 @@ def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and the slot and part that a record hashes into.
 
     Size is the UTF-8 length plus 1; a null text has no bytes and the checksum of the
-    empty text. Records without an id hash by their text. Rows that repeat both id
-    and text share a slot: the id is the key.
+    empty text. The id, the checksum and the size are the key, so only rows that repeat id
+    and text share a slot.
     """
-    key = F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text")))
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1)).cast("long")
+    checksum = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")
+    key = F.xxhash64(F.col("doc_id"), checksum, size)
     return docs.select(
         "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1)).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
+        size.alias("size"),
+        checksum.alias("text_crc32"),
         F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot"),
         F.pmod(F.shiftrightunsigned(key, 40), F.lit(PARTS)).cast("int").alias("part"),
     )

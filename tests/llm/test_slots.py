@@ -40,6 +40,12 @@ def test_equal_texts_spread(docs_of):
     law_holds(slots.shard(docs_of(rows)).collect(), rows, slack=0.02)
 
 
+def test_texts_of_one_id_spread(docs_of):
+    for key in (1, None):
+        rows = [(key, f"another text, number {i}") for i in range(4000)]
+        law_holds(slots.shard(docs_of(rows)).collect(), rows, slack=0.02)
+
+
 def test_rebalancing_edits_the_map(spark):
     """A new version moves few slots, leaves old versions as they are, and evens out the bytes."""
     rng = np.random.default_rng(0)
