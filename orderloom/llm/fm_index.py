@@ -149,15 +149,17 @@ class FMIndex:
 class Phrases:
     """The windows of test items as rows of word numbers, and which items hold each."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, str]], window: int) -> None:
         self.number: dict[bytes, int] = {}
         found: dict[tuple[int, ...], set[int]] = {}
-        names = sorted({i for i, _ in items})
+        names = sorted({i for i, _ in items if i is not None})
         place = {i: k for k, i in enumerate(names)}
         for item, text in items:
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text.encode())]
             for s in range(max(1, len(ids) - window + 1) if ids else 0):
-                found.setdefault(tuple(ids[s : s + window]), set()).add(place[item])
+                holders = found.setdefault(tuple(ids[s : s + window]), set())
+                if item is not None:
+                    holders.add(place[item])
         self.names = names
         self.sizes = np.array([len(p) for p in found], np.int64)
         self.rows = np.zeros((len(found), window), np.int64)
@@ -264,12 +266,12 @@ def locate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sample:
 
     A window is `window` consecutive words of an item, or a shorter item as a whole.
     Items are measured first and go to the tasks in blocks of a bounded size, one pass
-    over the documents per block; hits of all blocks merge. No shuffle. Null texts and
-    items have no words; repeated rows each get their own result.
+    over the documents per block; hits of all blocks merge. No shuffle. Null texts have no words;
+    the windows of an item without id hit, but it is not listed; repeated rows each get their own
+    result. No documents give no rows, no items no hits.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text"))
-    items = items.filter("item IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-max(1, total) // BLOCK_BYTES)
     out = docs.select(

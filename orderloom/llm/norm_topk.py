@@ -27,14 +27,11 @@ SAFE = 1e-9  # floating-point slack of a bound
 
 
 def integers(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and v, whole numbers floor(scale * x); vectors with null or non-finite parts go.
-
-    Rows that repeat an id count once: the smallest vector.
-    """
+    """vec_id and v, whole numbers floor(scale * x), a row per vector; those with null or non-finite parts go."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     rows = embeddings.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", finite))
     whole = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
 
 
 def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -55,8 +52,8 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(a.astype(object) @ b.astype(object).T, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def search(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray, k: int):
-    """The k best of p for each of q: scores and ids, ties to the smaller id; -1 fills up."""
+def search(q: np.ndarray, q_row: np.ndarray, p: np.ndarray, p_row: np.ndarray, p_id: np.ndarray, k: int):
+    """The k best of p for each of q but its own row: scores and ids, ties to the smaller id; the largest id fills up."""
     n = len(q)
     best = np.full((n, k), np.iinfo(np.int64).min)
     best_id = np.full((n, k), np.iinfo(np.int64).max)
@@ -93,7 +90,7 @@ def search(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray, k:
             continue
         score = products(q[live], p[rows[columns]])
         ident = np.broadcast_to(p_id[rows[columns]], score.shape)
-        use = mask[:, columns] & (ident != q_id[live][:, None])
+        use = mask[:, columns] & (p_row[rows[columns]][None, :] != q_row[live][:, None])
         score = np.where(use, score, np.iinfo(np.int64).min)
         ident = np.where(use, ident, np.iinfo(np.int64).max)
         both, ids = np.concatenate([best[live], score], 1), np.concatenate([best_id[live], ident], 1)
@@ -106,13 +103,13 @@ def searcher(k: int):
     def task(keys, table):
         width = max([len(v) for v in table.column("v").to_pylist()], default=0)
         asks = table.column("ask").to_numpy(zero_copy_only=False)
-        v, ident = matrix(table.column("v"), width), table.column("vec_id").to_numpy()
-        order = np.argsort(ident, kind="stable")
+        v, ident, rows = matrix(table.column("v"), width), table.column("vec_id").to_numpy(), table.column("row").to_numpy()
+        order = np.lexsort((rows, ident))
         q, p = order[asks[order]], order[~asks[order]]
-        best, best_id = search(v[q], ident[q], v[p], ident[p], k)
-        real = best_id < np.iinfo(np.int64).max
+        best, best_id = search(v[q], rows[q], v[p], rows[p], ident[p], k)
+        real = best > np.iinfo(np.int64).min
         row, column = np.nonzero(real)
-        return pa.table({"query_id": ident[q][row], "vec_id": best_id[row, column], "score": best[row, column]})
+        return pa.table({"query": rows[q][row], "query_id": ident[q][row], "vec_id": best_id[row, column], "score": best[row, column]})
 
     return task
 
@@ -124,16 +121,18 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
     task gets one stripe and one block, so each vector travels once per block of queries
     and each query once per stripe, and equal vectors spread over all stripes. A task
     gives k rows per query. Vectors of different width compare as if filled up with zeros.
+    Rows that repeat an id are vectors of their own: each asks, and each is found by the others.
+    An empty table, or one without queries, gives no rows.
     """
-    rows = stored(integers(embeddings, scale), "vectors")
+    rows = stored(integers(embeddings, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
     asking = rows.filter(F.col("vec_id") % every == 0)
     n, n_ask = rows.count(), asking.count()
     stripes, blocks = max(1, -(-n // STRIPE)), max(1, -(-n_ask // QUERIES))
-    deal = lambda m, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(m)).cast("int")
+    deal = lambda m, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(m)).cast("int")
     probes = rows.withColumn("stripe", deal(stripes, 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asks = asking.withColumn("block", deal(blocks, 2)).withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
-    columns = ["stripe", "block", "vec_id", "v"]
+    columns = ["stripe", "block", "row", "vec_id", "v"]
     cells = probes.select(*columns, F.lit(False).alias("ask")).unionByName(asks.select(*columns, F.lit(True).alias("ask")))
-    found = cells.groupBy("stripe", "block").applyInArrow(searcher(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = cells.groupBy("stripe", "block").applyInArrow(searcher(k), "query long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

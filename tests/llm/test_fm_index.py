@@ -19,7 +19,7 @@ def brute(rows, items, window=10):
     for i, t in items:
         w = words(t)
         for s in range(max(1, len(w) - window + 1) if w else 0):
-            windows.setdefault(tuple(w[s : s + window]), set()).add(str(i))
+            windows.setdefault(tuple(w[s : s + window]), set()).update([] if i is None else [str(i)])
     sizes = sorted({len(w) for w in windows})
     out = []
     for i, t in rows:
@@ -109,3 +109,13 @@ def test_cleaning(spark, docs_of):
     got = fm_index.clean(docs, items_of(spark, ITEMS))
     assert got.columns == docs.columns
     assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {1: ("Keep this. ! And this.", 22), 2: ("untouched Text", 14), 4: (None, 0)}
+
+
+def test_an_item_without_id_hits_but_is_not_listed(spark, docs_of):
+    items = [(None, "one two three four"), (7, "five six seven"), (None, None), (8, None)]
+    rows = [(1, "zero one two three four five"), (2, "five six seven"), (3, "one two three four, five six seven"), (4, "none")]
+    got = report(fm_index.digest(fm_index.locate(docs_of(rows), items_of(spark, items))))
+    assert got == brute(rows, items)
+    assert [(r[2], r[3]) for r in got] == [(4, 0), (3, 1), (7, 1), (0, 0)]
+    only = [(None, "one two three four")]
+    assert report(fm_index.digest(fm_index.locate(docs_of(rows), items_of(spark, only)))) == brute(rows, only)

@@ -9,16 +9,15 @@ from orderloom.llm.queries import registered
 
 
 def brute(rows, k=20, every=20, scale=64):
-    vectors = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        w = [math.floor(scale * float(x)) for x in v]
-        vectors[i] = min(vectors.get(i, w), w)
+    vectors = [
+        (i, [math.floor(scale * float(x)) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and not any(x is None or not math.isfinite(x) for x in v)
+    ]
     out = []
-    for q in vectors:
+    for a, (q, v) in enumerate(vectors):
         if q % every == 0:
-            score = sorted((-sum(a * b for a, b in zip(vectors[q], vectors[j], strict=False)), j) for j in vectors if j != q)
+            score = sorted((-sum(x * y for x, y in zip(v, w, strict=False)), j) for b, (j, w) in enumerate(vectors) if b != a)
             out += [(q, n, j, -s) for n, (s, j) in enumerate(score[:k], 1)]
     return sorted(out)
 
@@ -36,14 +35,14 @@ def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (0, [1.0, 1.0]), (1, None), (2, [nan, 1.0]), (3, [inf, 0.0]), (4, [None, 1.0]), (5, [0.0, 0.0]), (6, [-1.0, 3.0]),
             (7, [-1.0, 3.0]), (20, [5.0]), (21, []), (None, [1.0, 1.0]), (40, [1e6, -1e6]), (-20, [0.015, -0.015])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS score", "2 AS rank", "3 AS v", "4 AS block")
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS score", "2 AS rank", "3 AS v", "4 AS block", "5 AS row", "6 AS query")
     assert rows_of(norm_topk.top_k(df)) == brute(rows)
     assert rows_of(norm_topk.top_k(df.limit(0))) == []
 
 
 @pytest.mark.parametrize("kind", ["unit", "skewed", "equal", "steep", "huge"])
 def test_pruning_loses_nothing(kind):
-    rng = np.random.default_rng(hash(kind) % 1000)
+    rng = np.random.default_rng(len(kind))
     p = rng.standard_normal((3000, 16)) * 10
     if kind == "skewed":
         p *= rng.pareto(1.0, (3000, 1)) + 0.01
@@ -56,13 +55,20 @@ def test_pruning_loses_nothing(kind):
     p = np.floor(p).astype(np.int64)
     ident = rng.permutation(3000)
     q = rng.integers(0, 3000, 50)
-    best, best_id = norm_topk.search(p[q], ident[q], p, ident, 20)
+    best, best_id = norm_topk.search(p[q], q, p, np.arange(3000), ident, 20)
     for r, i in enumerate(q):
         score = [-sum(int(a) * int(b) for a, b in zip(p[i], v, strict=True)) for v in p]
         want = sorted((s, int(j)) for s, j in zip(score, ident, strict=True) if j != ident[i])[:20]
         assert [(-s, j) for s, j in zip(best[r].tolist(), best_id[r].tolist(), strict=True)] == want
 
 
+def test_rows_of_one_id_are_vectors_of_their_own(spark):
+    rows = [(1, [1.0, 0.0]), (1, [5.0, 0.0]), (20, [1.0, 1.0]), (20, [2.0, 0.0]), (20, [2.0, 0.0]), (3, [0.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = rows_of(norm_topk.top_k(df))
+    assert got == brute(rows) and len(got) == 15
+
+
 def test_stripes_and_blocks_do_not_matter(spark, table, monkeypatch):
     whole = rows_of(norm_topk.top_k(table("embeddings")))
     monkeypatch.setattr(norm_topk, "STRIPE", 60)
