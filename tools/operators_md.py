@@ -20,9 +20,9 @@ S3 sources.files.event_log
 S4 sources.files.event_log (tolerant=True)
 S5 sources.files.first_existing
 S6 plans.medallion.Medallion.read
-S7 sources.messages.topic_stream, folder_stream
-S8 sources.messages.topic_stream (start="earliest", fail_on_data_loss=False)
-S9 sources.messages.topic_batch
+S7 sources.messages.topic_stream, folder_stream, latest_position, between
+S8 sources.messages.topic_stream (start="earliest", fail_on_data_loss=False), folder_stream
+S9 sources.messages.topic_batch, folder_batch
 S10 sources.messages.as_text
 S11 sources.synthetic.rate_stream
 S12 sources.synthetic.click_events, sale_events
@@ -31,7 +31,7 @@ S14 sources.files.json_directory
 S15 streaming.runs.table_stream
 S16 tables.ddl.storage_matches
 S17 spark.sql
-K1 plans.medallion.Medallion.write
+K1 plans.medallion.Medallion.write, plans.daily.DailyMedallion.overwrite_days
 K2 tables.ddl.append
 K3 tables.ddl.replace
 K4 plans.layers_sql.create_as
@@ -43,7 +43,7 @@ K9 streaming.runs.append_to_table
 K10 streaming.runs.append_to_files
 K11 streaming.runs.to_console (mode="update")
 K12 streaming.runs.to_console
-K13 plans.medallion.Medallion.row_counts
+K13 plans.medallion.Medallion.row_counts, tables.ddl.replace_measured
 K14 DataFrame.show, printSchema, explain
 P1 select
 P2 plans.sales.taxed
@@ -67,11 +67,11 @@ P19 sources.messages.replay
 J1 operators.joins.lookup
 J2 plans.gold.brand_summary
 J3 plans.gold.brand_orders_by_path
-J4 operators.joins.shuffle_join
+J4 operators.joins.shuffle_join, tables.ddl.write_bucketed
 J5 operators.joins.lookup
 J6 operators.joins.missing_keys
 A1 plans.gold.hourly_metrics
-A2 plans.gold.delivery_performance
+A2 plans.gold.delivery_performance, duration_sketches
 A3 plans.gold.brand_summary
 A4 plans.silver.milestones, milestones_by_pivot
 A5 plans.silver.lifecycle
@@ -86,13 +86,13 @@ A13 plans.layers_sql.gold_customers
 A14 plans.layers_sql.silver_sales
 A15 plans.sales.totals
 A16 where + agg
-A17 plans.gold.performance_by_city
+A17 plans.gold.performance_by_city, durations_by_city
 A18 plans.sales.value_range
 A19 plans.sales.daily_sales
 A20 plans.sales.location_days
 A21 operators.quality.profile
 A22 distinct, countDistinct
-A23 operators.rows.one_per_key
+A23 operators.rows.one_per_key, pick_per_key
 W1 operators.running.running_orders
 W2 operators.running.running_orders
 O1 orderBy
@@ -101,7 +101,7 @@ O3 operators.rows.top
 O4 orderBy, operators.rows.top
 O5 distinct + limit
 O6 orderBy + limit
-U1 plans.medallion.count_each
+U1 unionByName, plans.medallion.written_counts
 U2 operators.quality.unknown_values
 F1 functions.times.iso_timestamp
 F2 functions.times.patterned_timestamp
@@ -125,37 +125,37 @@ T1 streaming.bronze.order_events
 T2 streaming.bronze.created_orders
 T3 streaming.windows.type_totals, streaming.runs.update_files
 T4 streaming.windows.product_revenue, streaming.runs.update_files
-T5 streaming.windows.type_counts
+T5 streaming.windows.type_counts, streaming.runs.open_state
 T6 streaming.windows.category_counts
 T7 streaming.bronze.sales, streaming.runs.append_to_table (partition_by=)
 T8 streaming.runs.append_to_table (interval=)
 T9 streaming.runs.append_to_table (checkpoint)
 T10 operators.quality.repeated_ids
 T11 streaming.bronze.with_orders, streaming.runs.table_stream
-T12 streaming.runs.finish, watch, progress
+T12 streaming.runs.finish, watch, drain, progress, measured, append_progress
 D1 tables.ddl.create_schema, schemas, drop_schema
 D2 tables.ddl.tables, missing_tables
 D3 tables.ddl.create_table, drop_table
 D4 tables.ddl.write_partitioned, create_table (partitioned_by=)
-D5 tables.ddl.by_day, write_partitioned
+D5 tables.ddl.by_day, write_partitioned, plans.daily
 D6 tables.ddl.by_hour, write_partitioned
 D7 tables.ddl.describe, table_type
 D8 tables.ddl.add_column, operators.rows.add_columns
 D9 operators.rows.set_where
 D10 operators.rows.drop_where
-D11 operators.changes.as_of_version
+D11 operators.changes.append_changes, as_of_version
 D12 operators.changes.as_of_time
 D13 operators.changes.history
 D14 tables.maintenance.file_statistics, tables.native.metadata
 D15 tables.maintenance.partition_statistics, tables.native.metadata
-D16 tables.maintenance.compact, compacted
+D16 tables.maintenance.compact, bins, compacted
 D17 tables.maintenance.compact_on_demand
-D18 operators.changes.squash
+D18 operators.changes.first_kept, expire, squash
 D19 tables.maintenance.orphan_files, tables.native.remove_orphans
 G1 plans.declarative.define_medallion
 G2 plans.declarative.define_medallion (messages=)
 G3 plans.declarative.define_medallion
-G4 plans.medallion.Medallion.run
+G4 plans.medallion.Medallion.run, plans.daily.DailyMedallion.rebuild
 G5 plans.medallion.validate
 Q1 operators.quality.missing_columns, column_presence
 Q2 operators.quality.null_ratios
@@ -163,7 +163,7 @@ Q3 operators.quality.filter_effect
 Q4 operators.quality.cardinalities
 Q5 operators.quality.range_checks
 Q6 operators.quality.blank_ids
-Q7 operators.quality.reconcile
+Q7 operators.quality.reconcile, reconcile_written
 Q8 operators.quality.readable, quarantine
 Q9 operators.quality.duplicates
 Q10 operators.running.behind_running_max
