@@ -1,8 +1,8 @@
 """Scoring with Brown's class-based bigrams.
 
 Exchange clustering gives the most frequent words classes: every word moves to the class
-that raises the likelihood of the class bigrams most, until none moves. All other words
-have a class by their form. A text's probability is that of its class sequence times that
+that raises the likelihood of the class bigrams most, until none moves or for `SWEEPS` rounds.
+All other words have a class by their form. A text's probability is that of its class sequence times that
 of each word in its class, both with smoothing, the words' counts from the whole corpus.
 
 Counts travel as one row per word and batch with the batch's documents packed into it;
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import LOWER, binaries, stored, utf8
+from orderloom.llm.common import LOWER, binaries, slices, stored, utf8
 
-CLUSTERED = 1000  # words that exchange clustering assigns; others go by form
+CLUSTERED = 4000  # words that exchange clustering assigns; others go by form
 CLASSES = 64
 SWEEPS = 12
 FOLDS, HELD_OUT = 7, 2
@@ -34,6 +35,7 @@ _DIGIT = re.compile(rb"[0-9]")
 _SIGN = re.compile(rb"[!-/:-@\[-`{-~]")
 _OTHER = re.compile(rb"[\x80-\xFF]")
 FORMS = 16
+PART_BYTES = 8 << 20  # of text whose pairs are counted at once
 KEPT = 500_000  # words whose symbol a task remembers; beyond, it starts anew
 END = 0  # class of the end, and of what stands before the first word; then words, then forms
 
@@ -153,19 +155,20 @@ def bigrams(broadcast):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(broadcast.value)
         size = symbols.base + FORMS
-        total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for text in utf8(batch.column("text")):
-                s = np.array(symbols.of(text), np.int64)
-                pair, n = np.unique(s[:-1] * size + s[1:], return_counts=True)
-                total[pair] += n
-        total = total.reshape(size, size)
-        first = np.flatnonzero(total.any(1))
-        rows = []
-        for f in first.tolist():
-            second = np.flatnonzero(total[f])
-            rows.append(np.stack([second, total[f][second]], 1).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(rows, pa.binary())], ["first", "counts"])
+        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for part in (p for batch in batches for p in slices(batch, "text", PART_BYTES)):
+            texts = [symbols.of(text) for text in utf8(part.column("text"))]
+            flat = np.fromiter(chain.from_iterable(texts), np.int64, sum(map(len, texts)))
+            new = flat[:-1] * size + flat[1:]
+            # from one text's end to the next one's beginning is no pair; in an empty text it is
+            new = new[new != END * size + END]
+            empty = np.full(sum(len(s) == 2 for s in texts), END * size + END)
+            new, n = np.unique(np.concatenate([new, empty]), return_counts=True)
+            both, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
+            pairs, counts = both, np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
+        first, ends = np.unique(pairs // size, return_index=True)
+        parts = np.split(np.stack([pairs % size, counts], 1), ends[1:]) if len(first) else []
+        yield pa.RecordBatch.from_arrays([pa.array(first), pa.array([x.tobytes() for x in parts], pa.binary())], ["first", "counts"])
 
     return task
 

@@ -32,6 +32,54 @@ def contract(df):
     return sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in df.collect()), key=str)
 
 
+def brute_score(rows, clustered, classes):
+    """The model's probabilities one token at a time, from its counts; only the clustering is taken as it is."""
+    texts = [class_lm.words((t or "").encode()) for _, t in rows]
+    train = [w for w, (i, _) in zip(texts, rows, strict=True) if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    n = Counter(x for w in train for x in w)
+    place = {w: 1 + k for k, w in enumerate(sorted(n, key=lambda w: (-n[w], w))[:clustered])}
+    symbol = lambda w: place.get(w, 1 + len(place) + class_lm.form(w))
+    size = 1 + len(place) + class_lm.FORMS
+    counts = np.zeros((size, size), np.int64)
+    for w in train:
+        line = [0, *map(symbol, w), 0]
+        for a, b in zip(line[:-1], line[1:], strict=True):
+            counts[a, b] += 1
+    of = class_lm.exchange(counts, len(place), classes)
+    k = int(of.max()) + 1
+    steps, tokens, kinds = Counter(), Counter(), Counter(of[symbol(w)] for w in n)
+    for w in train:
+        line = [of[x] for x in (0, *map(symbol, w), 0)]
+        steps.update(zip(line[:-1], line[1:], strict=True))
+        tokens.update(line[1:])
+    before = Counter()
+    for (a, _), c in steps.items():
+        before[a] += c
+    out = []
+    for (i, _), w in zip(rows, texts, strict=True):
+        total, last = 0.0, 0
+        for x in [*w, None]:
+            c = of[0 if x is None else symbol(x)]
+            total += math.log10((steps[last, c] + class_lm.SMOOTH) / (before[last] + class_lm.SMOOTH * k))
+            if x is not None:
+                total += math.log10((n[x] + 1) / (tokens[c] + kinds[c] + 1))
+            last = c
+        out.append((i, total))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("clustered", "classes"), [(1, 1), (5, 2), (40, 6), (10_000, 8)])
+def test_score_is_that_of_the_model(docs_of, clustered, classes):
+    rng = np.random.default_rng(clustered)
+    names = [f"w{i}" for i in range(30)] + ["The", "end.", "é", "longerword", "9", "x,"]
+    rows = [(i, " ".join(rng.choice(names, rng.integers(0, 40)))) for i in range(60)] + [(60, None), (61, ""), (62, "unseen words only"), (None, "w1 w2")]
+    docs = docs_of(rows).persist()
+    got = sorted(((r.doc_id, r.score) for r in class_lm.score(docs, clustered, classes).collect()), key=str)
+    want = brute_score(rows, clustered, classes)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=0, atol=1e-6)
+
+
 def test_odd_rows(docs_of, odd_texts):
     rows = [*odd_texts, (9, "The the THE a"), (9, "The the THE a"), (10, "a " * 70_000)]
     docs = docs_of(rows).persist()  # read three times: the same batches each time
