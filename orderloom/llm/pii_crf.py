@@ -24,11 +24,13 @@ TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
 LENGTH, STRIDE = 96, 48
 HIDDEN, EMBED = 16, 12
 SAMPLE_DOCS = 400  # documents whose text and base spans train the model
-STEPS, BATCH, RATE = 380, 48, 0.012
-WINDOWS = 2400  # with written forms put in, at least
+STEPS, BATCH, RATE = 800, 48, 0.012
+WINDOWS = 6000  # with written forms put in, at least
+SECTIONS, SECTION = 20, 1000  # parts of a longer text that train the model, and their characters
+OWN = 5  # windows around a text's own triggers that train it
 BATCH_BYTES = 4 << 20  # of texts that are searched at once
-SURE = 0.8  # least mean posterior of a span's tags
-TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
+SURE = 0.65  # least mean posterior of a span's tags
+TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]| at \S+ dot ")
 
 # ---- base patterns ---------------------------------------------------------------
 
@@ -238,23 +240,39 @@ def train(windows: list[tuple[str, list[tuple[str, int, int]]]], steps: int = ST
 
 
 def written(rng: np.random.Generator) -> tuple[str, str | None]:
-    """A written form and its kind: forms the patterns know, forms they miss, and none."""
+    """A written form and its kind: forms the patterns know, forms they miss, and what looks like one and is none."""
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    n = lambda k: str(rng.integers(1, 10)) + d(k - 1)
     word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 9))))
-    pick = int(rng.integers(0, 14))
-    if pick < 3:
-        name, host, end = f"{word()}.{d(2)}", word() + d(1), rng.choice(["com", "org", "net", "example.com"])
-        return [f"{name}@{host}.{end}", f"{name} (at) {host}.{end}", f"{name}[at]{host}.{end}"][pick], "email"
-    if pick < 5:
-        return ".".join(str(p) for p in rng.integers(0, 256, 4)), "ip"
-    if pick < 8:
+    sort = rng.choice(["email", "ip", "card", "phone", "none"], p=[0.22, 0.1, 0.16, 0.27, 0.25])
+    if sort == "email":
+        name = str(rng.choice([f"{word()}.{d(2)}", word(), f"{word()}_{word()}", f"{word()}.{word()}"]))
+        host, end = word() + str(rng.choice(["", d(1)])), str(rng.choice(["com", "org", "net", "de", "example.com"]))
+        at = str(rng.choice(["@", " (at) ", "[at]", "(at)", " [at] ", " at "]))
+        if at == "@" or rng.integers(0, 2) and at != " at ":
+            return f"{name}{at}{host}.{end}", sort
+        dot = " dot " if at == " at " else str(rng.choice([" dot ", "(dot)", "[dot]", " [dot] "]))
+        return f"{name}{at}{host}{dot}{end.replace('.', dot)}", sort
+    if sort == "ip":
+        return ".".join(str(p) for p in rng.integers(0, 256, 4)), sort
+    if sort == "card":
         body = str(rng.choice(["4", "5", "3", "6"])) + d(14)
         body += next(c for c in "0123456789" if luhn(body + c))
-        return [body, " ".join(re.findall("....", body)), ".".join(re.findall("....", body))][pick - 5], "card"
-    if pick < 11:
-        a, b, c = d(3), d(3), d(4)
-        return [f"+{rng.integers(1, 99)} ({a}) {b}-{c}", f"({a}) {b}-{c}", f"({a}) {b} {c}"][pick - 8], "phone"
-    return [f'"{rng.bytes(16).hex()}"', f"{d(1)}.{d(1)}.{d(1)}", f"{rng.integers(1900, 2100)}-0{d(1)}-1{d(1)}"][pick - 11], None
+        return str(rng.choice([body, " ".join(re.findall("....", body)), ".".join(re.findall("....", body))])), sort
+    if sort == "phone":
+        x, y, z = n(3), n(3), d(4)
+        forms = [
+            f"+{rng.integers(1, 99)} ({x}) {y}-{z}", f"({x}) {y}-{z}", f"({x}) {y} {z}", *[f"{x}{c}{y}{c}{z}" for c in "--- ..."],
+            f"{x} {y} {z}", f"{x} {y}-{z}", f"1-{x}-{y}-{z}", f"0{n(2)}/{n(7)}", f"0{n(2)} {n(7)}", f"0{n(3)} {n(6)}", f"0{n(3)}-{n(7)}", f"00{n(2)} {n(2)} {n(7)}", f"0{n(1)} " + " ".join(d(2) for _ in range(4)),
+        ]
+        return str(rng.choice(forms)), sort
+    forms = [
+        f'"{rng.bytes(16).hex()}"', f"{d(1)}.{d(1)}.{d(1)}", f"{rng.integers(1900, 2100)}-0{n(1)}-1{d(1)}", f"1{d(1)}.0{n(1)}.{rng.integers(1900, 2100)}",
+        f"{n(2)}/{n(2)}/{rng.integers(1900, 2100)}", f"{n(1)},{d(3)},{d(3)}.{d(2)}", f"{n(3)} {d(3)} {d(3)} {d(3)}", f"${n(4)}.{d(2)}", n(int(rng.integers(4, 14))),
+        f"978-{d(1)}-{d(2)}-{d(6)}-{d(1)}", f"{rng.integers(1900, 2000)}-{rng.integers(2000, 2100)}", f"1{d(1)}:{n(2)}:{n(2)}", f"{word().upper()}-{d(4)}-{d(3)}", f"{word().upper()}-{d(4)}-{d(4)}-{d(4)}",
+        f"{rng.integers(1900, 2100)}-0{n(1)}-1{d(1)} 1{d(1)}:{n(2)}", f"{n(1)}.{d(5)}", f"{word()} at {word()} dot", f"{n(5)}-{n(5)}", f"{n(2)}.{d(3)}.{d(3)}.{d(3)}",
+    ]
+    return str(rng.choice(forms)), None
 
 
 def labelled(texts: list[str], seed: int = 5) -> list[tuple[str, list[tuple[str, int, int]]]]:
@@ -263,8 +281,9 @@ def labelled(texts: list[str], seed: int = 5) -> list[tuple[str, list[tuple[str,
     each = max(6, -(-WINDOWS // max(1, len(texts))))
     for text in texts:
         spans = base_spans(text)
-        for m in list(TRIGGER.finditer(text))[:40:8]:
-            s = max(0, m.start() - int(rng.integers(10, 70)))
+        own = [m.start() for m in TRIGGER.finditer(text)]
+        for place in rng.permutation(own)[:OWN].tolist():
+            s = max(0, place - int(rng.integers(10, 70)))
             inside = [(k, max(a, s) - s, min(b, s + LENGTH) - s) for k, a, b in spans if a < s + LENGTH and b > s]
             out.append((text[s : s + LENGTH], inside))
         for _ in range(each):
@@ -296,10 +315,15 @@ def load(raw: bytes) -> dict:
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> dict:
     """Train in one task on a bounded sample of texts that hold a trigger, chosen by hash.
 
-    Of a text in the sample the first 20,000 characters train the model; finding reads all of it.
+    Of a text longer than `SECTIONS` times `SECTION` characters so many parts train the model, each from
+    a place anywhere in the text that a hash chooses; finding reads all of it.
     """
     rows = docs.filter(F.col("text").rlike(TRIGGER.pattern))
-    chosen = hash_sample(rows, sample, "doc_id").select(F.substring("text", 1, 20000).alias("text"))
+    size = F.length("text")
+    start = lambda i: F.pmod(F.xxhash64("doc_id", i), size - SECTION).cast("int") + 1
+    parts = F.transform(F.sequence(F.lit(0), F.lit(SECTIONS - 1)), lambda i: F.substring(F.col("text"), start(i), F.lit(SECTION)))
+    some = F.when(size <= SECTIONS * SECTION, F.col("text")).otherwise(F.array_join(parts, "\n"))
+    chosen = hash_sample(rows.select("doc_id", some.alias("text")), sample, "doc_id").select("text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for b in batches for t in b.column("text").to_pylist()]
@@ -326,14 +350,14 @@ def window_starts(text: str) -> list[int]:
 
 
 def valid(kind: str, text: str) -> bool:
-    """The test of a kind, for forms that the patterns don't know."""
+    """The test of a kind, for forms that the patterns don't know: its parts, and how many digits it has."""
     if kind == "email":
-        return bool(re.fullmatch(r"\S+ ?(@|[\[(]at[\])]) ?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text))
+        return bool(re.fullmatch(r"\S+( ?(@|[\[(]at[\])]) ?| at )[A-Za-z0-9-]+((\.| ?[\[(]dot[\])] ?| dot )[A-Za-z0-9-]+)+", text))
     if kind == "ip":
         return text.count(".") == 3 and bool(re.fullmatch(r"[0-9.]+", text)) and all(text.split(".")) and is_ip(text)
     if kind == "card":
         return bool(re.fullmatch(r"[0-9]+([ .-]?[0-9]+)*", text)) and is_card(text)
-    return bool(re.fullmatch(r"\+?[0-9(][ ().0-9-]+[0-9]", text)) and "(" in text and is_phone(text)
+    return bool(re.fullmatch(r"\+?[0-9(][ ().0-9/-]+[0-9]", text)) and is_phone(text)
 
 
 def decode(w: dict, texts: list[str], batch: int = 1024) -> list[list[tuple[str, int, int]]]:

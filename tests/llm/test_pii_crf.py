@@ -100,6 +100,91 @@ def test_forms_that_patterns_miss(weights):
     assert pii_crf.decode(weights, [text]) == [[("phone", 12, 26)]]
 
 
+def put_in(texts, form, seed):
+    """A written form in the middle of each text, and where it is."""
+    rng, out = np.random.default_rng(seed), []
+    for t in texts:
+        at = t.find(" ", int(rng.integers(20, max(21, len(t) - 20))))
+        at = len(t) if at < 0 else at
+        v = form(lambda n: "".join(map(str, rng.integers(0, 10, n))), lambda n: str(rng.integers(1, 10)) + "".join(map(str, rng.integers(0, 10, n - 1))))
+        out.append((f"{t[:at]} {v} {t[at + 1 :]}", at + 1, at + 1 + len(v)))
+    return out
+
+
+# Written forms that no pattern finds; the last four are not the generator's.
+FORMS = {
+    "dashes": ("phone", lambda d, n: f"{n(3)}-{n(3)}-{d(4)}"),
+    "dots": ("phone", lambda d, n: f"{n(3)}.{n(3)}.{d(4)}"),
+    "spaces": ("phone", lambda d, n: f"{n(3)} {n(3)} {d(4)}"),
+    "national": ("phone", lambda d, n: f"0{n(2)} {n(7)}"),
+    "two zeros": ("phone", lambda d, n: f"00{n(2)} {n(2)} {n(7)}"),
+    "at and dot": ("email", lambda d, n: f"jane.{d(2)} at mail{d(1)} dot com"),
+    "in brackets": ("email", lambda d, n: f"sam_lee [at] host{d(1)} [dot] org"),
+    "three groups": ("phone", lambda d, n: f"0{n(3)} {n(3)} {n(4)}"),
+    "zero in a bracket": ("phone", lambda d, n: f"(0{n(2)}) {n(7)}"),
+    "long national": ("phone", lambda d, n: f"0{n(4)} {n(6)}"),
+    "a name of two": ("email", lambda d, n: f"ann.marie.{d(1)}(at)some-host.net"),
+}
+NONE = {
+    "date": lambda d, n: f"19{d(2)}-0{n(1)}-1{d(1)}",
+    "book": lambda d, n: f"978-{d(1)}-{d(2)}-{d(6)}-{d(1)}",
+    "span": lambda d, n: f"19{d(2)}-20{d(2)} 1{d(1)}:{n(2)}",
+    "price": lambda d, n: f"{n(1)},{d(3)},{d(3)}.{d(2)}",
+    "part number": lambda d, n: f"QX-{d(4)}-{d(4)}-{d(4)}",
+    "day first": lambda d, n: f"1{d(1)}.0{n(1)}.20{d(2)} 1{d(1)}:{n(2)}",
+}
+
+
+@pytest.fixture(scope="module")
+def prose(table_of_documents):
+    texts = [t for t in table_of_documents if t and 200 < len(t) < 3000 and not pii_crf.TRIGGER.search(t)]
+    return (texts * 60)[:60]
+
+
+@pytest.fixture(scope="module")
+def table_of_documents(spark, sf_dir):
+    return [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize("name", sorted(FORMS))
+def test_recall_by_form(weights, prose, name):
+    kind, form = FORMS[name]
+    whole = put_in(prose, form, len(name))
+    found = pii_crf.decode(weights, [t for t, _, _ in whole])
+    right = sum(any(k == kind and s <= a and e >= b for k, s, e in f) for f, (_, a, b) in zip(found, whole, strict=True))
+    assert right >= 0.6 * len(whole), right / len(whole)
+
+
+@pytest.mark.parametrize("name", sorted(NONE))
+def test_what_looks_like_one_stays(weights, prose, name):
+    whole = put_in(prose, NONE[name], len(name))
+    found = pii_crf.decode(weights, [t for t, _, _ in whole])
+    wrong = sum(any(s < b and e > a for _, s, e in f) for f, (_, a, b) in zip(found, whole, strict=True))
+    assert wrong <= 0.1 * len(whole), wrong / len(whole)
+
+
+def test_prose_without_forms_is_left_alone(weights, table_of_documents):
+    texts = [t for t in table_of_documents if t]
+    base = [pii_crf.base_spans(t) for t in texts]
+    added = [x for b, m in zip(base, pii_crf.decode(weights, texts), strict=True) for x in pii_crf.all_spans(b, m) if x not in b]
+    assert len(added) <= 0.02 * len(texts)
+
+
+def test_training_reads_the_whole_of_a_long_text(spark, docs_of, monkeypatch):
+    """Parts of a long text come from all over it."""
+    seen = []
+    long = " ".join(f"at{i}at 7" for i in range(30_000))
+    docs = docs_of([(1, long), (2, "short 5")])
+    monkeypatch.setattr(pii_crf, "hash_sample", lambda df, *_: seen.extend(df.collect()) or df)
+    pii_crf.fit(docs, steps=1)
+    parts = {r.doc_id: r.text for r in seen}
+    assert parts[2] == "short 5"
+    pieces = parts[1].split("\n")
+    assert len(pieces) == pii_crf.SECTIONS and all(len(x) == pii_crf.SECTION and x in long for x in pieces)
+    places = [long.index(x) / len(long) for x in pieces]
+    assert min(places) < 0.3 and max(places) > 0.7 and len(set(places)) == len(places)
+
+
 def test_only_windows_with_a_trigger_can_give_spans(weights):
     """Leaving out windows without one changes nothing: such a span is never valid."""
     text = "words and words " * 40 + "mail joe.22@host3.example.com now " + "and words " * 60
