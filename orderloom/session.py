@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +47,19 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`, else the warehouse."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return configured.rstrip("/")
+    """The folder every executor can reach: `spark.checkpoint.dir`, else the warehouse.
+
+    Where executors have machines of their own, a warehouse on a local disk is refused.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or shared_warehouse(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)).rstrip("/")
+
+
+def shared_warehouse(folder: str, master: str) -> str:
+    one_machine = master == "local" or master.startswith("local[")
+    if not one_machine and urlsplit(folder).scheme in ("", "file"):
+        raise ValueError(f"set spark.checkpoint.dir: {folder} is a local folder, and {master} has executors elsewhere")
+    return folder
 
 
 def work_area(spark: SparkSession, purpose: str) -> str:

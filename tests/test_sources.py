@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.payload import as_message, json_value, parse_named, unpack
 from orderloom.functions.times import minutes_between, patterned_timestamp, weekend
-from orderloom.session import shared_root, work_area
+from orderloom.session import shared_root, shared_warehouse, work_area
 from orderloom.sources import files, messages
 
 
@@ -134,3 +134,13 @@ def test_work_area_lies_in_the_folder_the_session_names(spark):
     assert shared_root(spark) == root
     first, second = work_area(spark, "x"), work_area(spark, "x")
     assert first.startswith(f"{root}/x-") and first != second
+
+
+def test_a_local_warehouse_is_no_shared_folder():
+    for master in ("local", "local[4]", "local[*]"):
+        assert shared_warehouse("file:/tmp/w", master) == "file:/tmp/w"
+    assert shared_warehouse("hdfs://n/w", "yarn") == "hdfs://n/w"
+    for folder in ("/tmp/w", "file:/tmp/w"):
+        for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                shared_warehouse(folder, master)
