@@ -30,7 +30,7 @@ from orderloom.llm.common import binaries, byte_of, frugal, slices, stored, with
 
 WINDOW = 2048
 GROUP = 1024  # windows that one group fills
-CLOSED = 0.99  # a bin this full is not packed again
+CLOSED = 0.999  # a bin this full is not packed again
 PAIRED = 24  # sizes of a bin that are tried two by two
 PATIENCE = 4  # rounds of search that empty no bin
 END = 0
