@@ -30,6 +30,7 @@ from orderloom.llm.common import binaries, byte_of, frugal, slices, stored, with
 
 WINDOW = 2048
 GROUP = 1024  # windows that one group fills
+TURNS = 6  # that pieces of underfull bins are dealt anew, at most
 CLOSED = 0.999  # a bin this full is not packed again
 PAIRED = 24  # sizes of a bin that are tried two by two
 PATIENCE = 4  # rounds of search that empty no bin
@@ -321,9 +322,9 @@ def packed(rows: DataFrame, capacity: int = WINDOW, group: int = GROUP, closed:
     Rows are dealt into groups by the hash of a number of their own, so that each group sees
     the same mix of lengths and rows that repeat do not meet in one; a group holds about
     `group` windows of tokens, whatever is in it. Bins filled to `closed` are final. The rest is
-    dealt and packed again, until one group holds it all, or a turn leaves over half of
-    its tokens in underfull bins, where new neighbours would not help. A turn is stored
-    before the next. No rows give no rows. Other columns stay, but for those that are named
+    dealt and packed again, until one group holds it all, or a turn leaves over nine tenths of
+    its tokens in underfull bins, where new neighbours would not help, or after `TURNS`. A turn is
+    stored before the next. No rows give no rows. Other columns stay, but for those that are named
     like the new ones, or `_row`, `_group` or `_closed`.
     """
     rows = rows.drop("sequence_id", "offset", "_row", "_group", "_closed")
@@ -337,7 +338,7 @@ def packed(rows: DataFrame, capacity: int = WINDOW, group: int = GROUP, closed:
         result = stored(dealt.groupBy("_group").applyInArrow(packer(turn, capacity, closed), schema), "sequences", narrow=True)
         rest = result.filter(~F.col("_closed"))
         left = rest.agg(F.sum("length")).first()[0] or 0
-        if groups == 1 or left == 0 or 2 * left > tokens:
+        if groups == 1 or left == 0 or 10 * left > 9 * tokens or turn + 1 == TURNS:
             done.append(result)
             break
         done.append(result.filter("_closed"))
