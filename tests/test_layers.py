@@ -7,6 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.operators import rows
 from orderloom.operators.rows import one_per_key, since_day
 from orderloom.plans import gold, sales, silver
 from orderloom.sources.files import with_event_time
@@ -126,6 +127,28 @@ def test_since_day_and_one_per_key(events):
     assert one_per_key(events, ["event_id"]).count() == 15
 
 
+def test_rows_travel_once_to_their_first(spark, conf, monkeypatch, plan_text):
+    """Too many repeated keys for a broadcast cost no second shuffle; a hot key is reduced before it travels."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    copies = spark.range(0, 3000, 1, 4).selectExpr(
+        "IF(id % 3 = 0, NULL, IF(id % 3 = 1, 'hot', string(id div 6))) AS key", "IF(id % 7 = 0, NULL, id % 50) AS at", "id"
+    )
+    want = {}
+    for r in copies.collect():
+        rank = (r.at is not None, r.at or 0, r.id)  # NULL comes first
+        want[r.key] = min(want.get(r.key, rank), rank)
+    want = {(k, at if known else None, i) for k, (known, at, i) in want.items()}
+    once = one_per_key(copies, ["key"], ["at", "id"])
+    plan = plan_text(once)
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    got = [tuple(r) for r in once.collect()]
+    assert set(got) == want and len(got) == len(want) == 502 and once.columns == copies.columns
+    monkeypatch.setattr(rows, "HOT", 500)
+    apart = one_per_key(copies, ["key"], ["at", "id"])
+    assert plan_text(apart).count("Exchange") == 2  # the hot keys' own, after a partial aggregate
+    assert sorted(map(str, apart.collect())) == sorted(map(str, once.collect()))
+
+
 def test_sales_queries(spark):
     orders = spark.createDataFrame(
         [(1, "pen", 2.0, date(2024, 1, 1)), (1, "ink", 3.0, date(2024, 1, 2)), (2, "pen", 2.0, date(2024, 1, 2))],
