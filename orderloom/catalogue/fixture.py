@@ -18,20 +18,34 @@ from orderloom.sources.files import with_event_time
 
 STEPS = list(EVENT_TYPES)
 
+# What the log tells of an order.
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
+
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events: the eight columns of the log, times as text."""
+    return described(steps(spark, sf_dir))
+
+
+def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A narrow row per event: its order, step and copy, and when it happened."""
     key, step, copy = F.col("o_orderkey"), F.col("sequence"), F.col("dup")
-    last_step = F.when(F.col("o_orderstatus") == "F", 7).when(F.col("o_orderstatus") == "P", 6)
-    steps = F.posexplode(F.slice(F.lit(STEPS), 1, last_step.otherwise(3) + 1))
+    last_step = F.when(F.col("o_orderstatus") == "F", 7).when(F.col("o_orderstatus") == "P", 6).otherwise(3)
     copies = F.when((key % 41 == 0) & (step == 0), F.array(F.lit(0), F.lit(1)))
     expanded = (
         table(spark, sf_dir, "orders")
-        .select("*", steps.alias("sequence", "event_type"))
+        .select(*ORDER_COLUMNS, "o_orderdate", F.explode(F.sequence(F.lit(0), last_step)).alias("sequence"))
         .withColumn("dup", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     )
     shift = key % 1440 * 60 + step * 600 + (key * 7 + step * 13) % 300 + copy * (key % 2) * 5
     moment = F.timestamp_add("SECOND", shift.cast("int"), F.col("o_orderdate").cast("timestamp"))
+    return expanded.select(*ORDER_COLUMNS, "sequence", moment.alias("moment"))
+
+
+def described(happened: DataFrame) -> DataFrame:
+    """The steps as events of the log, in the order they lie in."""
+    key, step = F.col("o_orderkey"), F.col("sequence")
+    log = happened.withColumn("event_type", F.get(F.lit(STEPS), step))
     no_place = (key % 50 == 0) | ((key % 53 == 0) & (step == 1))
     total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     brand = (key % 20 + 1).cast("string")
@@ -46,7 +60,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 97 == 0, '{"brand_id": 3, "tot')
         .otherwise(F.concat(F.lit('{"brand_id": '), brand, F.lit(', "total": '), total, F.lit("}")))
     )
-    return expanded.withColumn("moment", moment).select(
+    return log.select(
         F.concat_ws("-", key.cast("string"), step.cast("string")).alias("event_id"),
         "event_type",
         F.date_format("moment", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"),

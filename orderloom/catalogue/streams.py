@@ -56,7 +56,8 @@ FILES_PER_BATCH = 256
 def _topic(spark, events, key, columns, moment, folder=None) -> str:
     """A folder holding the rows as messages: binary key and value, timestamp."""
     area = folder or work_area(spark, "topic")
-    append_messages(_messages(events, key, columns, F.to_timestamp(F.col(moment))), area)
+    sent = events.withColumn("sent_at", F.to_timestamp(F.col(moment)))
+    append_messages(sent, area, "sent_at", lambda rows: _messages(rows, key, columns, F.col("sent_at")))
     return area
 
 
@@ -67,9 +68,19 @@ def _messages(rows, key, columns, sent_at):
     )
 
 
-def _order_topic(spark, sf_dir):
-    log = fixture.event_log(spark, sf_dir)
-    return folder_stream(spark, _topic(spark, log, "order_id", EVENT_MESSAGE, "ts"), files_per_batch=FILES_PER_BATCH)
+def _order_topic(spark, sf_dir) -> str:
+    """A folder holding the order events as messages."""
+    area = work_area(spark, "topic")
+    append_messages(fixture.steps(spark, sf_dir), area, "moment", _order_messages)
+    return area
+
+
+def _order_messages(steps):
+    return _messages(fixture.described(steps), "order_id", EVENT_MESSAGE, F.timestamp_seconds("ts_seconds"))
+
+
+def _order_stream(spark, sf_dir):
+    return folder_stream(spark, _order_topic(spark, sf_dir), files_per_batch=FILES_PER_BATCH)
 
 
 def given_stream(spark, sf_dir, name):
@@ -143,7 +154,7 @@ def _schema(spark) -> str:
 )
 def stream_bronze(spark, sf_dir):
     """Messages to the bronze streaming table."""
-    return _written(spark, bronze.order_events(_order_topic(spark, sf_dir)), "stream-bronze")
+    return _written(spark, bronze.order_events(_order_stream(spark, sf_dir)), "stream-bronze")
 
 
 @query(
@@ -152,7 +163,7 @@ def stream_bronze(spark, sf_dir):
         WHERE event_type = 'order_created'""",
 )
 def stream_created_orders(spark, sf_dir):
-    return _written(spark, bronze.created_orders(_order_topic(spark, sf_dir)), "stream-created")
+    return _written(spark, bronze.created_orders(_order_stream(spark, sf_dir)), "stream-created")
 
 
 @query(
@@ -161,9 +172,7 @@ def stream_created_orders(spark, sf_dir):
 )
 def message_batch(spark, sf_dir):
     """The same messages read as a batch, from the earliest to the latest."""
-    log = fixture.event_log(spark, sf_dir)
-    folder = _topic(spark, log, "order_id", EVENT_MESSAGE, "ts")
-    return bronze.order_events(folder_batch(spark, folder)).groupBy("event_type").agg(F.count("*").alias("events"))
+    return bronze.order_events(folder_batch(spark, _order_topic(spark, sf_dir))).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
 def windows_sql(size: str, key: str, measures: str, source: str = "events", closed: str = "") -> str:
@@ -276,8 +285,12 @@ HALF_SQL = """half AS (SELECT date_trunc('day', min(ts)) + INTERVAL '12 hours'
   + to_days(CAST((epoch_us(max(ts)) - epoch_us(min(ts))) // 172800000000 AS INTEGER)) AS moment FROM events)"""
 
 
-def _event_messages(events):
-    return _messages(events, "event_id", ["event_id", "event_type", "user_id"], F.col("ts").cast("timestamp"))
+ACTION = ["event_id", "event_type", "user_id"]
+
+
+def _actions(spark, sf_dir):
+    """What the messages of the given events tell, and when they are sent."""
+    return table(spark, sf_dir, "events").select(*ACTION, F.col("ts").cast("timestamp").alias("timestamp"))
 
 
 @query(
@@ -288,7 +301,7 @@ def _event_messages(events):
 def messages_between(spark, sf_dir):
     """A topic as a batch from one position to another: three days of it."""
     folder, end = work_area(spark, "topic"), _half(spark, sf_dir)
-    append_messages(_event_messages(table(spark, sf_dir, "events")), folder)
+    _topic(spark, _actions(spark, sf_dir), "event_id", ACTION, "timestamp", folder)
     part = folder_batch(spark, folder, end - timedelta(days=3), end)
     fields = unpack(part, value_text(), "event_type string", "timestamp")
     return fields.groupBy("event_type").agg(
@@ -299,12 +312,12 @@ def messages_between(spark, sf_dir):
 def _followed(spark, sf_dir, earliest: bool):
     """A reader that comes when half of the events are there, and follows what arrives after."""
     folder, area, half = work_area(spark, "topic"), work_area(spark, "followed"), _half(spark, sf_dir)
-    sent = _event_messages(table(spark, sf_dir, "events"))
-    append_messages(between(sent, end=half), folder)
+    sent = _actions(spark, sf_dir)
+    _topic(spark, between(sent, end=half), "event_id", ACTION, "timestamp", folder)
     start = None if earliest else latest_position(spark, folder)
     for arrived in (None, between(sent, start=half)):
         if arrived is not None:
-            append_messages(arrived, folder)
+            _topic(spark, arrived, "event_id", ACTION, "timestamp", folder)
         messages = between(folder_stream(spark, folder, files_per_batch=FILES_PER_BATCH), start)
         parsed = unpack(messages, value_text(), "event_id long, event_type string, user_id long", "timestamp")
         finish(append_to_files(parsed, f"{area}/rows", f"{area}/checkpoint"))
@@ -412,7 +425,7 @@ def stream_chain(spark, sf_dir):
     """Two streaming tables, the second following the first."""
     schema = _schema(spark)
     first, second = f"{schema}.events", f"{schema}.events_with_order"
-    events = bronze.order_events(_order_topic(spark, sf_dir))
+    events = bronze.order_events(_order_stream(spark, sf_dir))
     finish(append_to_table(events, first, work_area(spark, "checkpoint")))
     following = bronze.with_orders(table_stream(spark, first))
     finish(append_to_table(following, second, work_area(spark, "checkpoint")))

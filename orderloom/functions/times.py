@@ -12,7 +12,7 @@ SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 def iso_timestamp(text: Column) -> Column:
     """Strict: an unreadable value fails the job under ANSI mode."""
-    return F.to_timestamp(F.regexp_replace(text, "T", " "))
+    return F.to_timestamp(F.replace(text, F.lit("T"), F.lit(" ")))
 
 
 def patterned_timestamp(text: Column, pattern: str = MICROS) -> Column:

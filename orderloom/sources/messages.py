@@ -8,6 +8,7 @@ skips the files and row groups outside of it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,13 +55,18 @@ def topic_batch(
     return spark.read.format("kafka").options(**topic_options(servers, topic, start, end)).load()
 
 
-def append_messages(messages: DataFrame, path: str) -> None:
+def append_messages(
+    rows: DataFrame, path: str, moment: str = "timestamp", message: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Put messages into a topic's folder, in the order of their time within and between the files.
 
-    The key and value, which come next in the order, let a crowded moment span several files.
+    The other columns, which come next in the order, let a crowded moment span several files.
+    A range shuffle goes over its input twice, first for the cuts, so rows are dealt while they are
+    narrow: `message` makes messages of them where they have come to lie, in the order they lie in.
     """
-    ranged = messages.repartitionByRange("timestamp", F.xxhash64("key", "value"))
-    ranged.sortWithinPartitions("timestamp").write.mode("append").parquet(path)
+    ranged = rows.repartitionByRange(moment, F.xxhash64(*(c for c in rows.columns if c != moment)))
+    sent = ranged.sortWithinPartitions(moment)
+    (message(sent) if message else sent).write.mode("append").parquet(path)
 
 
 def between(messages: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:

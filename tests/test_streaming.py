@@ -9,7 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderloom.catalogue import registered, streams
+from orderloom.catalogue import fixture, registered, streams
 from orderloom.functions.payload import as_message
 from orderloom.functions.times import iso_timestamp, tolerant_timestamp
 from orderloom.operators.quality import repeated_ids
@@ -71,6 +71,22 @@ def test_order_messages_stream_like_they_batch(spark, events, tmp_path):
     assert as_text(spark.read.parquet(folder)).where("value LIKE '%order_created%'").count() == 8
 
 
+@pytest.mark.parametrize("name", ["message_batch", "messages_between", "stream_purchase_total"])
+def test_messages_are_made_once(spark, monkeypatch, sf_dir, name):
+    """Rows are dealt by time before they become messages, not made twice, once for the cuts."""
+    made, plain = spark.sparkContext.accumulator(0), streams._messages
+
+    @F.udf("binary")
+    def counted(value):
+        made.add(1)
+        return value
+
+    monkeypatch.setattr(streams, "_messages", lambda *of: plain(*of).withColumn("value", counted("value")))
+    registered()[name](spark, sf_dir).collect()
+    log = fixture.event_log(spark, sf_dir) if name == "message_batch" else spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert made.value == log.count()
+
+
 def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
     """Windows of ten minutes, an hour of patience."""
     folder = str(tmp_path / "in")
