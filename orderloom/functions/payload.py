@@ -14,6 +14,11 @@ def unpack(df: DataFrame, text: Column, ddl: str, *keep: Column | str) -> DataFr
     return parsed.select("payload.*", *(c for c in parsed.columns if c != "payload"))
 
 
+def may_hold(text: Column, *parts: str) -> Column:
+    """Whether the text can hold one of the parts; a backslash may hide one in an escape."""
+    return reduce(lambda a, b: a | b, (text.contains(part) for part in (*parts, "\\")))
+
+
 def parse_named(text: Column, fields: dict[str, str]) -> Column:
     """from_json, for texts that can name one of the fields; NULL for the others.
 
@@ -21,9 +26,8 @@ def parse_named(text: Column, fields: dict[str, str]) -> Column:
     searching the text. A backslash may hide a name in an escape, so such a text
     is parsed as well; the fields come out as from_json alone would give them.
     """
-    named = reduce(lambda a, b: a | b, (text.contains(part) for part in (*fields, "\\")))
     ddl = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
-    return F.when(named, F.from_json(text, ddl))
+    return F.when(may_hold(text, *fields), F.from_json(text, ddl))
 
 
 def json_value(text: Column, path: str, as_type: str) -> Column:

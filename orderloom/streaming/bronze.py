@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.payload import unpack
+from orderloom.functions.payload import may_hold, unpack
 from orderloom.functions.times import MICROS, iso_timestamp, patterned_timestamp
 from orderloom.schemas import CLICK_FIELDS, CREATED_FIELDS, EVENT_FIELDS, SALE_FIELDS
 from orderloom.sources.messages import value_text
@@ -18,7 +18,9 @@ def order_events(messages: DataFrame) -> DataFrame:
 
 
 def created_orders(messages: DataFrame) -> DataFrame:
-    return unpack(messages, value_text(), CREATED_FIELDS).where("event_type = 'order_created'")
+    """The messages of new orders; those that cannot name the type are not parsed."""
+    named = messages.where(may_hold(value_text(), "order_created"))
+    return unpack(named, value_text(), CREATED_FIELDS).where("event_type = 'order_created'")
 
 
 def clicks(messages: DataFrame) -> DataFrame:

@@ -71,6 +71,17 @@ def test_order_messages_stream_like_they_batch(spark, events, tmp_path):
     assert as_text(spark.read.parquet(folder)).where("value LIKE '%order_created%'").count() == 8
 
 
+def test_only_messages_that_can_name_the_type_are_parsed(spark, plan_text):
+    named = '{"event_id": "%s", "event_type": "%s", "body": "%s"}'
+    values = [
+        named % ("a", "order_created", ""), named % ("b", "order\\u005fcreated", ""), named % ("c", "delivered", "order_created"),
+        named % ("d", "delivered", ""), "order_created", "", None,
+    ]
+    created = bronze.created_orders(spark.createDataFrame([(None if v is None else v.encode(),) for v in values], "value binary"))
+    assert [r.event_id for r in created.orderBy("event_id").collect()] == ["a", "b"]
+    assert "Contains(" in plan_text(created)
+
+
 @pytest.mark.parametrize("name", ["message_batch", "messages_between", "stream_purchase_total"])
 def test_messages_are_made_once(spark, monkeypatch, sf_dir, name):
     """Rows are dealt by time before they become messages, not made twice, once for the cuts."""
